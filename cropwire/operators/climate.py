@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cropwire.functions.frames import materialize
 from cropwire.functions.json import is_json_object, last_wins_map, let
 from cropwire.functions.numbers import fill_to_nan, read_double
 from cropwire.schemas import CLIMATE_JSON_SCHEMA, CLIMATE_SERIES
@@ -97,19 +98,16 @@ def stage_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
     Adds ``fault`` (NULL when usable), ``fill_value``, ``messages`` and
     ``days`` (NULL for a faulty document). Any existing ``fault`` column (set
     by earlier gates, e.g. unknown producer or HTTP status) takes precedence
-    and skips the parse.
+    and skips the parse. The document is parsed once.
     """
     prior = F.col("fault") if "fault" in docs.columns else F.lit(None).cast("string")
-    parsed = docs.withColumn(
-        "doc", F.when(prior.isNull(), F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA)))
+    parsed = materialize(docs, fault=prior,
+                         doc=F.when(prior.isNull(), F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA)))
     doc = F.col("doc")
-    fault = F.coalesce(prior, climate_fault(F.col(raw), doc))
-    staged = parsed.withColumn("fault", fault).withColumn("fill_value", climate_fill_value(doc))
-    return staged.select(
-        *[c for c in staged.columns if c != "doc"],
-        doc["messages"].alias("messages"),
-        F.when(F.col("fault").isNull(), climate_days(doc, F.col("fill_value"))).alias("days"),
-    )
+    gated = materialize(parsed, fault=F.coalesce(F.col("fault"), climate_fault(F.col(raw), doc)),
+                        fill_value=climate_fill_value(doc), messages=doc["messages"])
+    staged = materialize(gated, days=F.when(F.col("fault").isNull(), climate_days(doc, F.col("fill_value"))))
+    return staged.drop("doc")
 
 
 def climate_messages(staged: DataFrame, key: str = "producer_id") -> DataFrame:

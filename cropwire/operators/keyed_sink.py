@@ -33,9 +33,11 @@ class SinkResult:
     rejected: DataFrame
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str, schema: T.StructType | None = None) -> bool:
+    """True when the table folder exists (an empty partitioned table has no files)."""
     try:
-        spark.read.parquet(path).schema
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        reader.parquet(path)
         return True
     except AnalysisException:
         return False
@@ -44,7 +46,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
                            partition_by: tuple[str, ...] = ()) -> bool:
     """Create an empty table with ``schema`` unless one exists. True if created."""
-    if table_exists(spark, path):
+    if table_exists(spark, path, schema):
         return False
     empty = spark.createDataFrame([], schema)
     empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
@@ -130,7 +132,7 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
         create_table_if_absent(spark, target, schema, partition_by)
         if offered == 0:  # E9: an empty batch is a no-op
             return SinkResult(0, 0, rejected)
-        stored = spark.read.parquet(target)
+        stored = spark.read.schema(schema).parquet(target)
         on = list(dict.fromkeys(keys + list(partition_by)))
         if partition_by:
             vals = cand.select(*partition_by).distinct().limit(PRUNE_VALUES + 1).collect()
@@ -151,7 +153,7 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
         else:
             fresh = cand.join(stored_keys, on, "left_anti")
         # The id high-water mark comes from the whole table, not the pruned read.
-        base = spark.read.parquet(target).agg(
+        base = spark.read.schema(schema).parquet(target).agg(
             F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
         ranked = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 

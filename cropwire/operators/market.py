@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import strict_iso_date, utc_midnight
+from cropwire.functions.frames import materialize
 from cropwire.functions.json import has_top_key, is_json_object, last_wins_entries, let
 from cropwire.functions.numbers import is_finite, read_double, read_long
 from cropwire.schemas import (
@@ -87,40 +88,34 @@ def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WE
     Adds ``fault`` / ``detail`` (C1-C3, C8; NULL when usable), ``rows`` (the
     typed first-N rows of a usable document) and ``publishable`` (the rows
     before the first non-finite price, which a strict JSON encoder refuses),
-    with ``publish_fault``. An existing ``fault`` column takes precedence.
+    with ``publish_fault``. An existing ``fault`` column takes precedence and
+    skips the parse. The document is parsed once.
     """
     prior = F.col("fault") if "fault" in docs.columns else F.lit(None).cast("string")
     r = F.col(raw)
-    parsed = docs.withColumn("doc", F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)))
+    parsed = materialize(docs, fault=prior, doc=F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)))
     doc = F.col("doc")
-    has_error = has_top_key(r, doc[MARKET_ERROR_KEY], MARKET_ERROR_KEY)
-    has_note = has_top_key(r, doc[MARKET_NOTE_KEY], MARKET_NOTE_KEY)
-    gated = parsed.select(
-        "*",
-        F.when(prior.isNotNull(), prior)
-        .when(doc.isNull() | ~is_json_object(r), F.lit("unparsable"))
-        .when(has_error, F.lit("provider_error"))
-        .when(has_note, F.lit("provider_note"))
-        .alias("_gate"),
-    )
-    g = F.col("_gate")
-    with_entries = gated.select(
-        "*", F.when(g.isNull(), market_rows(market_entries(r, doc, max_weeks))).alias("_rows"))
-    rows = F.col("_rows")
+    gate = (F.when(F.col("fault").isNotNull(), F.col("fault"))
+            .when(doc.isNull() | ~is_json_object(r), F.lit("unparsable"))
+            .when(has_top_key(r, doc[MARKET_ERROR_KEY], MARKET_ERROR_KEY), F.lit("provider_error"))
+            .when(has_top_key(r, doc[MARKET_NOTE_KEY], MARKET_NOTE_KEY), F.lit("provider_note")))
+    gated = materialize(parsed, fault=gate)
+    g = F.col("fault")
+    typed = materialize(gated, rows=F.when(g.isNull(), market_rows(market_entries(r, doc, max_weeks))))
+    rows = F.col("rows")
     fault = (F.when(g.isNotNull(), g)
              .when(rows.isNull(), F.lit("missing_series"))
              .when(F.exists(rows, _row_is_bad), F.lit("bad_entry")))
     detail = (F.when(g == "provider_error", doc[MARKET_ERROR_KEY])
               .when(g == "provider_note", doc[MARKET_NOTE_KEY]))
-    staged = with_entries.select(
-        *[c for c in docs.columns if c != "fault"], fault.alias("fault"), detail.alias("detail"),
-        F.when(fault.isNull(), rows).alias("rows"))
-    first_bad = F.array_position(F.transform(F.col("rows"), _row_not_finite), True)
-    return staged.select(
-        "*",
-        F.when(first_bad > 0, F.slice(F.col("rows"), 1, first_bad - 1)).otherwise(F.col("rows")).alias("publishable"),
-        F.when(first_bad > 0, F.lit("non_finite")).alias("publish_fault"),
-    )
+    checked = materialize(typed, fault=fault, detail=detail)
+    good = F.when(F.col("fault").isNull(), rows)
+    first_bad = F.array_position(F.transform(good, _row_not_finite), True)
+    out = materialize(
+        checked, rows=good,
+        publishable=F.when(first_bad > 0, F.slice(good, 1, first_bad - 1)).otherwise(good),
+        publish_fault=F.when(first_bad > 0, F.lit("non_finite")))
+    return out.drop("doc")
 
 
 def _explode_rows(staged: DataFrame, array_col: str, key: str, carry: tuple[str, ...]) -> DataFrame:
