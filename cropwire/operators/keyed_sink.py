@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from cropwire.functions.dates import utc_now_iso
 from cropwire.functions.numbers import nan_to_null
-from cropwire.session import checkpoint_base
 
 # Batch keys up to this many are broadcast to probe the stored keys; beyond it
 # the anti join shuffles both sides on the key.
@@ -75,28 +74,33 @@ def first_writer(batch: DataFrame, keys: list[str], arrival: list[str]) -> DataF
     return batch.groupBy(*keys).agg(F.min_by(payload, order).alias("_w")).select("_w.*")
 
 
-def sequence_ids(df: DataFrame, order: list[str], start: int | Column, id_col: str = "id") -> DataFrame:
-    """``start + 1, start + 2, ...`` in ``order`` (which must be a total order).
+def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id") -> tuple[DataFrame, int]:
+    """``start + 1, start + 2, ...`` in ``order``; returns ``(rows, count)``.
 
-    Distributed: a range-partitioned sort, then per-partition row counts
-    (one small row per partition) turned into offsets. The sorted rows are
-    checkpointed so that counts and ids come from the very same partitioning.
+    ``order`` must be a total order (the caller appends the key). Distributed:
+    a range-partitioned sort; each row's position inside its partition comes
+    from ``monotonically_increasing_id``; per-partition row counts (one row per
+    partition, so bounded by the partition count, not the data) become offsets.
+    The sorted rows are persisted between the count and the write; a lost
+    block is recomputed identically because the order is total and the range
+    bounds are fixed in the plan. Call ``unpersist()`` on the result when done.
     """
-    checkpoint_base(df.sparkSession)
     tagged = (df.orderBy(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
+              .persist())
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = {}, 0
+    for pid, n in counts:
+        offsets[pid] = total
+        total += n
+    if not offsets:
+        return tagged.drop("_pid", "_mid").withColumn(id_col, F.lit(None).cast("bigint")), 0
+    off_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
     in_part = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(id_col, (start_col + F.col("_off") + in_part + 1).cast("bigint"))
-            .drop("_pid", "_mid", "_off"))
+    ids = F.lit(start).cast("bigint") + off_map[F.col("_pid")] + in_part + F.lit(1)
+    return tagged.withColumn(id_col, ids.cast("bigint")).drop("_pid", "_mid"), total
 
 
 def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival: list[str],
@@ -155,18 +159,20 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
         # The id high-water mark comes from the whole table, not the pruned read.
         base = spark.read.schema(schema).parquet(target).agg(
             F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
-        ranked = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
+        ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
         def stored_value(c: str) -> Column:
             if isinstance(fields[c], (T.DoubleType, T.FloatType)):
                 return nan_to_null(F.col(c)).alias(c)
             return F.col(c)
 
-        out = ranked.select(F.col(id_col), *[stored_value(c) for c in columns],
-                            F.lit(stamp).alias("captured_at"))
-        inserted = ranked.count()
-        if inserted:
-            out.select(*store_cols).write.mode("append").partitionBy(*partition_by).parquet(target)
+        try:
+            if inserted:
+                out = ranked.select(F.col(id_col), *[stored_value(c) for c in columns],
+                                    F.lit(stamp).alias("captured_at"))
+                out.select(*store_cols).write.mode("append").partitionBy(*partition_by).parquet(target)
+        finally:
+            ranked.unpersist()
         return SinkResult(offered, inserted, rejected)
     finally:
         cand.unpersist()

@@ -75,9 +75,10 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
 
 @dataclass
 class CycleRun:
+    """What a cycle wrote: the table sink result, and whether quarantine / topic were written."""
     sink: SinkResult | None
-    quarantined: int
-    published: int = 0
+    quarantine_written: bool
+    published: bool = False
 
 
 def run_climate_cycle(docs: DataFrame, dim: DataFrame, table: str, quarantine_path: str | None = None,
@@ -92,11 +93,9 @@ def run_climate_cycle(docs: DataFrame, dim: DataFrame, table: str, quarantine_pa
             partition_by=partition_by)
         q = cyc.quarantine.unionByName(_quarantine(sink.rejected, "climate", "producer_id", "date",
                                                    F.lit("not_null"), "null_columns"))
-        n = 0
         if quarantine_path:
             q.write.mode("append").parquet(quarantine_path)
-            n = -1
-        return CycleRun(sink, n)
+        return CycleRun(sink, bool(quarantine_path))
     finally:
         cyc.staged.unpersist()
 
@@ -145,10 +144,9 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
     cyc = market_cycle(docs, max_weeks, ts, topic)
     cyc.staged.persist()
     try:
-        published = 0
-        if topic_path is not None or topic_format == "kafka":
+        published = topic_path is not None or topic_format == "kafka"
+        if published:
             publish_topic(cyc.messages, topic_path, topic_format, topic_options)
-            published = -1
         sink = None
         if table is not None:
             sink = insert_or_ignore(
@@ -157,7 +155,7 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
                 captured_at=captured_at)
         if quarantine_path:
             cyc.quarantine.write.mode("append").parquet(quarantine_path)
-        return CycleRun(sink, -1 if quarantine_path else 0, published)
+        return CycleRun(sink, bool(quarantine_path), published)
     finally:
         cyc.staged.unpersist()
 

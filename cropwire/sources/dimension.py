@@ -43,10 +43,12 @@ def producer_ids(dim: DataFrame) -> DataFrame:
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` only when it is proven to hold at most ``max_rows`` rows.
 
-    The proof is a bounded count (``limit(max_rows + 1)``), which stops reading
-    once the bound is passed; a larger side is joined by shuffle instead.
+    A driver-local frame (the built-in dimension) is small by construction.
+    Otherwise the proof is a bounded count (``limit(max_rows + 1)``: each
+    partition stops reading past the bound, and with no column needed the scan
+    reads row counts only); a larger side is joined by shuffle instead.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.isLocal() or df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -65,7 +65,9 @@ def test_partitioned_table_prunes_and_keeps_semantics(spark):
 
 def test_sequence_ids_dense_and_ordered(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("x")).repartition(5)
-    out = sequence_ids(df, ["x"], 10).collect()
+    out, n = sequence_ids(df, ["x"], 10)
+    out = out.collect()
+    assert n == 1000
     assert sorted((r.id, r.x) for r in out) == [(i + 11, i) for i in range(1000)]
 
 
