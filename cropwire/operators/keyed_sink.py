@@ -103,6 +103,30 @@ def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id"
     return tagged.withColumn(id_col, ids.cast("bigint")).drop("_pid", "_mid"), total
 
 
+def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.StructType, keys: list[str],
+                partition_by: tuple[str, ...], offered: int, key_broadcast_rows: int) -> DataFrame:
+    """Candidates whose key is not in the stored table (E3 anti join, planned for a large table)."""
+    stored = spark.read.schema(schema).parquet(target)
+    on = list(dict.fromkeys(keys + list(partition_by)))
+    if partition_by:
+        vals = cand.select(*partition_by).distinct().limit(PRUNE_VALUES + 1).collect()
+        if len(vals) <= PRUNE_VALUES:
+            cond = F.lit(False)
+            for v in vals:
+                one = F.lit(True)
+                for c in partition_by:
+                    one = one & F.col(c).eqNullSafe(v[c])
+                cond = cond | one
+            stored = stored.filter(cond)
+    stored_keys = stored.select(*on)
+    if offered <= key_broadcast_rows:
+        # Probe the stored keys with the (small) batch keys: the big table is
+        # scanned once and never shuffled.
+        hits = stored_keys.join(F.broadcast(cand.select(*on)), on, "left_semi")
+        return cand.join(F.broadcast(hits), on, "left_anti")
+    return cand.join(stored_keys, on, "left_anti")
+
+
 def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival: list[str],
                      columns: list[str], not_null: list[str] | None = None,
                      partition_by: tuple[str, ...] = (), captured_at: str | None = None,
@@ -133,32 +157,16 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
             [T.StructField(id_col, T.LongType(), False)]
             + [T.StructField(c, fields[c], True) for c in columns]
             + [T.StructField("captured_at", T.StringType(), False)])
-        create_table_if_absent(spark, target, schema, partition_by)
+        created = create_table_if_absent(spark, target, schema, partition_by)
         if offered == 0:  # E9: an empty batch is a no-op
             return SinkResult(0, 0, rejected)
-        stored = spark.read.schema(schema).parquet(target)
-        on = list(dict.fromkeys(keys + list(partition_by)))
-        if partition_by:
-            vals = cand.select(*partition_by).distinct().limit(PRUNE_VALUES + 1).collect()
-            if len(vals) <= PRUNE_VALUES:
-                cond = F.lit(False)
-                for v in vals:
-                    one = F.lit(True)
-                    for c in partition_by:
-                        one = one & (F.col(c).eqNullSafe(v[c]))
-                    cond = cond | one
-                stored = stored.filter(cond)
-        stored_keys = stored.select(*on)
-        if offered <= key_broadcast_rows:
-            # Probe the stored keys with the (small) batch keys: the big table
-            # is scanned once and never shuffled.
-            hits = stored_keys.join(F.broadcast(cand.select(*on)), on, "left_semi")
-            fresh = cand.join(F.broadcast(hits), on, "left_anti")
+        if created:  # nothing stored yet: every candidate is new, ids start at 1
+            fresh, base = cand, 0
         else:
-            fresh = cand.join(stored_keys, on, "left_anti")
-        # The id high-water mark comes from the whole table, not the pruned read.
-        base = spark.read.schema(schema).parquet(target).agg(
-            F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
+            fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows)
+            # The id high-water mark comes from the whole table (id column only).
+            base = spark.read.schema(schema).parquet(target).agg(
+                F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
         ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
         def stored_value(c: str) -> Column:

@@ -95,8 +95,11 @@ def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WE
     r = F.col(raw)
     parsed = materialize(docs, fault=prior, doc=F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)))
     doc = F.col("doc")
+    # Only a document with none of the three keys can be a non-object; the
+    # extra scan of the text runs for those alone.
+    empty = doc[MARKET_ERROR_KEY].isNull() & doc[MARKET_NOTE_KEY].isNull() & doc[MARKET_SERIES_KEY].isNull()
     gate = (F.when(F.col("fault").isNotNull(), F.col("fault"))
-            .when(doc.isNull() | ~is_json_object(r), F.lit("unparsable"))
+            .when(doc.isNull() | (empty & ~is_json_object(r)), F.lit("unparsable"))
             .when(has_top_key(r, doc[MARKET_ERROR_KEY], MARKET_ERROR_KEY), F.lit("provider_error"))
             .when(has_top_key(r, doc[MARKET_NOTE_KEY], MARKET_NOTE_KEY), F.lit("provider_note")))
     gated = materialize(parsed, fault=gate)
