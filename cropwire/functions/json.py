@@ -18,24 +18,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def group_heads(sorted_arr: Column, key: str = "key") -> Column:
+    """Elements of a key-sorted array whose key differs from the previous one."""
+    return let(sorted_arr, lambda arr: F.filter(arr, lambda e, i: F.when(i == 0, F.lit(True)).otherwise(
+        F.element_at(arr, i)[key] != e[key])))
+
+
 def last_wins_entries(m: Column) -> Column:
     """Map entries with duplicate keys folded: first position, last value.
 
     ``from_json`` keeps every duplicate key of an object and map lookup returns
     the first one; a JSON object model keeps the last value at the position of
-    the first occurrence. Only documents that do carry duplicates pay for the
-    rebuild.
+    the first occurrence. Only maps that do carry duplicates pay for the fold,
+    which sorts ``(key, position)`` pairs both ways (O(n log n)): the head of
+    each key group is its first position in one order, its last in the other.
     """
-    entries = F.map_entries(m)
-    keys = F.array_distinct(F.map_keys(m))
-    rebuilt = F.transform(
-        keys,
-        lambda k: F.struct(
-            k.alias("key"),
-            F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
-        ),
-    )
-    return F.when(F.size(keys) == F.size(m), entries).otherwise(rebuilt)
+    keys = F.map_keys(m)
+    firsts = group_heads(F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("key"), i.alias("pos")))))
+    lasts = group_heads(F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("key"), (-i).alias("pos")))))
+    folded = let(F.struct(F.map_values(m).alias("v"), lasts.alias("l")), lambda b: F.transform(
+        F.array_sort(F.transform(firsts, lambda f, j: F.struct(
+            f["pos"].alias("pos"), f["key"].alias("key"),
+            F.element_at(b["v"], -F.element_at(b["l"], j + 1)["pos"] + 1).alias("value")))),
+        lambda r: F.struct(r["key"].alias("key"), r["value"].alias("value"))))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(m), F.map_entries(m)).otherwise(folded)
 
 
 def last_wins_map(m: Column) -> Column:

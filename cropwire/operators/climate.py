@@ -48,12 +48,40 @@ def climate_fill_value(doc: Column) -> Column:
     return read_double(doc["header"]["fill_value"])
 
 
+def _merge_by_key(s: Column) -> Column:
+    """Align four maps by key with one sort instead of per-date lookups.
+
+    All entries, tagged with their series index, are sorted by (key, index);
+    a date of the first series finds the other three values among the next
+    three elements (each series holds a key at most once). O(n log n).
+    """
+    def tag(j: int):
+        return lambda e: F.struct(e["key"].alias("key"), F.lit(j).alias("idx"), e["value"].alias("value"))
+
+    tagged = F.concat(*[F.transform(F.map_entries(s[c]), tag(j)) for j, c in enumerate(_SHORT)])
+
+    def pick(srt: Column, i: Column, key: Column, idx: int) -> Column:
+        out = None
+        for t in (1, 2, 3):
+            nxt = F.try_element_at(srt, i + F.lit(1 + t))
+            hit = nxt.isNotNull() & (nxt["key"] == key) & (nxt["idx"] == idx)
+            out = F.when(hit, nxt["value"]) if out is None else out.when(hit, nxt["value"])
+        return out
+
+    return let(F.array_sort(tagged), lambda srt: F.transform(
+        F.filter(F.transform(srt, lambda e, i: F.struct(
+            e["key"].alias("date"), e["idx"].alias("idx"), e["value"].alias("p"),
+            *[pick(srt, i, e["key"], j).alias(c) for j, c in enumerate(_SHORT) if j > 0])),
+            lambda r: r["idx"] == 0),
+        lambda r: F.struct(r["date"].alias("date"), *[r[c].alias(c) for c in _SHORT])))
+
+
 def _aligned_rows(s: Column) -> Column:
     """One struct per date of the first series, values of all four as text.
 
     When the four series list the same dates in the same order (what a
     provider normally returns) values are zipped by position in O(n); other
-    documents fall back to key lookups.
+    documents are aligned by a sort-merge on the date key.
     """
     p, g, x, n = (s[c] for c in _SHORT)
     keys = F.map_keys(p)
@@ -61,9 +89,7 @@ def _aligned_rows(s: Column) -> Column:
     by_pos = F.transform(keys, lambda k, i: F.struct(
         k.alias("date"),
         *[F.element_at(F.map_values(s[c]), i + 1).alias(c) for c in _SHORT]))
-    by_key = F.transform(keys, lambda k: F.struct(
-        k.alias("date"), *[s[c][k].alias(c) for c in _SHORT]))
-    return F.when(aligned, by_pos).otherwise(by_key)
+    return F.when(aligned, by_pos).otherwise(_merge_by_key(s))
 
 
 def _typed_days(s: Column) -> Column:

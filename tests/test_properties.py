@@ -37,7 +37,7 @@ def _bits(x):
 
 
 def climate_model(raw):
-    obj = json.loads(raw)
+    obj = _load(raw)
     props = obj.get("properties")
     if not isinstance(props, dict):
         return "missing_properties", []
@@ -67,11 +67,28 @@ def climate_model(raw):
     return None, rows
 
 
+def _obj(pairs):
+    """JSON object text from (key, value) pairs; repeated keys are kept in the text."""
+    if pairs == "__array__":
+        return "[1]"
+    return "{" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}"
+
+
+def _climate_text(series, header, drop):
+    param = ",".join(f"{json.dumps(k)}:{_obj(v)}" for k, v in zip(SERIES, series) if k not in drop)
+    head = f'"header":{json.dumps(header)},' if header != "absent" else ""
+    return "{" + head + '"properties":{"parameter":{' + param + "}}}"
+
+
+def _load(text):
+    """The JSON model: an object keeps the last value of a repeated key at its first position."""
+    return json.loads(text, object_pairs_hook=dict)
+
+
 climate_docs = st.builds(
-    lambda series, header, drop: json.dumps({
-        **({"header": header} if header != "absent" else {}),
-        "properties": {"parameter": {k: v for k, v in zip(SERIES, series) if k not in drop}}}),
-    st.lists(st.one_of(st.dictionaries(DATES, VALUES, max_size=5), st.just([1])), min_size=4, max_size=4),
+    _climate_text,
+    st.lists(st.one_of(st.lists(st.tuples(DATES, VALUES), max_size=6), st.just("__array__")), min_size=4,
+             max_size=4),
     st.sampled_from(["absent", {"fill_value": -999.0}, {"fill_value": 0.0}, {"fill_value": "abc"}, 7]),
     st.sets(st.sampled_from(SERIES), max_size=1),
 )
@@ -104,7 +121,7 @@ FIELD_VALUES = st.sampled_from(["5.5", "100", "12.0", "x", 7, None])
 
 
 def market_model(raw, n):
-    obj = json.loads(raw)
+    obj = _load(raw)
     if "Error Message" in obj:
         return "provider_error", []
     if "Note" in obj:
@@ -140,8 +157,9 @@ entries = st.one_of(st.fixed_dictionaries({f: FIELD_VALUES if f in ("1. open", "
                                            for f in FIELDS}),
                     st.just("not an object"))
 market_docs = st.builds(
-    lambda series, top: json.dumps({**top, "Weekly Adjusted Time Series": series}),
-    st.dictionaries(WEEKS, entries, max_size=5),
+    lambda series, top: json.dumps(top)[:-1] + ("," if top else "") + '"Weekly Adjusted Time Series":'
+    + _obj(series) + "}",
+    st.lists(st.tuples(WEEKS, entries), max_size=6),
     st.sampled_from([{}, {}, {}, {"Note": "n"}, {"Error Message": None}]),
 )
 
@@ -158,3 +176,18 @@ def test_market_matches_model(spark, docs, n):
         got[r["doc_seq"]] = (r["fault"], rows)
     for i, d in enumerate(docs):
         assert got[i] == market_model(d, n), d
+
+
+def test_long_misaligned_series_is_fast_and_exact(spark):
+    import time
+    dates = [f"{2000 + i // 365:04d}{i % 365:04d}" for i in range(4000)]
+    p = {d: float(i) for i, d in enumerate(dates)}
+    g = {d: 1.0 for d in reversed(dates)}          # same dates, other order
+    x = {d: 2.0 for d in dates[1:]}                 # one date missing
+    n = {d: 3.0 for d in dates}
+    raw = json.dumps({"properties": {"parameter": {"PRECTOTCORR": p, "GWETROOT": g, "T2M_MAX": x, "T2M_MIN": n}}})
+    df = spark.createDataFrame([("P", 0, 200, raw)], "producer_id string, doc_seq bigint, http_status int, raw string")
+    t0 = time.time()
+    got = _spark_rows(cl.stage_climate(df))[0]
+    assert time.time() - t0 < 60
+    assert got == climate_model(raw) and len(got[1]) == 3999
