@@ -149,20 +149,21 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
     keep = list(dict.fromkeys(columns + keys + arrival + list(partition_by)))
     gated, rejected = not_null_gate(batch.select(*keep), not_null if not_null is not None else keys)
     cand = first_writer(gated, keys, arrival).persist()
+    fields = {f.name: f.dataType for f in gated.schema.fields}
+    store_cols = [id_col, *columns, "captured_at"]
+    schema = T.StructType(
+        [T.StructField(id_col, T.LongType(), False)]
+        + [T.StructField(c, fields[c], True) for c in columns]
+        + [T.StructField("captured_at", T.StringType(), False)])
     try:
-        offered = cand.count()
-        fields = {f.name: f.dataType for f in gated.schema.fields}
-        store_cols = [id_col, *columns, "captured_at"]
-        schema = T.StructType(
-            [T.StructField(id_col, T.LongType(), False)]
-            + [T.StructField(c, fields[c], True) for c in columns]
-            + [T.StructField("captured_at", T.StringType(), False)])
-        created = create_table_if_absent(spark, target, schema, partition_by)
-        if offered == 0:  # E9: an empty batch is a no-op
-            return SinkResult(0, 0, rejected)
-        if created:  # nothing stored yet: every candidate is new, ids start at 1
-            fresh, base = cand, 0
+        if not table_exists(spark, target, schema):
+            # Nothing stored yet: every candidate is new and ids start at 1;
+            # the append itself creates the table.
+            fresh, base, offered = cand, 0, None
         else:
+            offered = cand.count()
+            if offered == 0:  # E9: an empty batch is a no-op
+                return SinkResult(0, 0, rejected)
             fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows)
             # The id high-water mark comes from the whole table (id column only).
             base = spark.read.schema(schema).parquet(target).agg(
@@ -179,9 +180,11 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
                 out = ranked.select(F.col(id_col), *[stored_value(c) for c in columns],
                                     F.lit(stamp).alias("captured_at"))
                 out.select(*store_cols).write.mode("append").partitionBy(*partition_by).parquet(target)
+            elif offered is None:  # E1: the table exists after the first call even when empty
+                create_table_if_absent(spark, target, schema, partition_by)
         finally:
             ranked.unpersist()
-        return SinkResult(offered, inserted, rejected)
+        return SinkResult(inserted if offered is None else offered, inserted, rejected)
     finally:
         cand.unpersist()
 
