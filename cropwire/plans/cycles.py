@@ -9,18 +9,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import iso_midnight_text
-from cropwire.functions.numbers import nan_to_null
 from cropwire.operators.climate import climate_observations, kept_days, stage_climate
 from cropwire.operators.events import event_json, market_events, publish_topic, topic_messages
 from cropwire.operators.keyed_sink import SinkResult, insert_or_ignore
 from cropwire.operators.market import market_observations, stage_market
 from cropwire.schemas import (
     CLIMATE_KEYS, CLIMATE_NOT_NULL, CLIMATE_OBSERVATION_COLUMNS, MARKET_KEYS, MARKET_MAX_WEEKS,
-    MARKET_NOT_NULL, QUARANTINE_COLUMNS, TOPIC,
+    MARKET_NOT_NULL, TOPIC,
 )
 from cropwire.sources.dimension import lookup_producers
 from cropwire.sources.documents import status_fault
@@ -139,7 +138,8 @@ def market_store_rows(observations: DataFrame) -> DataFrame:
 def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None = None,
                      quarantine_path: str | None = None, max_weeks: int | None = MARKET_MAX_WEEKS,
                      ts: str | None = None, captured_at: str | None = None, topic: str = TOPIC,
-                     topic_format: str = "parquet", topic_options: dict | None = None) -> CycleRun:
+                     topic_format: str = "parquet", topic_options: dict | None = None,
+                     partition_by: tuple[str, ...] = ()) -> CycleRun:
     """publish every event of the cycle; optionally also store rows."""
     cyc = market_cycle(docs, max_weeks, ts, topic)
     cyc.staged.persist()
@@ -152,17 +152,10 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
             sink = insert_or_ignore(
                 market_store_rows(cyc.observations), table, keys=MARKET_KEYS,
                 arrival=["doc_seq", "pos"], columns=MARKET_STORE_COLUMNS, not_null=MARKET_NOT_NULL,
-                captured_at=captured_at)
+                captured_at=captured_at, partition_by=partition_by)
         if quarantine_path:
             cyc.quarantine.write.mode("append").parquet(quarantine_path)
         return CycleRun(sink, bool(quarantine_path), published)
     finally:
         cyc.staged.unpersist()
 
-
-def stored_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """E8 projection: NaN as NULL in the listed double columns."""
-    return df.select(*[nan_to_null(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
-
-
-QUARANTINE = QUARANTINE_COLUMNS
