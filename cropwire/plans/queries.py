@@ -43,6 +43,7 @@ from cropwire.streaming import stream_keyed
 N = 10
 AS_OF = "2024-03-01"
 STAMP = "2024-03-01T00:00:00Z"
+REGION_BOUND = 10_000
 VALUES = ["precipitation", "root_zone_soil_wetness", "temperature_max", "temperature_min"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,8 +95,12 @@ def unknown_producers_q(spark, sf):
 
 @query
 def symbol_list_q(spark, sf):
-    # The region table (fixed at five rows by the schema) as one comma list.
-    lst = fx.table(spark, sf, "region").agg(F.array_join(F.transform(
+    # The region table as one comma list; it is a fixed-size dimension (five
+    # rows at every scale), checked before it is gathered into one row.
+    region = fx.table(spark, sf, "region")
+    if region.limit(REGION_BOUND + 1).count() > REGION_BOUND:
+        raise ValueError("region is expected to be a small fixed dimension")
+    lst = region.agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda s: s["r_name"]), ",")
         .alias("symbols"))
     return symbol_list(spark, lst).select("pos", "symbol")
