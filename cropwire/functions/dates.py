@@ -68,7 +68,17 @@ def iso_instant(ts: Column) -> Column:
     )
 
 
-def utc_now_iso() -> str:
-    """Driver-side 'now' as ISO text, taken once per batch."""
-    now = _dt.datetime.now(_dt.timezone.utc)
-    return now.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+def utc_now_iso(now: _dt.datetime | None = None) -> str:
+    """Driver-side 'now' as ISO-8601 UTC text, taken once per batch.
+
+    The fraction is printed only when non-zero, as milliseconds when that is
+    exact, else microseconds (the form of an ISO instant's text).
+    """
+    now = (now or _dt.datetime.now(_dt.timezone.utc)).astimezone(_dt.timezone.utc)
+    base = now.strftime("%Y-%m-%dT%H:%M:%S")
+    us = now.microsecond
+    if us == 0:
+        return base + "Z"
+    if us % 1000 == 0:
+        return f"{base}.{us // 1000:03d}Z"
+    return f"{base}.{us:06d}Z"

@@ -68,7 +68,8 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
         _quarantine(bad_days, "climate", "producer_id", "date", F.lit("bad_number")))
     messages = staged.select("producer_id", F.explode("messages").alias("message"))
     report = staged.select("producer_id", "doc_seq",
-                           F.coalesce(F.size(kept_days(F.col("days"))), F.lit(0)).cast("bigint").alias("rows"))
+                           F.when(F.col("days").isNull(), F.lit(0)).otherwise(F.size(kept_days(F.col("days"))))
+                           .cast("bigint").alias("rows"))
     return ClimateCycle(staged, obs, quarantine, messages, report)
 
 
@@ -114,7 +115,9 @@ class MarketCycle:
 def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts: str | None = None,
                  topic: str = TOPIC) -> MarketCycle:
     """F2 as a plan: status (A12) -> parse and gates (C) -> events (D2/D3) -> topic rows."""
-    carry = ("doc_seq",) if "doc_seq" in docs.columns else ()
+    if "doc_seq" not in docs.columns:  # one document per symbol: position in the batch decides
+        docs = docs.withColumn("doc_seq", F.lit(0).cast("bigint"))
+    carry = ("doc_seq",)
     staged = stage_market(docs.withColumn("fault", status_fault(F.col("http_status"), F.col("raw"))),
                           max_weeks)
     obs = market_observations(staged, carry=carry)
@@ -125,8 +128,9 @@ def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts:
                              reason="fault", detail="detail").unionByName(
         _quarantine(staged.filter(F.col("publish_fault").isNotNull()), "market", "symbol",
                     reason="publish_fault"))
-    report = staged.select("symbol", *carry, F.coalesce(F.size("publishable"), F.lit(0)).cast("bigint")
-                           .alias("published"))
+    # size() of NULL is -1 in non-ANSI sessions, hence the explicit NULL case.
+    report = staged.select("symbol", *carry, F.when(F.col("publishable").isNull(), F.lit(0))
+                           .otherwise(F.size("publishable")).cast("bigint").alias("published"))
     return MarketCycle(staged, obs, events, messages, quarantine, report)
 
 

@@ -20,6 +20,11 @@ def local_session(cores: int | str = "*", app: str = "cropwire") -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CROPWIRE_DRIVER_MEMORY", "8g"))
     )
+    # Extra settings for trying other session behaviour, e.g.
+    # CROPWIRE_SESSION_CONF="spark.sql.ansi.enabled=false;spark.sql.session.timeZone=America/New_York"
+    for kv in filter(None, os.environ.get("CROPWIRE_SESSION_CONF", "").split(";")):
+        k, v = kv.split("=", 1)
+        builder = builder.config(k.strip(), v.strip())
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

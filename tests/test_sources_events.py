@@ -96,3 +96,12 @@ def test_topic_sink_appends(spark):
 def test_iso_instant_zone_free(spark):
     df = spark.createDataFrame([(1709251200123456,), (-1,)], "m bigint").select(iso_instant(F.timestamp_micros("m")))
     assert [r[0] for r in df.collect()] == ["2024-03-01T00:00:00.123456Z", "1969-12-31T23:59:59.999999Z"]
+
+
+def test_utc_now_iso_fraction():
+    import datetime as dt
+    from cropwire.functions.dates import utc_now_iso
+    t = dt.datetime(2024, 3, 1, 10, 15, 30, tzinfo=dt.timezone.utc)
+    assert utc_now_iso(t) == "2024-03-01T10:15:30Z"
+    assert utc_now_iso(t.replace(microsecond=123000)) == "2024-03-01T10:15:30.123Z"
+    assert utc_now_iso(t.replace(microsecond=123456)) == "2024-03-01T10:15:30.123456Z"
