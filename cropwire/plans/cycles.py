@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import iso_midnight_text
@@ -75,15 +75,32 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
 
 @dataclass
 class CycleRun:
-    """What a cycle wrote: the table sink result, and whether quarantine / topic were written."""
+    """What a cycle wrote: the table sink result and the number of quarantined /
+    published rows (None when that output was not written). Counts come from
+    ``observe()`` on the writes themselves, not from extra jobs."""
     sink: SinkResult | None
-    quarantine_written: bool
-    published: bool = False
+    quarantined: int | None
+    published: int | None = None
+
+
+def _write_observed(df: DataFrame, name: str, write) -> int:
+    """Run ``write(df')`` where ``df'`` counts its rows on the way through."""
+    obs = Observation(name)
+    write(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return int(obs.get["n"])
+
+
+def _append(path: str):
+    return lambda d: d.write.mode("append").parquet(path)
 
 
 def run_climate_cycle(docs: DataFrame, dim: DataFrame, table: str, quarantine_path: str | None = None,
-                      captured_at: str | None = None, partition_by: tuple[str, ...] = ()) -> CycleRun:
-    """one cycle into the climate table (first writer wins on producer_id, date)."""
+                      captured_at: str | None = None, partition_by: tuple[str, ...] = (),
+                      report_path: str | None = None) -> CycleRun:
+    """one cycle into the climate table (first writer wins on producer_id, date).
+
+    Optional outputs: the quarantine table (F4) and the per-document report (F5).
+    """
     cyc = climate_cycle(docs, dim)
     cyc.staged.persist()
     try:
@@ -93,9 +110,10 @@ def run_climate_cycle(docs: DataFrame, dim: DataFrame, table: str, quarantine_pa
             partition_by=partition_by)
         q = cyc.quarantine.unionByName(_quarantine(sink.rejected, "climate", "producer_id", "date",
                                                    F.lit("not_null"), "null_columns"))
-        if quarantine_path:
-            q.write.mode("append").parquet(quarantine_path)
-        return CycleRun(sink, bool(quarantine_path))
+        n_q = _write_observed(q, "climate_quarantine", _append(quarantine_path)) if quarantine_path else None
+        if report_path:
+            cyc.report.write.mode("append").parquet(report_path)
+        return CycleRun(sink, n_q)
     finally:
         cyc.staged.unpersist()
 
@@ -143,23 +161,27 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
                      quarantine_path: str | None = None, max_weeks: int | None = MARKET_MAX_WEEKS,
                      ts: str | None = None, captured_at: str | None = None, topic: str = TOPIC,
                      topic_format: str = "parquet", topic_options: dict | None = None,
-                     partition_by: tuple[str, ...] = ()) -> CycleRun:
-    """publish every event of the cycle; optionally also store rows."""
+                     partition_by: tuple[str, ...] = (), report_path: str | None = None) -> CycleRun:
+    """publish every event of the cycle; optionally also store rows (E4),
+    the quarantine (F4) and the per-document report (F5)."""
     cyc = market_cycle(docs, max_weeks, ts, topic)
     cyc.staged.persist()
     try:
-        published = topic_path is not None or topic_format == "kafka"
-        if published:
-            publish_topic(cyc.messages, topic_path, topic_format, topic_options)
+        published = None
+        if topic_path is not None or topic_format == "kafka":
+            published = _write_observed(cyc.messages, "published", lambda d: publish_topic(
+                d, topic_path, topic_format, topic_options))
         sink = None
         if table is not None:
             sink = insert_or_ignore(
                 market_store_rows(cyc.observations), table, keys=MARKET_KEYS,
                 arrival=["doc_seq", "pos"], columns=MARKET_STORE_COLUMNS, not_null=MARKET_NOT_NULL,
                 captured_at=captured_at, partition_by=partition_by)
-        if quarantine_path:
-            cyc.quarantine.write.mode("append").parquet(quarantine_path)
-        return CycleRun(sink, bool(quarantine_path), published)
+        n_q = _write_observed(cyc.quarantine, "market_quarantine", _append(quarantine_path)) \
+            if quarantine_path else None
+        if report_path:
+            cyc.report.write.mode("append").parquet(report_path)
+        return CycleRun(sink, n_q, published)
     finally:
         cyc.staged.unpersist()
 

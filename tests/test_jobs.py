@@ -27,3 +27,16 @@ def test_climate_and_market_jobs(spark):
     jobs.main(["manifest", "--out", out, "--symbols", "WEAT,CORN", "--as-of", "2024-03-01"])
     assert spark.read.json(f"{out}/climate").count() == 25
     assert spark.read.json(f"{out}/market").count() == 2
+
+
+def test_cycle_counts_come_from_observed_writes(spark):
+    from cropwire.plans.cycles import run_market_cycle
+    topic, q, rep = (scratch_path(spark, n) for n in ("o-topic", "o-q", "o-rep"))
+    good = json.dumps({"Weekly Adjusted Time Series": {w: {
+        "1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1", "5. adjusted close": "1",
+        "6. volume": "1", "7. dividend amount": "0"} for w in ("2024-03-01", "2024-02-23")}})
+    docs = spark.createDataFrame([("A", 1, 200, good), ("B", 2, 503, good), ("C", 3, 200, '{"Note": "x"}')],
+                                 "symbol string, doc_seq bigint, http_status int, raw string")
+    run = run_market_cycle(docs, topic, quarantine_path=q, report_path=rep, ts="t")
+    assert (run.published, run.quarantined) == (2, 2)
+    assert {(r.symbol, r.published) for r in spark.read.parquet(rep).collect()} == {("A", 2), ("B", 0), ("C", 0)}
