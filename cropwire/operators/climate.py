@@ -107,7 +107,10 @@ def _typed_days(s: Column) -> Column:
         r["date"].alias("date"),
         r["complete"].alias("complete"),
         (r["complete"] & (r["p"].isNull() | r["g"].isNull() | r["x"].isNull() | r["n"].isNull())).alias("bad"),
-        *[fill_to_nan(r[c], fill).alias(v) for c, v in zip(_SHORT, VALUE_COLUMNS)]))
+        *[fill_to_nan(r[c], fill).alias(v) for c, v in zip(_SHORT, VALUE_COLUMNS)],
+        # which series could not be read on a bad day (text present, number not)
+        F.when(r["complete"], F.concat_ws(",", *[F.when(r[c].isNull(), F.lit(name))
+                                               for c, name in zip(_SHORT, CLIMATE_SERIES)])).alias("unreadable")))
 
 
 def climate_days(doc: Column, fill: Column) -> Column:

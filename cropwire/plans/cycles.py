@@ -55,6 +55,8 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
     ``docs``: ``producer_id, [doc_seq,] http_status, raw``. Without
     ``doc_seq`` the producer's ordinal is the arrival order.
     """
+    if "http_status" not in docs.columns:  # landed bodies are successful responses
+        docs = docs.withColumn("http_status", F.lit(200))
     looked = lookup_producers(docs, dim)
     if "doc_seq" not in docs.columns:
         looked = looked.withColumn("doc_seq", F.col("ordinal").cast("bigint"))
@@ -65,7 +67,7 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
     bad_days = staged.select("producer_id", F.inline(F.filter("days", lambda d: d["bad"])))
     quarantine = _quarantine(staged.filter(F.col("fault").isNotNull()), "climate", "producer_id",
                              reason="fault").unionByName(
-        _quarantine(bad_days, "climate", "producer_id", "date", F.lit("bad_number")))
+        _quarantine(bad_days, "climate", "producer_id", "date", F.lit("bad_number"), "unreadable"))
     messages = staged.select("producer_id", F.explode("messages").alias("message"))
     report = staged.select("producer_id", "doc_seq",
                            F.when(F.col("days").isNull(), F.lit(0)).otherwise(F.size(kept_days(F.col("days"))))

@@ -118,3 +118,13 @@ def test_single_parse_in_plan(spark):
     st = stage(spark, doc())
     plan = st._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_bad_day_quarantine_names_the_series(spark):
+    from cropwire.plans.cycles import climate_cycle
+    from cropwire.sources import producer_dimension
+    d = doc(p={"20240101": 1}, g={"20240101": "oops"}, x={"20240101": 1}, n={"20240101": True})
+    docs = spark.createDataFrame([("WHEAT_1", d)], "producer_id string, raw string")
+    q = climate_cycle(docs, producer_dimension(spark)).quarantine.collect()
+    assert [(r.key, r.detail_key, r.reason, r.detail) for r in q] == [
+        ("WHEAT_1", "20240101", "bad_number", "GWETROOT,T2M_MIN")]
