@@ -62,7 +62,9 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
         looked = looked.withColumn("doc_seq", F.col("ordinal").cast("bigint"))
     fault = (F.when(F.col("ordinal").isNull(), F.lit("unknown_producer"))
              .otherwise(status_fault(F.col("http_status"), F.col("raw"))))
-    staged = stage_climate(looked.withColumn("fault", fault))
+    # The raw text is not needed past the parse; dropping it keeps the
+    # persisted staging frame to the parsed arrays only.
+    staged = stage_climate(looked.withColumn("fault", fault)).drop("raw")
     obs = climate_observations(staged, carry=("doc_seq",))
     bad_days = staged.select("producer_id", F.inline(F.filter("days", lambda d: d["bad"])))
     quarantine = _quarantine(staged.filter(F.col("fault").isNotNull()), "climate", "producer_id",
@@ -139,7 +141,7 @@ def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts:
         docs = docs.withColumn("doc_seq", F.lit(0).cast("bigint"))
     carry = ("doc_seq",)
     staged = stage_market(docs.withColumn("fault", status_fault(F.col("http_status"), F.col("raw"))),
-                          max_weeks)
+                          max_weeks).drop("raw")
     obs = market_observations(staged, carry=carry)
     published = market_observations(staged, carry=carry, publishable_only=True)
     events = event_json(market_events(published, ts))
