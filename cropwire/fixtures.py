@@ -14,8 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table (read-only input); the reader is kept so its schema is inferred once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark.sparkContext), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def fx_market_docs(spark: SparkSession, sf_dir: str, ascending: bool = False) -> DataFrame:

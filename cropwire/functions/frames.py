@@ -18,3 +18,21 @@ def materialize(df: DataFrame, **cols: Column) -> DataFrame:
     packed = F.struct(*[c.alias(n) for n, c in cols.items()])
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, F.inline(F.array(packed)))
+
+
+_EXPRESSIONS: dict = {}
+
+
+def cached_expressions(key: tuple, build):
+    """Build a set of column expressions once per SparkContext and reuse them.
+
+    Column expressions are immutable, unresolved trees; the large array
+    pipelines cost about a second of driver time to construct, the same for
+    every query and every micro-batch. ``key`` must capture every parameter
+    the expressions depend on.
+    """
+    from pyspark import SparkContext
+    k = (id(SparkContext._active_spark_context), *key)
+    if k not in _EXPRESSIONS:
+        _EXPRESSIONS[k] = build()
+    return _EXPRESSIONS[k]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cropwire.functions.frames import materialize
+from cropwire.functions.frames import cached_expressions, materialize
 from cropwire.functions.json import is_json_object, last_wins_map, let
 from cropwire.functions.numbers import fill_to_nan, read_double
 from cropwire.schemas import CLIMATE_JSON_SCHEMA, CLIMATE_SERIES
@@ -121,6 +121,19 @@ def climate_days(doc: Column, fill: Column) -> Column:
     return let(bound, lambda s: F.sort_array(_typed_days(s), asc=False))
 
 
+def _stage_expressions(raw: str, has_prior: bool) -> dict[str, Column]:
+    prior = F.col("fault") if has_prior else F.lit(None).cast("string")
+    doc = F.col("doc")
+    return {
+        "prior": prior,
+        "doc": F.when(prior.isNull(), F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA)),
+        "fault": F.coalesce(F.col("fault"), climate_fault(F.col(raw), doc)),
+        "fill_value": climate_fill_value(doc),
+        "messages": doc["messages"],
+        "days": F.when(F.col("fault").isNull(), climate_days(doc, F.col("fill_value"))),
+    }
+
+
 def stage_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse and gate every document; one row per document.
 
@@ -129,13 +142,11 @@ def stage_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
     by earlier gates, e.g. unknown producer or HTTP status) takes precedence
     and skips the parse. The document is parsed once.
     """
-    prior = F.col("fault") if "fault" in docs.columns else F.lit(None).cast("string")
-    parsed = materialize(docs, fault=prior,
-                         doc=F.when(prior.isNull(), F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA)))
-    doc = F.col("doc")
-    gated = materialize(parsed, fault=F.coalesce(F.col("fault"), climate_fault(F.col(raw), doc)),
-                        fill_value=climate_fill_value(doc), messages=doc["messages"])
-    staged = materialize(gated, days=F.when(F.col("fault").isNull(), climate_days(doc, F.col("fill_value"))))
+    has_prior = "fault" in docs.columns
+    e = cached_expressions(("stage_climate", raw, has_prior), lambda: _stage_expressions(raw, has_prior))
+    parsed = materialize(docs, fault=e["prior"], doc=e["doc"])
+    gated = materialize(parsed, fault=e["fault"], fill_value=e["fill_value"], messages=e["messages"])
+    staged = materialize(gated, days=e["days"])
     return staged.drop("doc")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import strict_iso_date, utc_midnight
-from cropwire.functions.frames import materialize
+from cropwire.functions.frames import cached_expressions, materialize
 from cropwire.functions.json import has_top_key, is_json_object, last_wins_entries, let
 from cropwire.functions.numbers import is_finite, read_double, read_long
 from cropwire.schemas import (
@@ -82,18 +82,9 @@ def _row_not_finite(r: Column) -> Column:
     return ~ok
 
 
-def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WEEKS, raw: str = "raw") -> DataFrame:
-    """Parse, gate and type every document; one row per document.
-
-    Adds ``fault`` / ``detail`` (C1-C3, C8; NULL when usable), ``rows`` (the
-    typed first-N rows of a usable document) and ``publishable`` (the rows
-    before the first non-finite price, which a strict JSON encoder refuses),
-    with ``publish_fault``. An existing ``fault`` column takes precedence and
-    skips the parse. The document is parsed once.
-    """
-    prior = F.col("fault") if "fault" in docs.columns else F.lit(None).cast("string")
+def _stage_expressions(raw: str, max_weeks: int | Column | None, has_prior: bool) -> dict[str, Column]:
+    prior = F.col("fault") if has_prior else F.lit(None).cast("string")
     r = F.col(raw)
-    parsed = materialize(docs, fault=prior, doc=F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)))
     doc = F.col("doc")
     # Only a document with none of the three keys can be a non-object; the
     # extra scan of the text runs for those alone.
@@ -102,22 +93,49 @@ def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WE
             .when(doc.isNull() | (empty & ~is_json_object(r)), F.lit("unparsable"))
             .when(has_top_key(r, doc[MARKET_ERROR_KEY], MARKET_ERROR_KEY), F.lit("provider_error"))
             .when(has_top_key(r, doc[MARKET_NOTE_KEY], MARKET_NOTE_KEY), F.lit("provider_note")))
-    gated = materialize(parsed, fault=gate)
     g = F.col("fault")
-    typed = materialize(gated, rows=F.when(g.isNull(), market_rows(market_entries(r, doc, max_weeks))))
     rows = F.col("rows")
-    fault = (F.when(g.isNotNull(), g)
-             .when(rows.isNull(), F.lit("missing_series"))
-             .when(F.exists(rows, _row_is_bad), F.lit("bad_entry")))
-    detail = (F.when(g == "provider_error", doc[MARKET_ERROR_KEY])
-              .when(g == "provider_note", doc[MARKET_NOTE_KEY]))
-    checked = materialize(typed, fault=fault, detail=detail)
     good = F.when(F.col("fault").isNull(), rows)
     first_bad = F.array_position(F.transform(good, _row_not_finite), True)
-    out = materialize(
-        checked, rows=good,
-        publishable=F.when(first_bad > 0, F.slice(good, 1, first_bad - 1)).otherwise(good),
-        publish_fault=F.when(first_bad > 0, F.lit("non_finite")))
+    return {
+        "prior": prior,
+        "doc": F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)),
+        "gate": gate,
+        "rows": F.when(g.isNull(), market_rows(market_entries(r, doc, max_weeks))),
+        "fault": (F.when(g.isNotNull(), g)
+                  .when(rows.isNull(), F.lit("missing_series"))
+                  .when(F.exists(rows, _row_is_bad), F.lit("bad_entry"))),
+        "detail": (F.when(g == "provider_error", doc[MARKET_ERROR_KEY])
+                   .when(g == "provider_note", doc[MARKET_NOTE_KEY])),
+        "good": good,
+        "publishable": F.when(first_bad > 0, F.slice(good, 1, first_bad - 1)).otherwise(good),
+        "publish_fault": F.when(first_bad > 0, F.lit("non_finite")),
+    }
+
+
+def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WEEKS, raw: str = "raw") -> DataFrame:
+    """Parse, gate and type every document; one row per document.
+
+    Adds ``fault`` / ``detail`` (C1-C3, C8; NULL when usable), ``rows`` (the
+    typed first-N rows of a usable document) and ``publishable`` (the rows
+    before the first non-finite price, which a strict JSON encoder refuses),
+    with ``publish_fault``. An existing ``fault`` column takes precedence and
+    skips the parse. The document is parsed once.
+    """
+    has_prior = "fault" in docs.columns
+
+    def build():
+        return _stage_expressions(raw, max_weeks, has_prior)
+
+    if isinstance(max_weeks, Column):
+        e = build()
+    else:
+        e = cached_expressions(("stage_market", raw, max_weeks, has_prior), build)
+    parsed = materialize(docs, fault=e["prior"], doc=e["doc"])
+    gated = materialize(parsed, fault=e["gate"])
+    typed = materialize(gated, rows=e["rows"])
+    checked = materialize(typed, fault=e["fault"], detail=e["detail"])
+    out = materialize(checked, rows=e["good"], publishable=e["publishable"], publish_fault=e["publish_fault"])
     return out.drop("doc")
 
 
