@@ -58,3 +58,17 @@ def test_keyed_stream_two_cycles(spark):
     spark.createDataFrame([("a", 2.0, 1), ("b", 3.0, 1)], schema).write.mode("append").parquet(landing)
     stream_keyed(spark, landing, schema, table, ckpt, **kw)
     assert {(r.k, r.v, r.cycle) for r in read_table(spark, table).collect()} == {("a", 1.0, 0), ("b", 3.0, 1)}
+
+
+def test_climate_stream_over_whole_text_files(spark):
+    import os
+    landing, table, ckpt = (scratch_path(spark, n) for n in ("w-land", "w-table", "w-ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "WHEAT_1.json"), "w") as f:
+        f.write(climate_doc(1.0))
+    stream_climate(spark, landing, producer_dimension(spark), table, ckpt, fmt="wholetext")
+    with open(os.path.join(landing, "CORN_1.json"), "w") as f:
+        f.write(climate_doc(2.0))
+    stream_climate(spark, landing, producer_dimension(spark), table, ckpt, fmt="wholetext")
+    got = {(r.producer_id, r.precipitation) for r in read_table(spark, table).collect()}
+    assert got == {("WHEAT_1", 1.0), ("CORN_1", 2.0)}
