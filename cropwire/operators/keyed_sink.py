@@ -127,6 +127,37 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
     return cand.join(stored_keys, on, "left_anti")
 
 
+def _commits(target: str) -> str:
+    # A folder starting with "_" is not part of the table for Spark's reader.
+    return f"{target.rstrip('/')}/_commits"
+
+
+def _record_commit(spark: SparkSession, target: str, last_id: int) -> None:
+    """After an append: one tiny marker row with the batch's last id."""
+    spark.createDataFrame([(last_id,)], "last_id bigint").coalesce(1).write.mode("append").parquet(_commits(target))
+
+
+def high_water_mark(spark: SparkSession, target: str, schema: T.StructType, id_col: str = "id") -> int:
+    """Largest stored id, without scanning the whole table.
+
+    Each append records its last id in a marker written after the data. The
+    mark is the largest recorded id, checked against the data files modified
+    since the newest marker (normally none: ``_metadata`` filters prune files
+    before reading). That covers an append whose marker was lost to a crash.
+    A table without markers is scanned once (id column only).
+    """
+    mtime = F.col("_metadata.file_modification_time")
+    data = spark.read.schema(schema).parquet(target)
+    try:
+        rec = spark.read.parquet(_commits(target)).agg(F.max("last_id").alias("m"), F.max(mtime).alias("t")).first()
+    except AnalysisException:
+        rec = None
+    if rec is None or rec["m"] is None:
+        return int(data.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"])
+    tail = data.filter(mtime >= F.lit(rec["t"])).agg(F.max(id_col).alias("m")).first()["m"]
+    return max(int(rec["m"]), int(tail or 0))
+
+
 def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival: list[str],
                      columns: list[str], not_null: list[str] | None = None,
                      partition_by: tuple[str, ...] = (), captured_at: str | None = None,
@@ -165,9 +196,7 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
             if offered == 0:  # E9: an empty batch is a no-op
                 return SinkResult(0, 0, rejected)
             fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows)
-            # The id high-water mark comes from the whole table (id column only).
-            base = spark.read.schema(schema).parquet(target).agg(
-                F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"]
+            base = high_water_mark(spark, target, schema, id_col)
         ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
         def stored_value(c: str) -> Column:
@@ -180,6 +209,7 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
                 out = ranked.select(F.col(id_col), *[stored_value(c) for c in columns],
                                     F.lit(stamp).alias("captured_at"))
                 out.select(*store_cols).write.mode("append").partitionBy(*partition_by).parquet(target)
+                _record_commit(spark, target, int(base) + inserted)
             elif offered is None:  # E1: the table exists after the first call even when empty
                 create_table_if_absent(spark, target, schema, partition_by)
         finally:

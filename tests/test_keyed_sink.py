@@ -79,3 +79,17 @@ def test_large_batch_uses_shuffle_path(spark):
     assert res.inserted == 20
     ids = sorted(r.id for r in read_table(spark, t).collect())
     assert ids == list(range(1, 51)) and not any(math.isnan(r.v) for r in read_table(spark, t).collect())
+
+
+def test_high_water_mark_survives_a_lost_marker(spark):
+    from cropwire.operators.keyed_sink import high_water_mark
+    t = scratch_path(spark, "t-hwm")
+    insert_or_ignore(batch(spark, [("a", "1", 1.0, 1), ("b", "1", 2.0, 2)]), t, captured_at="c", **KW)
+    schema = read_table(spark, t).schema
+    assert high_water_mark(spark, t, schema) == 2
+    # an append whose marker never got written (crash between data and marker)
+    spark.createDataFrame([(7, "x", "1", 0.0, "c")], schema).write.mode("append").parquet(t)
+    assert high_water_mark(spark, t, schema) == 7
+    insert_or_ignore(batch(spark, [("c", "1", 3.0, 1)]), t, captured_at="c", **KW)
+    assert stored(spark, t)[("c", "1")][0] == 8
+    assert high_water_mark(spark, t, schema) == 8
