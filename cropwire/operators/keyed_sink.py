@@ -118,6 +118,13 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
                     one = one & F.col(c).eqNullSafe(v[c])
                 cond = cond | one
             stored = stored.filter(cond)
+    # The leading key usually has few distinct values per batch (producers,
+    # symbols): filtering on them is pushed into the Parquet scan, which skips
+    # row groups whose statistics cannot match (appends are clustered by
+    # document, hence by that key).
+    lead = cand.select(keys[0]).distinct().limit(PRUNE_VALUES + 1).collect()
+    if len(lead) <= PRUNE_VALUES and all(r[0] is not None for r in lead):
+        stored = stored.filter(F.col(keys[0]).isin([r[0] for r in lead]))
     stored_keys = stored.select(*on)
     if offered <= key_broadcast_rows:
         # Probe the stored keys with the (small) batch keys: the big table is

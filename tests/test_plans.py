@@ -33,8 +33,11 @@ def test_stored_table_is_probed_not_shuffled(spark):
     p = _formatted(_not_stored(spark, cand, t, stored.schema, fx.STORE_KEYS, (), 100, 1000))
     assert "BroadcastHashJoin LeftSemi" in p and "BroadcastHashJoin LeftAnti" in p
     assert "SortMergeJoin" not in p
-    # the stored side is scanned for its key columns only
+    # the stored side is scanned for its key columns only, with the batch's
+    # leading-key values pushed into the scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
+    assert any(line.startswith("PushedFilters") and "l_orderkey" in line and ("In(" in line or "GreaterThan" in line)
+               for line in p.splitlines())
 
 
 def _formatted(df) -> str:
