@@ -104,7 +104,8 @@ def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id"
 
 
 def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.StructType, keys: list[str],
-                partition_by: tuple[str, ...], offered: int, key_broadcast_rows: int) -> DataFrame:
+                partition_by: tuple[str, ...], offered: int, key_broadcast_rows: int,
+                lead_range: tuple | None = None) -> DataFrame:
     """Candidates whose key is not in the stored table (E3 anti join, planned for a large table)."""
     stored = spark.read.schema(schema).parquet(target)
     on = list(dict.fromkeys(keys + list(partition_by)))
@@ -118,13 +119,11 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
                     one = one & F.col(c).eqNullSafe(v[c])
                 cond = cond | one
             stored = stored.filter(cond)
-    # The leading key usually has few distinct values per batch (producers,
-    # symbols): filtering on them is pushed into the Parquet scan, which skips
-    # row groups whose statistics cannot match (appends are clustered by
-    # document, hence by that key).
-    lead = cand.select(keys[0]).distinct().limit(PRUNE_VALUES + 1).collect()
-    if len(lead) <= PRUNE_VALUES and all(r[0] is not None for r in lead):
-        stored = stored.filter(F.col(keys[0]).isin([r[0] for r in lead]))
+    # The batch's range of the leading key is pushed into the Parquet scan,
+    # which skips row groups whose statistics lie outside it (appends are
+    # clustered by document, hence by that key).
+    if lead_range is not None and lead_range[0] is not None:
+        stored = stored.filter(F.col(keys[0]).between(F.lit(lead_range[0]), F.lit(lead_range[1])))
     stored_keys = stored.select(*on)
     if offered <= key_broadcast_rows:
         # Probe the stored keys with the (small) batch keys: the big table is
@@ -199,10 +198,15 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
             # the append itself creates the table.
             fresh, base, offered = cand, 0, None
         else:
-            offered = cand.count()
+            # One pass over the persisted candidates: their number and the
+            # range of the leading key.
+            st = cand.agg(F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"),
+                          F.max(keys[0]).alias("hi")).first()
+            offered = int(st["n"])
             if offered == 0:  # E9: an empty batch is a no-op
                 return SinkResult(0, 0, rejected)
-            fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows)
+            fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows,
+                                (st["lo"], st["hi"]))
             base = high_water_mark(spark, target, schema, id_col)
         ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
