@@ -40,3 +40,22 @@ def test_cycle_counts_come_from_observed_writes(spark):
     run = run_market_cycle(docs, topic, quarantine_path=q, report_path=rep, ts="t")
     assert (run.published, run.quarantined) == (2, 2)
     assert {(r.symbol, r.published) for r in spark.read.parquet(rep).collect()} == {("A", 2), ("B", 0), ("C", 0)}
+
+
+def test_partitioned_climate_table_cycle(spark):
+    from cropwire.plans.cycles import run_climate_cycle
+    from cropwire.sources import producer_dimension
+    table = scratch_path(spark, "p-climate")
+    raw = lambda v: json.dumps({"properties": {"parameter": {
+        k: {"20240101": v, "20240102": v} for k in ("PRECTOTCORR", "GWETROOT", "T2M_MAX", "T2M_MIN")}}})
+    schema = "producer_id string, doc_seq bigint, http_status int, raw string"
+    dim = producer_dimension(spark)
+    run_climate_cycle(spark.createDataFrame([("WHEAT_1", 1, 200, raw(1.0)), ("CORN_1", 2, 200, raw(2.0))], schema),
+                      dim, table, partition_by=("commodity_type",), captured_at="c1")
+    run_climate_cycle(spark.createDataFrame([("WHEAT_1", 3, 200, raw(9.0)), ("COFFEE_1", 4, 200, raw(3.0))], schema),
+                      dim, table, partition_by=("commodity_type",), captured_at="c2")
+    rows = read_table(spark, table).collect()
+    got = {(r.producer_id, r.date): (r.id, r.precipitation, r.commodity_type) for r in rows}
+    assert got[("WHEAT_1", "20240102")][1:] == (1.0, "WHEAT")
+    assert sorted(r.id for r in rows) == [1, 2, 3, 4, 5, 6]
+    assert {r.commodity_type for r in rows} == {"WHEAT", "CORN", "COFFEE"}
