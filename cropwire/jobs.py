@@ -1,7 +1,9 @@
 """Job entry points: what the two feed programs run, as Spark jobs.
 
-    python -m cropwire.jobs climate --landing L --table T [--quarantine Q] [--stream --checkpoint C]
-    python -m cropwire.jobs market  --landing L --topic-path P [--table T] [--max-weeks 520] [--stream ...]
+    spark-submit --py-files cropwire.zip cropwire/jobs.py climate --landing L --table T [--quarantine Q]
+        [--stream --checkpoint C --interval-hours 24]
+    spark-submit --py-files cropwire.zip cropwire/jobs.py market --landing L --topic-path P [--table T]
+        [--max-weeks 520] [--stream ...]
     python -m cropwire.jobs manifest --out O [--symbols WEAT,CORN,SOYB,JO,UNG] [--as-of 2024-03-01]
 
 Batch mode runs one cycle over everything landed under ``--landing``. With
