@@ -48,6 +48,11 @@ class ClimateCycle:
     messages: DataFrame
     report: DataFrame
 
+    @property
+    def no_data(self) -> DataFrame:
+        """D1 (climate twin): documents that gave no rows; a filter on the report, no join."""
+        return self.report.filter(F.col("rows") == 0).select("producer_id", "doc_seq")
+
 
 def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
     """F1 as a plan: lookup (A3/A5) -> status (A12) -> parse and gates (B) -> rows.
@@ -133,6 +138,11 @@ class MarketCycle:
     quarantine: DataFrame
     report: DataFrame
 
+    @property
+    def no_data(self) -> DataFrame:
+        """Documents that published nothing; a filter on the report, no join."""
+        return self.report.filter(F.col("published") == 0).select("symbol", "doc_seq")
+
 
 def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts: str | None = None,
                  topic: str = TOPIC) -> MarketCycle:

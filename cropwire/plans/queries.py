@@ -23,7 +23,7 @@ from cropwire.functions.numbers import nan_to_null
 from cropwire.operators import climate as cl
 from cropwire.operators import market as mk
 from cropwire.operators.events import (
-    event_json, market_events, no_data_report, publish_topic, read_topic, topic_messages,
+    event_json, market_events, publish_topic, read_topic, topic_messages,
 )
 from cropwire.operators.keyed_sink import insert_or_ignore, not_null_gate, read_table
 from cropwire.plans.cycles import (
@@ -344,9 +344,7 @@ def _events(spark, sf):
 
 @query
 def no_data_report_q(spark, sf):
-    docs = fx.fx_market_docs_faulty(spark, sf)
-    cyc = market_cycle(docs, N, STAMP)
-    return no_data_report(docs, cyc.events, "symbol")
+    return market_cycle(fx.fx_market_docs_faulty(spark, sf), N, STAMP).no_data.select("symbol")
 
 
 @query
