@@ -20,7 +20,7 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table (read-only input); the reader is kept so its schema is inferred once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark.sparkContext), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

@@ -32,7 +32,10 @@ def cached_expressions(key: tuple, build):
     the expressions depend on.
     """
     from pyspark import SparkContext
-    k = (id(SparkContext._active_spark_context), *key)
+    sc = SparkContext._active_spark_context
+    # applicationId is unique per context: a stopped and recreated session
+    # never receives expressions bound to the old one.
+    k = (sc.applicationId if sc is not None else None, *key)
     if k not in _EXPRESSIONS:
         _EXPRESSIONS[k] = build()
     return _EXPRESSIONS[k]
