@@ -24,7 +24,20 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from cropwire.plans.queries import KEYS
-    return dict(KEYS)
+    return dict(KEYS) | _optional()[0]
+
+
+def _optional() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; none if that subpackage or the pipeline is not there."""
+    try:
+        import corpus_pipeline
+        from cropwire.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as gone:
+        if (gone.name or "").split(".")[:2] not in (["corpus_pipeline"], ["cropwire", "llm"]):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, ORACLES | sql
 
 
 # Shared WITH-prefixes. P_M: weekly prices per brand; P_C: daily values per
@@ -148,4 +161,4 @@ _ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(_ORACLES) | _optional()[1]

@@ -50,5 +50,10 @@ def checkpoint_base(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_base(spark)}/cropwire/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder; removed when the driver's JVM ends."""
+    folder = f"{checkpoint_base(spark)}/cropwire/{spark.sparkContext.applicationId}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop)
+    fs.deleteOnExit(hadoop)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
