@@ -1,9 +1,16 @@
 """Registered queries of the training-data operators, and their DuckDB SQL."""
 
+from cropwire.llm.ann import op9_nearest_neighbours
 from cropwire.llm.mixing import op10_mix_sources
+from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
+    "op2_exact_top_k": op2_exact_top_k,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+#: SQL for the operators that SQL can express; the others have brute-force tests.
+ORACLES = {
+    "op2_exact_top_k": OP2_SQL,
+}
