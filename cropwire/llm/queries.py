@@ -3,11 +3,13 @@
 from cropwire.llm.ann import op9_nearest_neighbours
 from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.packing import op5_best_fit_packing
+from cropwire.llm.toxicity import op8_toxicity
 from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
 }
