@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators, and their DuckDB SQL."""
 
 from cropwire.llm.ann import op9_nearest_neighbours
+from cropwire.llm.language import op7_language_id
 from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.packing import op5_best_fit_packing
 from cropwire.llm.toxicity import op8_toxicity
@@ -9,6 +10,7 @@ from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
