@@ -5,10 +5,12 @@ from cropwire.llm.language import op7_language_id
 from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.packing import op5_best_fit_packing
 from cropwire.llm.toxicity import op8_toxicity
+from cropwire.llm.partenum import op4_ngram_jaccard_join
 from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
