@@ -6,9 +6,11 @@ from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.packing import op5_best_fit_packing
 from cropwire.llm.toxicity import op8_toxicity
 from cropwire.llm.partenum import op4_ngram_jaccard_join
+from cropwire.llm.scoring import op1_lm_scoring
 from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_top_k": op2_exact_top_k,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -20,5 +22,6 @@ QUERIES = {
 
 #: SQL for the operators that SQL can express; the others have brute-force tests.
 ORACLES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_top_k": OP2_SQL,
 }
