@@ -1,16 +1,74 @@
-"""The corpus pipeline: toxicity, language ID, near duplicates, mixing, packing."""
+"""The corpus pipeline: toxicity, language ID, near duplicates, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all documents that the one
+before it kept, and returns a DataFrame; ``run`` writes it as Parquet and reads it
+again for the next. All but the last return the columns of ``documents``. Rows
+that repeat a doc_id are decided on alike; rows with a null doc_id pass the
+filters on their text. Empty input gives empty output.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cropwire.llm.common import cut, read_table
+from cropwire.llm.language import identify_language
+from cropwire.llm.mixing import mix_sources
+from cropwire.llm.packing import pack_documents
+from cropwire.llm.partenum import jaccard_components
+from cropwire.llm.toxicity import score_toxicity
+
+#: A language found with less certainty than this is no language that was learned.
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    bad = scored.filter("predicted = 1").select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that was learned; ``und`` and very unsure ones go."""
+    found = identify_language(docs)
+    bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_LANGUAGE_SCORE)).select("doc_id").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: the one that names it. Rows that repeat its id are reduced to one."""
+    groups = jaccard_components(docs)
+    linked = groups.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    rest = docs.join(linked, docs["doc_id"].eqNullSafe(linked["doc_id"]), "left_anti")
+    named = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
+    repeated = rest.join(named, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return rest.join(named, "doc_id", "left_anti").select(docs.columns).unionByName(repeated)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix reads it."""
+    mixed = mix_sources(docs)
+    decisions = mixed.groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
+    of = decisions.select(F.col("doc_id").alias("of_"), F.col("source").alias("from_"), "copies")
+    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("of_")) & F.col("source").eqNullSafe(F.col("from_")))
+    return (again.withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequences and offsets."""
+    return pack_documents(docs)
+
+
+STAGES = [("toxicity", toxicity), ("language", language), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
 
-STAGES: list = []
+#: Learned models, similarity components and tokens are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each reading what the one before it wrote."""
-    from cropwire.llm.common import cut, read_table
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -6,14 +6,18 @@ from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.packing import op5_best_fit_packing
 from cropwire.llm.toxicity import op8_toxicity
 from cropwire.llm.partenum import op4_ngram_jaccard_join
+from cropwire.llm.preference import OP3_SQL, op3_preference_formatting
+from cropwire.llm.quality import op6_quality
 from cropwire.llm.scoring import op1_lm_scoring
 from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_preference_formatting": op3_preference_formatting,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_quality": op6_quality,
     "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
@@ -24,4 +28,5 @@ QUERIES = {
 ORACLES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_top_k": OP2_SQL,
+    "op3_preference_formatting": OP3_SQL,
 }
