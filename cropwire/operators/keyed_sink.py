@@ -8,6 +8,7 @@ ids, and the batch is appended with one write. Replaying a batch adds nothing.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +19,8 @@ from pyspark.errors import AnalysisException
 from cropwire.functions.dates import utc_now_iso
 from cropwire.functions.numbers import nan_to_null
 
-# Batch keys up to this many are broadcast to probe the stored keys; beyond it
-# the anti join shuffles both sides on the key.
-KEY_BROADCAST_ROWS = 2_000_000
-# Distinct partition values of one batch used for static partition pruning.
-PRUNE_VALUES = 10_000
+# Commit markers above which they are folded into one.
+MARKERS = 64
 
 
 @dataclass
@@ -42,6 +40,25 @@ def table_exists(spark: SparkSession, path: str, schema: T.StructType | None = N
         return False
 
 
+def _layout_path(target: str) -> str:
+    # A folder starting with "_" is not part of the table for Spark's reader.
+    return f"{target.rstrip('/')}/_layout"
+
+
+def _record_layout(spark: SparkSession, target: str, schema: T.StructType, partition_by: tuple[str, ...]) -> None:
+    spark.createDataFrame([(schema.json(), list(partition_by))], "schema string, partition_by array<string>") \
+        .coalesce(1).write.mode("overwrite").parquet(_layout_path(target))
+
+
+def table_layout(spark: SparkSession, target: str) -> tuple[T.StructType, tuple[str, ...]] | None:
+    """The table's declared schema and partition columns; None for a table written without them."""
+    try:
+        r = spark.read.parquet(_layout_path(target)).first()
+    except AnalysisException:
+        return None
+    return (T.StructType.fromJson(json.loads(r["schema"])), tuple(r["partition_by"])) if r else None
+
+
 def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
                            partition_by: tuple[str, ...] = ()) -> bool:
     """Create an empty table with ``schema`` unless one exists. True if created."""
@@ -49,6 +66,7 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType,
         return False
     empty = spark.createDataFrame([], schema)
     empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    _record_layout(spark, path, schema, partition_by)
     return True
 
 
@@ -64,13 +82,14 @@ def not_null_gate(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFra
 
 
 def first_writer(batch: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
-    """One row per key: the earliest by ``arrival`` (ties broken by nothing: keep it unique).
+    """One row per key: the earliest by ``arrival``, ties broken by the row's content.
 
     A ``min_by`` aggregate, not a window: it combines map-side, so a key
     holding a third of all rows still sends one row per map task.
     """
     payload = F.struct(*[F.col(c) for c in batch.columns])
-    order = F.struct(*[F.col(c) for c in arrival])
+    rest = [f.name for f in batch.schema.fields if f.name not in arrival and not isinstance(f.dataType, T.MapType)]
+    order = F.struct(*[F.col(c) for c in [*arrival, *rest]])
     return batch.groupBy(*keys).agg(F.min_by(payload, order).alias("_w")).select("_w.*")
 
 
@@ -104,43 +123,41 @@ def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id"
 
 
 def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.StructType, keys: list[str],
-                partition_by: tuple[str, ...], offered: int, key_broadcast_rows: int,
-                lead_range: tuple | None = None) -> DataFrame:
-    """Candidates whose key is not in the stored table (E3 anti join, planned for a large table)."""
-    stored = spark.read.schema(schema).parquet(target)
-    on = list(dict.fromkeys(keys + list(partition_by)))
-    if partition_by:
-        vals = cand.select(*partition_by).distinct().limit(PRUNE_VALUES + 1).collect()
-        if len(vals) <= PRUNE_VALUES:
-            cond = F.lit(False)
-            for v in vals:
-                one = F.lit(True)
-                for c in partition_by:
-                    one = one & F.col(c).eqNullSafe(v[c])
-                cond = cond | one
-            stored = stored.filter(cond)
-    # The batch's range of the leading key is pushed into the Parquet scan,
-    # which skips row groups whose statistics lie outside it (appends are
-    # clustered by document, hence by that key).
-    if lead_range is not None and lead_range[0] is not None:
-        stored = stored.filter(F.col(keys[0]).between(F.lit(lead_range[0]), F.lit(lead_range[1])))
-    stored_keys = stored.select(*on)
-    if offered <= key_broadcast_rows:
-        # Probe the stored keys with the (small) batch keys: the big table is
-        # scanned once and never shuffled.
-        hits = stored_keys.join(F.broadcast(cand.select(*on)), on, "left_semi")
-        return cand.join(F.broadcast(hits), on, "left_anti")
-    return cand.join(stored_keys, on, "left_anti")
+                ranges: dict[str, tuple]) -> DataFrame:
+    """Candidates whose key is not in the stored table (E3 anti join, planned for a large table).
+
+    The batch's range of every key column is pushed into the scan of the
+    stored keys, which skips files and row groups outside it; where a key
+    column is a partition column, the join with the batch's keys prunes the folders
+    to the batch's own values as well. Spark sizes the persisted batch in bytes and
+    broadcasts its keys where they are small, so the large table is then
+    scanned once and never shuffled.
+    """
+    stored, probe = spark.read.schema(schema).parquet(target).select(*keys), cand.select(*keys)
+    for c, (low, high) in ranges.items():
+        if low is not None:
+            stored = stored.filter(F.col(c).between(F.lit(low), F.lit(high)))
+            # Says no more than the range, but marks the probe as selective.
+            probe = probe.filter(F.col(c) >= F.lit(low))
+    hits = stored.join(probe, keys, "left_semi")
+    return cand.join(hits, keys, "left_anti")
 
 
 def _commits(target: str) -> str:
-    # A folder starting with "_" is not part of the table for Spark's reader.
     return f"{target.rstrip('/')}/_commits"
 
 
 def _record_commit(spark: SparkSession, target: str, last_id: int) -> None:
     """After an append: one tiny marker row with the batch's last id."""
-    spark.createDataFrame([(last_id,)], "last_id bigint").coalesce(1).write.mode("append").parquet(_commits(target))
+    marker = spark.createDataFrame([(last_id,)], "last_id bigint").coalesce(1)
+    # The newest marker has the largest id, so the older ones can go now and then.
+    full = len(spark.read.schema("last_id bigint").parquet(_commits(target)).inputFiles()) >= MARKERS if _has(spark, _commits(target)) else False
+    marker.write.mode("overwrite" if full else "append").parquet(_commits(target))
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def high_water_mark(spark: SparkSession, target: str, schema: T.StructType, id_col: str = "id") -> int:
@@ -166,47 +183,58 @@ def high_water_mark(spark: SparkSession, target: str, schema: T.StructType, id_c
 
 def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival: list[str],
                      columns: list[str], not_null: list[str] | None = None,
-                     partition_by: tuple[str, ...] = (), captured_at: str | None = None,
-                     id_col: str = "id", key_broadcast_rows: int = KEY_BROADCAST_ROWS) -> SinkResult:
+                     partition_by: tuple[str, ...] | None = None, captured_at: str | None = None,
+                     id_col: str = "id", schema: T.StructType | None = None) -> SinkResult:
     """Append the rows of ``batch`` whose key is not stored yet.
 
     * ``keys``: the unique key; ``arrival``: order deciding the first writer
-      within the batch (earlier batches always win over later ones).
+      within the batch (earlier batches always win over later ones; equal
+      arrivals are decided by content).
     * ``columns``: stored columns besides ``id`` and ``captured_at``.
     * ``not_null``: rows with a NULL there are skipped and returned as rejected.
     * double columns are stored with NaN as NULL (E8).
     * ``captured_at``: one stamp for the whole batch (E5), default now (UTC).
-    * ``partition_by``: table partition columns; they must be determined by the
-      key, so the batch's values prune the stored files that are read.
+    * ``partition_by``: partition columns of a new table. An existing table keeps
+      its own; asking for others is an error.
+    * ``schema``: the declared schema of a new table; default: that of the batch.
     """
     spark = batch.sparkSession
-    if any(c not in columns for c in partition_by):
-        raise ValueError("partition columns must be stored columns")
     stamp = captured_at or utc_now_iso()
-    keep = list(dict.fromkeys(columns + keys + arrival + list(partition_by)))
+    fields = {f.name: f.dataType for f in batch.schema.fields}
+    if schema is None:
+        schema = T.StructType(
+            [T.StructField(id_col, T.LongType(), False)]
+            + [T.StructField(c, fields[c], True) for c in columns]
+            + [T.StructField("captured_at", T.StringType(), False)])
+    # The table exists from the first call on, with its declared schema.
+    wanted = tuple(partition_by or ())
+    if any(c not in columns for c in wanted):
+        raise ValueError("partition columns must be stored columns")
+    layout = table_layout(spark, target)
+    created = layout is None and create_table_if_absent(spark, target, schema, wanted)
+    if layout is not None:
+        schema, own = layout
+    else:
+        own = wanted if created else partition_columns(spark, target)
+    if partition_by is not None and wanted != own:
+        raise ValueError(f"{target} is partitioned by {list(own)}, not by {list(wanted)}")
+    keep = list(dict.fromkeys(columns + keys + arrival + list(own)))
     gated, rejected = not_null_gate(batch.select(*keep), not_null if not_null is not None else keys)
     cand = first_writer(gated, keys, arrival).persist()
-    fields = {f.name: f.dataType for f in gated.schema.fields}
     store_cols = [id_col, *columns, "captured_at"]
-    schema = T.StructType(
-        [T.StructField(id_col, T.LongType(), False)]
-        + [T.StructField(c, fields[c], True) for c in columns]
-        + [T.StructField("captured_at", T.StringType(), False)])
     try:
-        if not table_exists(spark, target, schema):
-            # Nothing stored yet: every candidate is new and ids start at 1;
-            # the append itself creates the table.
+        if created:
+            # Nothing stored yet: every candidate is new and ids start at 1.
             fresh, base, offered = cand, 0, None
         else:
             # One pass over the persisted candidates: their number and the
-            # range of the leading key.
-            st = cand.agg(F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"),
-                          F.max(keys[0]).alias("hi")).first()
+            # range of every key column.
+            st = cand.agg(F.count(F.lit(1)).alias("n"), *[f(k).alias(f"{n}_{k}") for k in keys
+                                                         for n, f in (("lo", F.min), ("hi", F.max))]).first()
             offered = int(st["n"])
             if offered == 0:  # E9: an empty batch is a no-op
                 return SinkResult(0, 0, rejected)
-            fresh = _not_stored(spark, cand, target, schema, keys, partition_by, offered, key_broadcast_rows,
-                                (st["lo"], st["hi"]))
+            fresh = _not_stored(spark, cand, target, schema, keys, {k: (st[f"lo_{k}"], st[f"hi_{k}"]) for k in keys})
             base = high_water_mark(spark, target, schema, id_col)
         ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
@@ -218,11 +246,11 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
         try:
             if inserted:
                 out = ranked.select(F.col(id_col), *[stored_value(c) for c in columns],
-                                    F.lit(stamp).alias("captured_at"))
-                out.select(*store_cols).write.mode("append").partitionBy(*partition_by).parquet(target)
+                                    F.lit(stamp).alias("captured_at")).select(*store_cols)
+                if own:  # few files per folder; Spark splits a large folder
+                    out = out.hint("rebalance", *[F.col(c) for c in own])
+                out.write.mode("append").partitionBy(*own).parquet(target)
                 _record_commit(spark, target, int(base) + inserted)
-            elif offered is None:  # E1: the table exists after the first call even when empty
-                create_table_if_absent(spark, target, schema, partition_by)
         finally:
             ranked.unpersist()
         return SinkResult(inserted if offered is None else offered, inserted, rejected)
@@ -230,5 +258,19 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
         cand.unpersist()
 
 
+def partition_columns(spark: SparkSession, target: str) -> tuple[str, ...]:
+    """Partition columns of a table without a recorded layout, from its folder names."""
+    names, path = [], spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    while True:
+        inside = [x.getPath() for x in fs.listStatus(path) if x.isDirectory() and "=" in x.getPath().getName()]
+        if not inside:
+            return tuple(names)
+        names.append(inside[0].getName().split("=")[0])
+        path = inside[0]
+
+
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+    """The stored rows, with the declared types (a text partition value stays text)."""
+    layout = table_layout(spark, target)
+    return spark.read.schema(layout[0]).parquet(target) if layout else spark.read.parquet(target)

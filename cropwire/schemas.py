@@ -63,7 +63,7 @@ TOPIC = "CommodityPrice"
 API_KEY_PLACEHOLDER = "{api_key}"
 
 DIMENSION_SCHEMA = T.StructType([
-    T.StructField("ordinal", T.IntegerType(), False),
+    T.StructField("ordinal", T.LongType(), False),
     T.StructField("producer_id", T.StringType(), False),
     T.StructField("producer_name", T.StringType(), True),
     T.StructField("commodity_type", T.StringType(), True),

@@ -1,14 +1,14 @@
 """Sources: producer dimension (A1-A5), request planning (A6-A9), landed documents."""
 
 from cropwire.sources.dimension import (
-    bounded_broadcast, lookup_producers, producer_dimension, producer_ids,
+    lookup_producers, producer_dimension, producer_ids,
     producers_exist, unknown_producers,
 )
 from cropwire.sources.documents import land_documents, scan_documents, status_fault, status_gate
 from cropwire.sources.requests import climate_request_manifest, market_request_manifest, symbol_list
 
 __all__ = [
-    "bounded_broadcast", "lookup_producers", "producer_dimension", "producer_ids",
+    "lookup_producers", "producer_dimension", "producer_ids",
     "producers_exist", "unknown_producers", "land_documents", "scan_documents", "status_fault",
     "status_gate", "climate_request_manifest", "market_request_manifest", "symbol_list",
 ]

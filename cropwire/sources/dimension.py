@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from cropwire.schemas import DIMENSION_SCHEMA, PRODUCERS
 
-# Rows up to which a dimension side is broadcast; above it the join shuffles.
-DIM_BROADCAST_ROWS = 1_000_000
-
 
 def producer_dimension(spark: SparkSession, table: DataFrame | None = None,
                        ordinal: str = "ordinal") -> DataFrame:
@@ -21,14 +18,15 @@ def producer_dimension(spark: SparkSession, table: DataFrame | None = None,
     """
     if table is None:
         rows = [(i, *p) for i, p in enumerate(PRODUCERS)]
-        return spark.createDataFrame(rows, DIMENSION_SCHEMA)
+        # Spark cannot know the size of rows from the driver; these are 25.
+        return F.broadcast(spark.createDataFrame(rows, DIMENSION_SCHEMA))
     cols = set(table.columns)
 
     def opt(name: str, dtype: str):
         return (F.col(name) if name in cols else F.lit(None)).cast(dtype).alias(name)
 
     return table.select(
-        F.col(ordinal).cast("int").alias("ordinal"),
+        F.col(ordinal).cast("bigint").alias("ordinal"),
         F.col("producer_id").cast("string").alias("producer_id"),
         opt("producer_name", "string"), opt("commodity_type", "string"),
         opt("latitude", "double"), opt("longitude", "double"),
@@ -40,32 +38,20 @@ def producer_ids(dim: DataFrame) -> DataFrame:
     return dim.select("ordinal", "producer_id").orderBy("ordinal")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only when it is proven to hold at most ``max_rows`` rows.
+def lookup_producers(docs: DataFrame, dim: DataFrame, key: str = "producer_id") -> DataFrame:
+    """Left lookup: dimension columns, NULL when the key is unknown.
 
-    A driver-local frame (the built-in dimension) is small by construction.
-    Otherwise the proof is a bounded count (``limit(max_rows + 1)``: each
-    partition stops reading past the bound, and with no column needed the scan
-    reads row counts only); a larger side is joined by shuffle instead.
+    Spark broadcasts the dimension where its size in bytes allows (the built-in
+    one always) and shuffles, splitting hot keys, where it does not.
     """
-    if df.isLocal() or df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_producers(docs: DataFrame, dim: DataFrame, key: str = "producer_id") -> DataFrame:
-    """Left lookup: dimension columns, NULL when the key is unknown."""
-    side = bounded_broadcast(dim.withColumnRenamed("producer_id", key))
-    return docs.join(side, key, "left")
+    return docs.join(dim.withColumnRenamed("producer_id", key), key, "left")
 
 
 def producers_exist(docs: DataFrame, dim: DataFrame, key: str = "producer_id") -> DataFrame:
     """Rows whose key is in the dimension (semi join)."""
-    side = bounded_broadcast(dim.select(F.col("producer_id").alias(key)))
-    return docs.join(side, key, "left_semi")
+    return docs.join(dim.select(F.col("producer_id").alias(key)), key, "left_semi")
 
 
 def unknown_producers(docs: DataFrame, dim: DataFrame, key: str = "producer_id") -> DataFrame:
     """Rows whose key is not in the dimension (anti join); they yield no data."""
-    side = bounded_broadcast(dim.select(F.col("producer_id").alias(key)))
-    return docs.join(side, key, "left_anti")
+    return docs.join(dim.select(F.col("producer_id").alias(key)), key, "left_anti")

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from cropwire.operators.keyed_sink import insert_or_ignore, read_table, sequence_ids
@@ -71,11 +72,15 @@ def test_sequence_ids_dense_and_ordered(spark):
     assert sorted((r.id, r.x) for r in out) == [(i + 11, i) for i in range(1000)]
 
 
-def test_large_batch_uses_shuffle_path(spark):
+def test_shuffled_join_gives_the_same(spark):
     t = scratch_path(spark, "t-big")
     rows = [("k%d" % i, "1", float(i), i) for i in range(50)]
     insert_or_ignore(batch(spark, rows[:30]), t, captured_at="c", **KW)
-    res = insert_or_ignore(batch(spark, rows), t, captured_at="c", key_broadcast_rows=10, **KW)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = insert_or_ignore(batch(spark, rows), t, captured_at="c", **KW)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert res.inserted == 20
     ids = sorted(r.id for r in read_table(spark, t).collect())
     assert ids == list(range(1, 51)) and not any(math.isnan(r.v) for r in read_table(spark, t).collect())
@@ -93,3 +98,60 @@ def test_high_water_mark_survives_a_lost_marker(spark):
     insert_or_ignore(batch(spark, [("c", "1", 3.0, 1)]), t, captured_at="c", **KW)
     assert stored(spark, t)[("c", "1")][0] == 8
     assert high_water_mark(spark, t, schema) == 8
+
+
+def test_partitioned_batch_then_stream_keeps_every_row(spark):
+    from cropwire.streaming import stream_keyed
+    t, landing, ckpt = (scratch_path(spark, n) for n in ("t-mixed", "t-mixed-land", "t-mixed-ckpt"))
+    kw = dict(keys=["k", "d"], arrival=["seq"], columns=["k", "d", "v"], captured_at="c")
+    insert_or_ignore(batch(spark, [("007", "1", 1.0, 1)]), t, partition_by=("k",), **kw)
+    batch(spark, [("007", "1", 9.0, 1), ("008", "1", 2.0, 2)]).write.parquet(landing)
+    stream_keyed(spark, landing, SCHEMA, t, ckpt, **kw)  # does not name the layout: the table's own holds
+    assert stored(spark, t) == {("007", "1"): (1, 1.0, "c"), ("008", "1"): (2, 2.0, "c")}  # text keys stay text
+    insert_or_ignore(batch(spark, [("008", "1", 5.0, 1), ("009", "1", 3.0, 2)]), t, partition_by=("k",), **kw)
+    assert sorted(r.id for r in read_table(spark, t).collect()) == [1, 2, 3]
+
+
+def test_another_partitioning_is_refused(spark):
+    t = scratch_path(spark, "t-layout")
+    insert_or_ignore(batch(spark, [("a", "1", 1.0, 1)]), t, captured_at="c", partition_by=("k",), **KW)
+    with pytest.raises(ValueError, match="partitioned by"):
+        insert_or_ignore(batch(spark, [("b", "1", 1.0, 1)]), t, captured_at="c", partition_by=("d",), **KW)
+
+
+def test_many_partition_values(spark):
+    t = scratch_path(spark, "t-many")
+    rows = spark.range(2000).selectExpr("concat('p', id) AS k", "'1' AS d", "CAST(id AS DOUBLE) AS v", "CAST(id AS INT) AS seq")
+    kw = dict(captured_at="c", **KW)
+    insert_or_ignore(rows.filter("seq % 100 = 0"), t, partition_by=("k",), **kw)
+    assert insert_or_ignore(rows.filter("seq % 10 = 0"), t, **kw).inserted == 180
+
+
+def test_a_key_whose_partition_changes_is_stored_once(spark):
+    t = scratch_path(spark, "t-moved")
+    kw = dict(keys=["d"], arrival=["seq"], columns=["k", "d", "v"], captured_at="c", partition_by=("k",))
+    insert_or_ignore(batch(spark, [("a", "1", 1.0, 1)]), t, **kw)
+    assert insert_or_ignore(batch(spark, [("b", "1", 2.0, 1)]), t, **kw).inserted == 0
+
+
+def test_equal_arrivals_are_decided_by_content(spark):
+    rows = [("a", "1", float(v), 0) for v in (5, 3, 4)]
+    for order in (rows, rows[::-1]):
+        t = scratch_path(spark, "t-tie")
+        insert_or_ignore(batch(spark, order).repartition(3), t, captured_at="c", **KW)
+        assert stored(spark, t)[("a", "1")][1] == 3.0
+
+
+def test_markers_are_folded(spark):
+    from cropwire.operators import keyed_sink as ks
+    t = scratch_path(spark, "t-markers")
+    insert_or_ignore(batch(spark, [("a", "1", 1.0, 1)]), t, captured_at="c", **KW)
+    schema = read_table(spark, t).schema
+    before, ks.MARKERS = ks.MARKERS, 3
+    try:
+        for i in range(2, 6):
+            insert_or_ignore(batch(spark, [(f"a{i}", "1", 1.0, 1)]), t, captured_at="c", **KW)
+    finally:
+        ks.MARKERS = before
+    assert len(spark.read.parquet(f"{t}/_commits").inputFiles()) <= 3
+    assert ks.high_water_mark(spark, t, schema) == 5
