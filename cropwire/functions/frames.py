@@ -20,6 +20,7 @@ def materialize(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(packed)))
 
 
+_KEPT = 64  # sets of expressions kept; the oldest goes first
 _EXPRESSIONS: dict = {}
 
 
@@ -37,5 +38,7 @@ def cached_expressions(key: tuple, build):
     # never receives expressions bound to the old one.
     k = (sc.applicationId if sc is not None else None, *key)
     if k not in _EXPRESSIONS:
+        if len(_EXPRESSIONS) >= _KEPT:
+            del _EXPRESSIONS[next(iter(_EXPRESSIONS))]
         _EXPRESSIONS[k] = build()
     return _EXPRESSIONS[k]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,9 +51,21 @@ def last_wins_map(m: Column) -> Column:
     return F.when(F.size(keys) == F.size(m), m).otherwise(F.map_from_entries(last_wins_entries(m)))
 
 
-def is_json_object(raw: Column) -> Column:
-    """True when ``raw`` is a JSON object (false for arrays, scalars, junk)."""
-    return F.json_object_keys(raw).isNotNull()
+_END = "__end"
+
+
+def parse_whole(raw: Column, schema: str) -> Column:
+    """``from_json`` of the whole text: NULL unless ``raw`` is one JSON object and nothing else.
+
+    The plain parser stops behind the first value and accepts any text after
+    it. Here the text stands in an array before a closing mark, which is only
+    reached if the text is exactly one value; one parse does both.
+    """
+    wrapped = F.concat(F.lit("["), raw, F.lit(f',{{"{_END}":"1"}}]'))
+    fields = T.StructType.fromDDL(schema).fields
+    parsed = F.from_json(wrapped, T.ArrayType(T.StructType([*fields, T.StructField(_END, T.StringType())])))
+    return let(parsed, lambda a: F.when(
+        (F.size(a) == 2) & (F.try_element_at(a, F.lit(2))[_END] == "1"), F.try_element_at(a, F.lit(1))))
 
 
 def has_top_key(raw: Column, parsed_value: Column, key: str) -> Column:

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 
 def read_double(text: Column) -> Column:
-    """JSON leaf text to double; unreadable text gives NULL instead of an error."""
-    return text.try_cast("double")
+    """JSON leaf text to double; unreadable text gives NULL instead of an error.
+
+    Of the words for non-finite numbers only ``NaN`` and ``Infinity`` are read,
+    in exactly this spelling; Spark's cast knows more (``inf``, ``nan``, ...).
+    """
+    word = F.lower(text).contains("n") & ~text.rlike(r"^\s*[+-]?(NaN|Infinity)\s*$")
+    return F.when(~word, text.try_cast("double"))
 
 
 def read_long(text: Column) -> Column:
-    """Strict integer read: ``'12.0'`` is NULL, like a strict long parse of a JSON string."""
-    return text.try_cast("bigint")
+    """Strict integer read: ``'12.0'`` and ``' 12 '`` are NULL, like a strict long parse of a JSON string."""
+    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
 def fill_to_nan(value: Column, fill: Column) -> Column:

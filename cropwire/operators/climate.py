@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropwire.functions.frames import cached_expressions, materialize
-from cropwire.functions.json import is_json_object, last_wins_map, let
+from cropwire.functions.json import last_wins_map, let, parse_whole
 from cropwire.functions.numbers import fill_to_nan, read_double
 from cropwire.schemas import CLIMATE_JSON_SCHEMA, CLIMATE_SERIES
 
@@ -20,11 +20,11 @@ _SHORT = ["p", "g", "x", "n"]
 
 
 def parse_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
-    """B1: parse every document once into column ``doc`` (never raises)."""
-    return docs.withColumn("doc", F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA))
+    """B1: parse every document once into column ``doc`` (never raises); NULL unless the text is one object."""
+    return docs.withColumn("doc", parse_whole(F.col(raw), CLIMATE_JSON_SCHEMA))
 
 
-def climate_fault(raw: Column, doc: Column) -> Column:
+def climate_fault(doc: Column) -> Column:
     """Reason a document yields no rows, in the order the checks run.
 
     ``unparsable`` (not a JSON object), ``missing_properties``,
@@ -37,7 +37,8 @@ def climate_fault(raw: Column, doc: Column) -> Column:
     for s in CLIMATE_SERIES:
         series_missing = series_missing | param[s].isNull()
     return (
-        F.when(props.isNull(), F.when(is_json_object(raw), F.lit("missing_properties")).otherwise(F.lit("unparsable")))
+        F.when(doc.isNull(), F.lit("unparsable"))
+        .when(props.isNull(), F.lit("missing_properties"))
         .when(param.isNull(), F.lit("missing_parameter"))
         .when(series_missing, F.lit("missing_series"))
     )
@@ -126,8 +127,8 @@ def _stage_expressions(raw: str, has_prior: bool) -> dict[str, Column]:
     doc = F.col("doc")
     return {
         "prior": prior,
-        "doc": F.when(prior.isNull(), F.from_json(F.col(raw), CLIMATE_JSON_SCHEMA)),
-        "fault": F.coalesce(F.col("fault"), climate_fault(F.col(raw), doc)),
+        "doc": F.when(prior.isNull(), parse_whole(F.col(raw), CLIMATE_JSON_SCHEMA)),
+        "fault": F.coalesce(F.col("fault"), climate_fault(doc)),
         "fill_value": climate_fill_value(doc),
         "messages": doc["messages"],
         "days": F.when(F.col("fault").isNull(), climate_days(doc, F.col("fill_value"))),
@@ -156,8 +157,8 @@ def climate_messages(staged: DataFrame, key: str = "producer_id") -> DataFrame:
 
 
 def climate_aligned_days(staged: DataFrame, key: str = "producer_id") -> DataFrame:
-    """Every date of the first series with its verdicts."""
-    return staged.select(key, F.inline("days")).select(key, "date", "complete", "bad")
+    """Every date of the first series with its verdicts and the values found there."""
+    return staged.select(key, F.inline("days")).select(key, "date", "complete", "bad", *VALUE_COLUMNS)
 
 
 def climate_complete_days(staged: DataFrame, key: str = "producer_id") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cropwire.functions.dates import strict_iso_date, utc_midnight
 from cropwire.functions.frames import cached_expressions, materialize
-from cropwire.functions.json import has_top_key, is_json_object, last_wins_entries, let
+from cropwire.functions.json import has_top_key, last_wins_entries, let, parse_whole
 from cropwire.functions.numbers import is_finite, read_double, read_long
 from cropwire.schemas import (
     MARKET_ENTRY_SCHEMA, MARKET_ERROR_KEY, MARKET_FIELDS, MARKET_JSON_SCHEMA, MARKET_MAX_WEEKS,
@@ -29,7 +29,33 @@ ROW_FIELDS = ["pos", "week", "price_date", "price_timestamp", "open", "high", "l
 
 def parse_market(docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse every document once into column ``doc``."""
-    return docs.withColumn("doc", F.from_json(F.col(raw), MARKET_JSON_SCHEMA))
+    return docs.withColumn("doc", parse_whole(F.col(raw), MARKET_JSON_SCHEMA))
+
+
+def _first_n(max_weeks: int | Column | None):
+    if max_weeks is None:  # the whole series (C4 without C5)
+        return lambda entries: entries
+    n = F.greatest(F.lit(max_weeks) if isinstance(max_weeks, int) else max_weeks, F.lit(0))
+    return lambda entries: F.slice(entries, 1, n)
+
+
+def unquoted_volumes(raw: Column, entries: Column, max_weeks: int | Column | None) -> Column:
+    """Per entry, whether its volume is an unquoted number; NULL unless some volume is a number but no whole one.
+
+    Text and number read alike in the typed parse. Only a document that holds
+    such a volume is read again, entry by entry.
+    """
+    odd = F.exists(entries, lambda e: e["value"][_VOLUME].isNotNull() & read_long(e["value"][_VOLUME]).isNull()
+                   & e["value"][_VOLUME].try_cast("double").isNotNull())
+    numbers = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA)[MARKET_SERIES_KEY], lambda m: F.transform(
+        _first_n(max_weeks)(last_wins_entries(m)),
+        lambda e: F.from_json(e["value"], f"`{_VOLUME}` DOUBLE")[_VOLUME].isNotNull()))
+    return F.when(odd, numbers)
+
+
+def _volume(text: Column, unquoted: Column) -> Column:
+    """A quoted volume is read strictly, an unquoted number is cut to a whole one (``12.7`` and ``1e3`` are read)."""
+    return F.coalesce(read_long(text), F.when(unquoted, text.try_cast("decimal(38,9)").try_cast("bigint")))
 
 
 def market_entries(raw: Column, doc: Column, max_weeks: int | Column | None = MARKET_MAX_WEEKS) -> Column:
@@ -40,14 +66,7 @@ def market_entries(raw: Column, doc: Column, max_weeks: int | Column | None = MA
     first N entries are parsed, so that entries past N stay unexamined.
     NULL when there is no series object.
     """
-    if max_weeks is None:  # the whole series (C4 without C5)
-        def first_n(entries: Column) -> Column:
-            return entries
-    else:
-        n = F.greatest(F.lit(max_weeks) if isinstance(max_weeks, int) else max_weeks, F.lit(0))
-
-        def first_n(entries: Column) -> Column:
-            return F.slice(entries, 1, n)
+    first_n = _first_n(max_weeks)
     typed = doc[MARKET_SERIES_KEY]
     fast = first_n(last_wins_entries(typed))
     slow = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA)[MARKET_SERIES_KEY], lambda m: F.transform(
@@ -56,14 +75,15 @@ def market_entries(raw: Column, doc: Column, max_weeks: int | Column | None = MA
     return F.when(typed.isNotNull(), fast).otherwise(slow)
 
 
-def market_rows(entries: Column) -> Column:
-    """Typed rows; a NULL field marks an unreadable entry."""
+def market_rows(entries: Column, unquoted: Column | None = None) -> Column:
+    """Typed rows; a NULL field marks an unreadable entry. ``unquoted``: from ``unquoted_volumes``."""
+    unquoted = F.lit(None).cast("array<boolean>") if unquoted is None else unquoted
     return F.transform(entries, lambda e, i: F.struct(
         i.alias("pos"),
         e["key"].alias("week"),
         strict_iso_date(e["key"]).alias("price_date"),
         *[read_double(e["value"][f]).alias(name) for name, f in list(_DOUBLES.items())[:5]],
-        read_long(e["value"][_VOLUME]).alias("volume"),
+        _volume(e["value"][_VOLUME], F.coalesce(F.try_element_at(unquoted, i + 1), F.lit(False))).alias("volume"),
         read_double(e["value"][_DOUBLES["dividend_amount"]]).alias("dividend_amount"),
     ))
 
@@ -86,11 +106,8 @@ def _stage_expressions(raw: str, max_weeks: int | Column | None, has_prior: bool
     prior = F.col("fault") if has_prior else F.lit(None).cast("string")
     r = F.col(raw)
     doc = F.col("doc")
-    # Only a document with none of the three keys can be a non-object; the
-    # extra scan of the text runs for those alone.
-    empty = doc[MARKET_ERROR_KEY].isNull() & doc[MARKET_NOTE_KEY].isNull() & doc[MARKET_SERIES_KEY].isNull()
     gate = (F.when(F.col("fault").isNotNull(), F.col("fault"))
-            .when(doc.isNull() | (empty & ~is_json_object(r)), F.lit("unparsable"))
+            .when(doc.isNull(), F.lit("unparsable"))
             .when(has_top_key(r, doc[MARKET_ERROR_KEY], MARKET_ERROR_KEY), F.lit("provider_error"))
             .when(has_top_key(r, doc[MARKET_NOTE_KEY], MARKET_NOTE_KEY), F.lit("provider_note")))
     g = F.col("fault")
@@ -99,9 +116,11 @@ def _stage_expressions(raw: str, max_weeks: int | Column | None, has_prior: bool
     first_bad = F.array_position(F.transform(good, _row_not_finite), True)
     return {
         "prior": prior,
-        "doc": F.when(prior.isNull(), F.from_json(r, MARKET_JSON_SCHEMA)),
+        "doc": F.when(prior.isNull(), parse_whole(r, MARKET_JSON_SCHEMA)),
         "gate": gate,
-        "rows": F.when(g.isNull(), market_rows(market_entries(r, doc, max_weeks))),
+        "entries": F.when(g.isNull(), market_entries(r, doc, max_weeks)),
+        "unquoted": unquoted_volumes(r, F.col("entries"), max_weeks),
+        "rows": market_rows(F.col("entries"), F.col("unquoted")),
         "fault": (F.when(g.isNotNull(), g)
                   .when(rows.isNull(), F.lit("missing_series"))
                   .when(F.exists(rows, _row_is_bad), F.lit("bad_entry"))),
@@ -133,7 +152,8 @@ def stage_market(docs: DataFrame, max_weeks: int | Column | None = MARKET_MAX_WE
         e = cached_expressions(("stage_market", raw, max_weeks, has_prior), build)
     parsed = materialize(docs, fault=e["prior"], doc=e["doc"])
     gated = materialize(parsed, fault=e["gate"])
-    typed = materialize(gated, rows=e["rows"])
+    entries = materialize(materialize(gated, entries=e["entries"]), unquoted=e["unquoted"])
+    typed = materialize(entries, rows=e["rows"]).drop("entries", "unquoted")
     checked = materialize(typed, fault=e["fault"], detail=e["detail"])
     out = materialize(checked, rows=e["good"], publishable=e["publishable"], publish_fault=e["publish_fault"])
     return out.drop("doc")

@@ -7,7 +7,7 @@ from cropwire import fixtures as fx
 from cropwire.operators.keyed_sink import _not_stored, first_writer, insert_or_ignore
 from cropwire.plans.cycles import climate_cycle, market_cycle
 from cropwire.session import scratch_path
-from cropwire.sources import lookup_producers, producer_dimension
+from cropwire.sources import lookup_producers, producer_dimension, producers_exist, unknown_producers
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,9 +30,10 @@ def test_stored_table_is_probed_not_shuffled(spark):
     cand = first_writer(b.filter("cycle = 1").select(*fx.STORE_COLUMNS, "l_partkey", "l_suppkey", "l_shipdate"),
                         fx.STORE_KEYS, fx.STORE_ARRIVAL)
     stored = spark.read.parquet(t)
-    p = _formatted(_not_stored(spark, cand, t, stored.schema, fx.STORE_KEYS, (), 100, 1000, (5, 500)))
+    p = _formatted(_not_stored(spark, cand, t, stored.schema, fx.STORE_KEYS, {"l_orderkey": (5, 500), "l_linenumber": (1, 7)}))
     assert "BroadcastHashJoin LeftSemi" in p and "BroadcastHashJoin LeftAnti" in p
     assert "SortMergeJoin" not in p
+    assert any("LessThanOrEqual(l_linenumber,7)" in line for line in p.splitlines() if line.startswith("PushedFilters"))
     # the stored side is scanned for its key columns only, with the batch's
     # leading-key values pushed into the scan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
@@ -58,8 +59,18 @@ def test_cycles_parse_each_document_once(spark):
     c = climate_cycle(fx.fx_climate_docs(spark, SF), dim)
     assert plan(c.observations).count("from_json") == 1
     m = market_cycle(fx.fx_market_docs(spark, SF), 10, "t")
-    # the typed parse, plus the lazily evaluated text fallback of the series
-    assert plan(m.events).count("from_json(") <= 3
+    # the typed parse, plus the lazily evaluated text readings of the series
+    # (entries that are no objects, volumes that are no whole numbers)
+    assert plan(m.events).count("from_json(") <= 5
+    # the quarantine stages the documents once as well
+    assert plan(c.quarantine).count("from_json") == 1
+    assert plan(m.quarantine).count("from_json(") == plan(m.events).count("from_json(")
+
+
+def test_lookups_gather_nothing_into_one_task(spark):
+    dim, docs = producer_dimension(spark, fx.fx_producers(spark, SF)), fx.fx_climate_docs(spark, SF).select("producer_id")
+    for op in (lookup_producers, producers_exist, unknown_producers):
+        assert "SinglePartition" not in plan(op(docs, dim))
 
 
 def test_first_writer_combines_map_side(spark):
