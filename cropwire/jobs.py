@@ -22,38 +22,41 @@ from pyspark.sql import SparkSession
 from cropwire.plans.cycles import run_climate_cycle, run_market_cycle
 from cropwire.schemas import CLIMATE_DAYS, MARKET_MAX_WEEKS, TOPIC
 from cropwire.sources import (
-    climate_request_manifest, market_request_manifest, producer_dimension, scan_documents, symbol_list,
+    climate_request_manifest, market_request_manifest, producer_dimension, producer_ids, scan_documents, symbol_list,
 )
-from cropwire.streaming.landing import run_available
+from cropwire.streaming.landing import stream_climate, stream_market
 
 
 def _dimension(spark: SparkSession, path: str | None):
     return producer_dimension(spark, spark.read.parquet(path) if path else None)
 
 
-def climate(spark: SparkSession, a: argparse.Namespace) -> None:
-    dim = _dimension(spark, a.dimension)
+def _run(spark: SparkSession, a: argparse.Namespace, key: str, cycle, stream_cycle) -> None:
+    """One batch cycle over the landing folder, or the stream over it; both with the same outputs."""
+    kw = dict(partition_by=tuple(a.partition_by) if a.partition_by else None, report_path=a.report)
     if not a.stream:
-        docs = scan_documents(spark, a.landing, "producer_id", a.format)
-        run_climate_cycle(docs, dim, a.table, a.quarantine, partition_by=tuple(a.partition_by or ()))
+        cycle(scan_documents(spark, a.landing, key, a.format), dict(kw, batch_id=a.batch_id))
         return
-    stream = scan_documents(spark, a.landing, "producer_id", a.format, stream=True)
-    q = run_available(stream, lambda b, _: run_climate_cycle(b, dim, a.table, a.quarantine),
-                      a.checkpoint, f"{a.interval_hours} hours" if a.interval_hours > 0 else None)
+    q = stream_cycle(dict(kw, fmt=a.format, max_files=a.max_files,
+                          processing_time=f"{a.interval_hours} hours" if a.interval_hours > 0 else None))
     if a.interval_hours > 0:
         q.awaitTermination()
 
 
+def climate(spark: SparkSession, a: argparse.Namespace) -> None:
+    dim = _dimension(spark, a.dimension)
+    more = dict(messages_path=a.messages, requested=producer_ids(dim) if a.requested else None)
+    _run(spark, a, "producer_id",
+         lambda docs, kw: run_climate_cycle(docs, dim, a.table, a.quarantine, **more, **kw),
+         lambda kw: stream_climate(spark, a.landing, dim, a.table, a.checkpoint, a.quarantine, messages_path=a.messages, **kw))
+
+
 def market(spark: SparkSession, a: argparse.Namespace) -> None:
-    kw = dict(table=a.table, quarantine_path=a.quarantine, max_weeks=a.max_weeks, topic=a.topic)
-    if not a.stream:
-        run_market_cycle(scan_documents(spark, a.landing, "symbol", a.format), a.topic_path, **kw)
-        return
-    stream = scan_documents(spark, a.landing, "symbol", a.format, stream=True)
-    q = run_available(stream, lambda b, _: run_market_cycle(b, a.topic_path, **kw),
-                      a.checkpoint, f"{a.interval_hours} hours" if a.interval_hours > 0 else None)
-    if a.interval_hours > 0:
-        q.awaitTermination()
+    more = dict(table=a.table, quarantine_path=a.quarantine, max_weeks=a.max_weeks, topic=a.topic)
+    asked = symbol_list(spark, a.symbols) if a.symbols else None
+    _run(spark, a, "symbol",
+         lambda docs, kw: run_market_cycle(docs, a.topic_path, requested=asked, **more, **kw),
+         lambda kw: stream_market(spark, a.landing, a.topic_path, a.checkpoint, **more, **kw))
 
 
 def manifest(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -75,12 +78,18 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--stream", action="store_true")
         s.add_argument("--checkpoint")
         s.add_argument("--interval-hours", type=int, default=0)
+        s.add_argument("--max-files", type=int, help="files of one micro-batch")
+        s.add_argument("--batch-id", help="batch mode: a repeated run with this id replaces its side outputs")
+        s.add_argument("--report", help="folder of the per-document report")
+        s.add_argument("--partition-by", nargs="*")
         if name == "climate":
             s.add_argument("--dimension", help="parquet producer table; default: built-in 25 producers")
-            s.add_argument("--partition-by", nargs="*")
+            s.add_argument("--messages", help="folder of the provider's messages")
+            s.add_argument("--requested", action="store_true", help="report every producer, landed or not (batch mode)")
         else:
             s.add_argument("--topic-path")
             s.add_argument("--topic", default=TOPIC)
+            s.add_argument("--symbols", help="requested symbols, comma list: order of arrival and missing documents (batch mode)")
             s.add_argument("--max-weeks", type=int, default=MARKET_MAX_WEEKS)
     s = sub.add_parser("manifest")
     s.add_argument("--out", required=True)

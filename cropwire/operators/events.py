@@ -11,11 +11,6 @@ from cropwire.schemas import EVENT_SOURCE, TOPIC
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX", "timeZone": "UTC"}
 
 
-def no_data_report(docs: DataFrame, observations: DataFrame, key: str) -> DataFrame:
-    """Requested keys that produced no rows at all (nothing is published)."""
-    return docs.select(key).join(observations.select(key), key, "left_anti")
-
-
 def market_events(observations: DataFrame, ts: str | None = None, source: str = EVENT_SOURCE) -> DataFrame:
     """One envelope per observation: ``ts``, ``ss`` and ``data`` (camelCase).
 
@@ -44,17 +39,26 @@ def topic_messages(events: DataFrame, topic: str = TOPIC) -> DataFrame:
     return events.select(F.lit(topic).alias("topic"), F.col("value"))
 
 
-def publish_topic(messages: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None) -> None:
+def publish_topic(messages: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
+                  batch_id: str | int | None = None) -> None:
     """Append messages to a topic sink.
 
-    Default: files partitioned by ``topic`` (append-only, one row per message).
-    ``fmt='kafka'`` writes to a broker when the Kafka connector is on the
-    classpath (``options`` carries ``kafka.bootstrap.servers``).
+    Default: files partitioned by ``topic`` (one row per message). With
+    ``batch_id`` the files of a batch lie in a folder of their own, which a
+    replay of the batch replaces. ``fmt='kafka'`` writes to a broker when the Kafka connector is on the
+    classpath (``options`` carries ``kafka.bootstrap.servers``); the batch id is
+    then the message's key, as a broker keeps what a replay sends again.
     """
     if fmt == "kafka":
         # The Kafka writer takes the destination from the ``topic`` column.
+        if batch_id is not None:
+            messages = messages.withColumn("key", F.lit(str(batch_id)))
         messages.write.format("kafka").options(**(options or {})).save()
         return
+    if batch_id is not None:
+        (messages.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch_id").format(fmt).save(target))
+        return
     messages.write.mode("append").partitionBy("topic").format(fmt).save(target)
 
 

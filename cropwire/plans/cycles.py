@@ -18,8 +18,8 @@ from cropwire.operators.events import event_json, market_events, publish_topic,
 from cropwire.operators.keyed_sink import SinkResult, insert_or_ignore
 from cropwire.operators.market import market_observations, stage_market
 from cropwire.schemas import (
-    CLIMATE_KEYS, CLIMATE_NOT_NULL, CLIMATE_OBSERVATION_COLUMNS, MARKET_KEYS, MARKET_MAX_WEEKS,
-    MARKET_NOT_NULL, TOPIC,
+    CLIMATE_KEYS, CLIMATE_NOT_NULL, CLIMATE_OBSERVATION_COLUMNS, CLIMATE_TABLE_SCHEMA, MARKET_KEYS,
+    MARKET_MAX_WEEKS, MARKET_NOT_NULL, MARKET_TABLE_SCHEMA, TOPIC,
 )
 from cropwire.sources.dimension import lookup_producers
 from cropwire.sources.documents import status_fault
@@ -29,6 +29,36 @@ MARKET_STORE_COLUMNS = ["symbol", "price_timestamp", "open", "high", "low", "clo
                         "adjusted_close", "volume", "dividend_amount"]
 
 
+def _fault(key, detail_key=None, reason=None, detail=None):
+    """One quarantine entry of a document, for an array of them."""
+    def text(c):
+        return (F.lit(None) if c is None else c).cast("string")
+    return F.struct(text(key).alias("key"), text(detail_key).alias("detail_key"), text(reason).alias("reason"), text(detail).alias("detail"))
+
+
+def _when(condition, fault):
+    return F.when(condition, F.array(fault)).otherwise(F.array())
+
+
+def _faults(staged: DataFrame, feed: str, *parts) -> DataFrame:
+    """Quarantine rows from one array of faults per document, so the document is staged once."""
+    return staged.select(F.lit(feed).alias("feed"), F.inline(F.concat(*parts)))
+
+
+def missing_documents(requested: DataFrame, landed: DataFrame, key: str) -> DataFrame:
+    """Requested keys of which no document landed, once each (F5: a failing request is seen)."""
+    return requested.select(key).distinct().join(landed.select(key), key, "left_anti")
+
+
+def _with_missing(quarantine: DataFrame, report: DataFrame, requested: DataFrame | None, landed: DataFrame,
+                  feed: str, key: str, count: str) -> tuple[DataFrame, DataFrame]:
+    if requested is None:
+        return quarantine, report
+    gone = missing_documents(requested, landed, key)
+    rows = gone.select(key, F.lit(None).cast("bigint").alias("doc_seq"), F.lit(0).cast("bigint").alias(count))
+    return quarantine.unionByName(_quarantine(gone, feed, key, reason=F.lit("no_document"))), report.unionByName(rows)
+
+
 def _quarantine(df: DataFrame, feed: str, key: str, detail_key=None, reason="fault", detail=None) -> DataFrame:
     def col(c):
         if c is None:
@@ -54,11 +84,13 @@ class ClimateCycle:
         return self.report.filter(F.col("rows") == 0).select("producer_id", "doc_seq")
 
 
-def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
+def climate_cycle(docs: DataFrame, dim: DataFrame, requested: DataFrame | None = None) -> ClimateCycle:
     """F1 as a plan: lookup (A3/A5) -> status (A12) -> parse and gates (B) -> rows.
 
     ``docs``: ``producer_id, [doc_seq,] http_status, raw``. Without
-    ``doc_seq`` the producer's ordinal is the arrival order.
+    ``doc_seq`` the producer's ordinal is the arrival order. ``requested``
+    (``producer_id``): keys that were asked for; those without a document are
+    quarantined as ``no_document`` and reported with no rows.
     """
     if "http_status" not in docs.columns:  # landed bodies are successful responses
         docs = docs.withColumn("http_status", F.lit(200))
@@ -71,14 +103,16 @@ def climate_cycle(docs: DataFrame, dim: DataFrame) -> ClimateCycle:
     # persisted staging frame to the parsed arrays only.
     staged = stage_climate(looked.withColumn("fault", fault)).drop("raw")
     obs = climate_observations(staged, carry=("doc_seq",))
-    bad_days = staged.select("producer_id", F.inline(F.filter("days", lambda d: d["bad"])))
-    quarantine = _quarantine(staged.filter(F.col("fault").isNotNull()), "climate", "producer_id",
-                             reason="fault").unionByName(
-        _quarantine(bad_days, "climate", "producer_id", "date", F.lit("bad_number"), "unreadable"))
+    key = F.col("producer_id")
+    quarantine = _faults(
+        staged, "climate", _when(F.col("fault").isNotNull(), _fault(key, reason=F.col("fault"))),
+        F.coalesce(F.transform(F.filter("days", lambda d: d["bad"]),
+                               lambda d: _fault(key, d["date"], F.lit("bad_number"), d["unreadable"])), F.array()))
     messages = staged.select("producer_id", F.explode("messages").alias("message"))
     report = staged.select("producer_id", "doc_seq",
                            F.when(F.col("days").isNull(), F.lit(0)).otherwise(F.size(kept_days(F.col("days"))))
                            .cast("bigint").alias("rows"))
+    quarantine, report = _with_missing(quarantine, report, requested, docs, "climate", "producer_id", "rows")
     return ClimateCycle(staged, obs, quarantine, messages, report)
 
 
@@ -99,29 +133,36 @@ def _write_observed(df: DataFrame, name: str, write) -> int:
     return int(obs.get["n"])
 
 
-def _append(path: str):
-    return lambda d: d.write.mode("append").parquet(path)
+def _side_output(path: str, batch_id: str | int | None):
+    """Writer of a side output: with a batch id its own folder, which a replay of the batch replaces; else an append."""
+    if batch_id is None:
+        return lambda d: d.write.mode("append").parquet(path)
+    return lambda d: d.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def run_climate_cycle(docs: DataFrame, dim: DataFrame, table: str, quarantine_path: str | None = None,
-                      captured_at: str | None = None, partition_by: tuple[str, ...] = (),
-                      report_path: str | None = None) -> CycleRun:
+                      captured_at: str | None = None, partition_by: tuple[str, ...] | None = None,
+                      report_path: str | None = None, messages_path: str | None = None,
+                      requested: DataFrame | None = None, batch_id: str | int | None = None) -> CycleRun:
     """one cycle into the climate table (first writer wins on producer_id, date).
 
-    Optional outputs: the quarantine table (F4) and the per-document report (F5).
+    Optional outputs: the quarantine table (F4), the per-document report (F5)
+    and the provider's messages (B4). With ``batch_id`` a replayed batch
+    replaces what it wrote there before.
     """
-    cyc = climate_cycle(docs, dim)
+    cyc = climate_cycle(docs, dim, requested)
     cyc.staged.persist()
     try:
         sink = insert_or_ignore(
             cyc.observations, table, keys=CLIMATE_KEYS, arrival=["doc_seq", "pos"],
             columns=CLIMATE_STORE_COLUMNS, not_null=CLIMATE_NOT_NULL, captured_at=captured_at,
-            partition_by=partition_by)
+            partition_by=partition_by, schema=CLIMATE_TABLE_SCHEMA)
         q = cyc.quarantine.unionByName(_quarantine(sink.rejected, "climate", "producer_id", "date",
                                                    F.lit("not_null"), "null_columns"))
-        n_q = _write_observed(q, "climate_quarantine", _append(quarantine_path)) if quarantine_path else None
-        if report_path:
-            cyc.report.write.mode("append").parquet(report_path)
+        n_q = _write_observed(q, "climate_quarantine", _side_output(quarantine_path, batch_id)) if quarantine_path else None
+        for path, rows in ((report_path, cyc.report), (messages_path, cyc.messages)):
+            if path:
+                _side_output(path, batch_id)(rows)
         return CycleRun(sink, n_q)
     finally:
         cyc.staged.unpersist()
@@ -145,10 +186,20 @@ class MarketCycle:
 
 
 def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts: str | None = None,
-                 topic: str = TOPIC) -> MarketCycle:
-    """F2 as a plan: status (A12) -> parse and gates (C) -> events (D2/D3) -> topic rows."""
-    if "doc_seq" not in docs.columns:  # one document per symbol: position in the batch decides
-        docs = docs.withColumn("doc_seq", F.lit(0).cast("bigint"))
+                 topic: str = TOPIC, requested: DataFrame | None = None) -> MarketCycle:
+    """F2 as a plan: status (A12) -> parse and gates (C) -> events (D2/D3) -> topic rows.
+
+    Arrival order is ``doc_seq``; without it, the symbol's position in
+    ``requested`` (``symbol``, ``pos``); without that, the rows' content decides
+    between documents of one symbol. Requested symbols without a document are
+    quarantined as ``no_document`` and reported with nothing published.
+    """
+    if "doc_seq" not in docs.columns:
+        if requested is not None and "pos" in requested.columns:
+            at = requested.groupBy("symbol").agg(F.min("pos").cast("bigint").alias("doc_seq"))
+            docs = docs.join(at, "symbol", "left")
+        else:
+            docs = docs.withColumn("doc_seq", F.lit(0).cast("bigint"))
     carry = ("doc_seq",)
     staged = stage_market(docs.withColumn("fault", status_fault(F.col("http_status"), F.col("raw"))),
                           max_weeks).drop("raw")
@@ -156,13 +207,14 @@ def market_cycle(docs: DataFrame, max_weeks: int | None = MARKET_MAX_WEEKS, ts:
     published = market_observations(staged, carry=carry, publishable_only=True)
     events = event_json(market_events(published, ts))
     messages = topic_messages(events, topic)
-    quarantine = _quarantine(staged.filter(F.col("fault").isNotNull()), "market", "symbol",
-                             reason="fault", detail="detail").unionByName(
-        _quarantine(staged.filter(F.col("publish_fault").isNotNull()), "market", "symbol",
-                    reason="publish_fault"))
+    key = F.col("symbol")
+    quarantine = _faults(
+        staged, "market", _when(F.col("fault").isNotNull(), _fault(key, reason=F.col("fault"), detail=F.col("detail"))),
+        _when(F.col("publish_fault").isNotNull(), _fault(key, reason=F.col("publish_fault"))))
     # size() of NULL is -1 in non-ANSI sessions, hence the explicit NULL case.
     report = staged.select("symbol", *carry, F.when(F.col("publishable").isNull(), F.lit(0))
                            .otherwise(F.size("publishable")).cast("bigint").alias("published"))
+    quarantine, report = _with_missing(quarantine, report, requested, docs, "market", "symbol", "published")
     return MarketCycle(staged, obs, events, messages, quarantine, report)
 
 
@@ -175,26 +227,29 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
                      quarantine_path: str | None = None, max_weeks: int | None = MARKET_MAX_WEEKS,
                      ts: str | None = None, captured_at: str | None = None, topic: str = TOPIC,
                      topic_format: str = "parquet", topic_options: dict | None = None,
-                     partition_by: tuple[str, ...] = (), report_path: str | None = None) -> CycleRun:
+                     partition_by: tuple[str, ...] | None = None, report_path: str | None = None,
+                     requested: DataFrame | None = None, batch_id: str | int | None = None) -> CycleRun:
     """publish every event of the cycle; optionally also store rows (E4),
-    the quarantine (F4) and the per-document report (F5)."""
-    cyc = market_cycle(docs, max_weeks, ts, topic)
+    the quarantine (F4) and the per-document report (F5). With ``batch_id`` a
+    replayed batch replaces what it wrote to files before; a broker's messages
+    carry the id as a header-like key instead, so that a consumer can drop repeats."""
+    cyc = market_cycle(docs, max_weeks, ts, topic, requested)
     cyc.staged.persist()
     try:
         published = None
         if topic_path is not None or topic_format == "kafka":
             published = _write_observed(cyc.messages, "published", lambda d: publish_topic(
-                d, topic_path, topic_format, topic_options))
+                d, topic_path, topic_format, topic_options, batch_id))
         sink = None
         if table is not None:
             sink = insert_or_ignore(
                 market_store_rows(cyc.observations), table, keys=MARKET_KEYS,
                 arrival=["doc_seq", "pos"], columns=MARKET_STORE_COLUMNS, not_null=MARKET_NOT_NULL,
-                captured_at=captured_at, partition_by=partition_by)
-        n_q = _write_observed(cyc.quarantine, "market_quarantine", _append(quarantine_path)) \
+                captured_at=captured_at, partition_by=partition_by, schema=MARKET_TABLE_SCHEMA)
+        n_q = _write_observed(cyc.quarantine, "market_quarantine", _side_output(quarantine_path, batch_id)) \
             if quarantine_path else None
         if report_path:
-            cyc.report.write.mode("append").parquet(report_path)
+            _side_output(report_path, batch_id)(cyc.report)
         return CycleRun(sink, n_q, published)
     finally:
         cyc.staged.unpersist()

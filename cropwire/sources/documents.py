@@ -15,14 +15,17 @@ def land_documents(docs: DataFrame, path: str, fmt: str = "parquet", mode: str =
 
 
 def scan_documents(spark: SparkSession, path: str, key: str, fmt: str = "parquet",
-                   schema: str | None = None, stream: bool = False) -> DataFrame:
+                   schema: str | None = None, stream: bool = False, max_files: int | None = None) -> DataFrame:
     """Scan landed documents, as a batch or as a stream.
 
     ``fmt`` is ``parquet`` / ``json`` (rows with ``key, doc_seq, http_status,
     raw``) or ``wholetext`` (one JSON document per file, the key being the file
     name without extension, arrival order the file's modification time).
+    ``max_files`` bounds the files of a micro-batch of a stream.
     """
     reader = spark.readStream if stream else spark.read
+    if stream and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if fmt == "wholetext":
         df = reader.format("text").option("wholetext", True).load(path)
         name = F.col("_metadata.file_name")

@@ -13,8 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropwire.operators.keyed_sink import insert_or_ignore
+from cropwire.operators.keyed_sink import create_table_if_absent, insert_or_ignore
 from cropwire.plans.cycles import run_climate_cycle, run_market_cycle
+from cropwire.schemas import CLIMATE_TABLE_SCHEMA, MARKET_TABLE_SCHEMA
 
 
 def run_available(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str,
@@ -40,25 +41,39 @@ def stream_keyed(spark: SparkSession, landing: str, schema: str, target: str, ch
 
 
 def stream_climate(spark: SparkSession, landing: str, dim: DataFrame, table: str, checkpoint: str,
-                   quarantine_path: str | None = None, fmt: str = "parquet", schema: str | None = None):
-    """F1 + F3: landed climate documents -> climate table, one micro-batch per run."""
+                   quarantine_path: str | None = None, fmt: str = "parquet", schema: str | None = None,
+                   max_files: int | None = None, processing_time: str | None = None, **cycle_kwargs):
+    """F1 + F3: landed climate documents -> climate table.
+
+    ``max_files`` bounds a micro-batch (a backlog is then worked off in several);
+    the epoch is the batch id of the side outputs, so a replayed micro-batch replaces its own.
+    """
     from cropwire.sources.documents import scan_documents
-    stream = scan_documents(spark, landing, "producer_id", fmt, schema, stream=True)
+    stream = scan_documents(spark, landing, "producer_id", fmt, schema, stream=True, max_files=max_files)
+    with_schema(spark, table, CLIMATE_TABLE_SCHEMA, cycle_kwargs.get("partition_by"))
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run_climate_cycle(batch, dim, table, quarantine_path)
+        run_climate_cycle(batch, dim, table, quarantine_path, batch_id=epoch, **cycle_kwargs)
 
-    return run_available(stream, handle, checkpoint)
+    return run_available(stream, handle, checkpoint, processing_time)
 
 
 def stream_market(spark: SparkSession, landing: str, topic_path: str, checkpoint: str,
                   table: str | None = None, quarantine_path: str | None = None, fmt: str = "parquet",
-                  schema: str | None = None, **cycle_kwargs):
+                  schema: str | None = None, max_files: int | None = None, processing_time: str | None = None,
+                  **cycle_kwargs):
     """F2 + F3: landed market documents -> topic (and optionally the market table)."""
     from cropwire.sources.documents import scan_documents
-    stream = scan_documents(spark, landing, "symbol", fmt, schema, stream=True)
+    stream = scan_documents(spark, landing, "symbol", fmt, schema, stream=True, max_files=max_files)
+    if table is not None:
+        with_schema(spark, table, MARKET_TABLE_SCHEMA, cycle_kwargs.get("partition_by"))
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run_market_cycle(batch, topic_path, table, quarantine_path, **cycle_kwargs)
+        run_market_cycle(batch, topic_path, table, quarantine_path, batch_id=epoch, **cycle_kwargs)
 
-    return run_available(stream, handle, checkpoint)
+    return run_available(stream, handle, checkpoint, processing_time)
+
+
+def with_schema(spark: SparkSession, table: str, schema, partition_by: tuple[str, ...] | None) -> None:
+    """The table exists as soon as a feed starts, before anything has landed."""
+    create_table_if_absent(spark, table, schema, tuple(partition_by or ()))

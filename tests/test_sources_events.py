@@ -105,10 +105,3 @@ def test_utc_now_iso_fraction():
     assert utc_now_iso(t) == "2024-03-01T10:15:30Z"
     assert utc_now_iso(t.replace(microsecond=123000)) == "2024-03-01T10:15:30.123Z"
     assert utc_now_iso(t.replace(microsecond=123456)) == "2024-03-01T10:15:30.123456Z"
-
-
-def test_no_data_report_join_form(spark):
-    from cropwire.operators.events import no_data_report
-    docs = spark.createDataFrame([("A",), ("B",)], "symbol string")
-    obs = spark.createDataFrame([("A", 1.0)], "symbol string, close double")
-    assert [r.symbol for r in no_data_report(docs, obs, "symbol").collect()] == ["B"]
