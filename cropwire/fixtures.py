@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_KEPT = 64  # readers kept; the oldest goes first
 _TABLES: dict = {}
 
 
@@ -22,6 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
+        if len(_TABLES) >= _KEPT:
+            del _TABLES[next(iter(_TABLES))]
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
@@ -52,15 +55,15 @@ def fx_market_docs(spark: SparkSession, sf_dir: str, ascending: bool = False) ->
 
 
 def fx_market_docs_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand documents with faults by brand number: error, note, no series, bad third entry, 503."""
+    """Brand documents with faults by brand number: error, note, no series, bad third entry, 503, text behind the object."""
     return fx_market_docs(spark, sf_dir).selectExpr(
         "symbol", "sn", "doc_seq", "CASE WHEN sn % 7 = 0 THEN 503 ELSE 200 END AS http_status",
-        """CASE sn % 5 WHEN 0 THEN '{"Error Message":"bad symbol"}' WHEN 1 THEN '{"Note":"rate limit"}'
+        """CASE WHEN sn = 24 THEN raw || ' xx' ELSE CASE sn % 5 WHEN 0 THEN '{"Error Message":"bad symbol"}' WHEN 1 THEN '{"Note":"rate limit"}'
              WHEN 2 THEN '{"Information":"x"}'
              WHEN 3 THEN to_json(named_struct('Weekly Adjusted Time Series', map_from_entries(transform(
                map_entries(from_json(raw, '`Weekly Adjusted Time Series` MAP<STRING,MAP<STRING,STRING>>').`Weekly Adjusted Time Series`),
                (e, i) -> struct(e.key, IF(i = 2, map('1. open', 'x'), e.value))))))
-             ELSE raw END AS raw""")
+             ELSE raw END END AS raw""")
 
 
 def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +75,7 @@ def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
           F.max_by(F.expr("CAST(get_json_object(props, '$.k') AS INT)"), "ts").alias("k"))
     x = day.selectExpr(
         "user_id", "t",
-        """struct(d, CASE WHEN k % 10 = 0 THEN '-999.0' WHEN k % 10 = 1 AND t = 'purchase' THEN 'oops'
+        """struct(d, CASE WHEN k % 10 = 0 THEN '-999.0' WHEN k % 10 = 1 AND t = 'purchase' THEN IF(user_id % 2 = 0, 'inf', 'oops')
              WHEN k % 10 = 2 AND t = 'click' THEN NULL ELSE CAST(v AS STRING) END) AS e""")
 
     def series(t: str):
@@ -89,7 +92,7 @@ def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
              'properties', CASE WHEN user_id % 11 = 5 THEN NULL
                WHEN user_id % 11 = 8 THEN named_struct('parameter', NULL)
                ELSE named_struct('parameter', named_struct('PRECTOTCORR', a, 'GWETROOT', b, 'T2M_MAX', c,
-                 'T2M_MIN', IF(user_id % 11 = 3, NULL, f))) END)) AS raw""")
+                 'T2M_MIN', IF(user_id % 11 = 3, NULL, f))) END)) || IF(user_id % 22 = 16, ' {}', '') AS raw""")
 
 
 def fx_producers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,17 +25,17 @@ from cropwire.operators import market as mk
 from cropwire.operators.events import (
     event_json, market_events, publish_topic, read_topic, topic_messages,
 )
-from cropwire.operators.keyed_sink import insert_or_ignore, not_null_gate, read_table
+from cropwire.operators.keyed_sink import create_table_if_absent, insert_or_ignore, not_null_gate, read_table
 from cropwire.plans.cycles import (
     climate_cycle, market_cycle, market_store_rows, run_climate_cycle, run_market_cycle,
 )
 from cropwire.schemas import (
-    CLIMATE_KEYS, CLIMATE_NOT_NULL, CLIMATE_OBSERVATION_COLUMNS, MARKET_KEYS, MARKET_NOT_NULL,
-    MARKET_SERIES_KEY, TOPIC,
+    CLIMATE_KEYS, CLIMATE_NOT_NULL, CLIMATE_OBSERVATION_COLUMNS, CLIMATE_TABLE_SCHEMA, MARKET_KEYS,
+    MARKET_NOT_NULL, MARKET_SERIES_KEY, MARKET_TABLE_SCHEMA, TOPIC,
 )
 from cropwire.session import scratch_path
 from cropwire.sources import (
-    land_documents, lookup_producers, market_request_manifest, producer_dimension, producer_ids,
+    climate_request_manifest, land_documents, lookup_producers, market_request_manifest, producer_dimension, producer_ids,
     producers_exist, scan_documents, status_gate, symbol_list, unknown_producers,
 )
 from cropwire.streaming import stream_keyed
@@ -43,7 +43,6 @@ from cropwire.streaming import stream_keyed
 N = 10
 AS_OF = "2024-03-01"
 STAMP = "2024-03-01T00:00:00Z"
-REGION_BOUND = 10_000
 VALUES = ["precipitation", "root_zone_soil_wetness", "temperature_max", "temperature_min"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,15 +94,9 @@ def unknown_producers_q(spark, sf):
 
 @query
 def symbol_list_q(spark, sf):
-    # The region table as one comma list; it is a fixed-size dimension (five
-    # rows at every scale), checked before it is gathered into one row.
-    region = fx.table(spark, sf, "region")
-    if region.limit(REGION_BOUND + 1).count() > REGION_BOUND:
-        raise ValueError("region is expected to be a small fixed dimension")
-    lst = region.agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda s: s["r_name"]), ",")
-        .alias("symbols"))
-    return symbol_list(spark, lst).select("pos", "symbol")
+    # One comma list per part, of words of its own columns, with an empty entry inside.
+    lists = fx.table(spark, sf, "part").select("p_partkey", F.concat_ws(",", "p_brand", F.lit(""), "p_type", "p_brand").alias("symbols"))
+    return symbol_list(spark, lists).select("p_partkey", "pos", "symbol")
 
 
 @query
@@ -120,18 +113,34 @@ def market_request_manifest_q(spark, sf):
     return market_request_manifest(fx.fx_market_docs(spark, sf).select("symbol")).select("symbol", "url")
 
 
+@query
+def climate_request_manifest_q(spark, sf):
+    # Coordinates by arithmetic on the customer key; half degrees print alike everywhere.
+    dim = _dim(spark, sf).select("ordinal", "producer_id", (F.col("ordinal") % 360 - 180 + 0.5).cast("double").alias("longitude"),
+                                 (F.col("ordinal") % 180 - 90 + 0.5).cast("double").alias("latitude"))
+    return climate_request_manifest(dim, AS_OF).select("producer_id", "start_date", "end_date", "url")
+
+
 @query
 def climate_raw_scan(spark, sf):
+    """Landed documents read back whole: status, sequence, and what the bodies say."""
     path = scratch_path(spark, "landing-climate")
     land_documents(fx.fx_climate_docs(spark, sf).drop("user_id"), path, fmt="json")
-    return scan_documents(spark, path, "producer_id", fmt="json").select("producer_id")
+    docs = scan_documents(spark, path, "producer_id", fmt="json")
+    series = F.from_json(F.get_json_object("raw", "$.properties.parameter.PRECTOTCORR"), "MAP<STRING, STRING>")
+    values = F.map_values(series)
+    return docs.select("producer_id", "doc_seq", "http_status", F.coalesce(F.size(values), F.lit(-1)).cast("bigint").alias("days"),
+                       F.aggregate(values, F.lit(0.0), lambda a, v: a + F.coalesce(v.try_cast("double"), F.lit(0.0))).alias("total"))
 
 
 @query
 def market_raw_scan(spark, sf):
     path = scratch_path(spark, "landing-market")
     land_documents(fx.fx_market_docs(spark, sf).drop("sn"), path, fmt="json")
-    return scan_documents(spark, path, "symbol", fmt="json").select("symbol")
+    docs = scan_documents(spark, path, "symbol", fmt="json")
+    weeks = F.map_values(F.from_json("raw", f"`{MARKET_SERIES_KEY}` MAP<STRING, MAP<STRING, STRING>>")[MARKET_SERIES_KEY])
+    return docs.select("symbol", "doc_seq", "http_status", F.size(weeks).cast("bigint").alias("weeks"),
+                       F.aggregate(weeks, F.lit(0.0), lambda a, w: a + w["4. close"].cast("double")).alias("close_total"))
 
 
 @query
@@ -148,7 +157,10 @@ def _climate_staged(spark, sf):
 @query
 def climate_parse(spark, sf):
     parsed = cl.parse_climate(fx.fx_climate_docs(spark, sf))
-    return parsed.select("producer_id", F.col("doc.properties.parameter").isNotNull().alias("has_parameter"))
+    parameter = F.col("doc.properties.parameter")
+    return parsed.select("producer_id", F.col("doc").isNotNull().alias("is_object"), parameter.isNotNull().alias("has_parameter"),
+                         F.size(F.col("doc.messages")).cast("bigint").alias("messages"),
+                         F.coalesce(F.size(parameter["T2M_MAX"]), F.lit(-1)).cast("bigint").alias("days"))
 
 
 @query
@@ -174,7 +186,8 @@ def climate_fill_value(spark, sf):
 
 @query
 def climate_align(spark, sf):
-    return cl.climate_aligned_days(_climate_staged(spark, sf)).select("producer_id", "date")
+    return cl.climate_aligned_days(_climate_staged(spark, sf)).select(
+        "producer_id", "date", *[nan_to_null(F.col(c)).alias(c) for c in VALUES])
 
 
 @query
@@ -256,8 +269,10 @@ def _market_staged(docs, max_weeks=N):
 @query
 def market_parse(spark, sf):
     parsed = mk.parse_market(fx.fx_market_docs(spark, sf))
-    return parsed.select("symbol", F.size(last_wins_entries(F.col("doc")[MARKET_SERIES_KEY]))
-                         .cast("bigint").alias("weeks"))
+    weeks = last_wins_entries(F.col("doc")[MARKET_SERIES_KEY])
+    return parsed.select("symbol", F.size(weeks).cast("bigint").alias("weeks"),
+                         F.aggregate(weeks, F.lit(0.0), lambda a, e: a + e["value"]["4. close"].cast("double")).alias("close_total"),
+                         F.aggregate(weeks, F.lit(0).cast("bigint"), lambda a, e: a + e["value"]["6. volume"].cast("bigint")).alias("volume_total"))
 
 
 @query
@@ -324,13 +339,14 @@ def market_table_schema(spark, sf):
 
 @query
 def market_insert_or_ignore_rows(spark, sf):
-    """E4 on market rows: second offer of the same weeks with other prices is ignored."""
+    """E4 on market rows: a repeated symbol later in the list, and a second offer, with other prices are ignored."""
     table = scratch_path(spark, "market_ioi")
     obs = market_store_rows(mk.market_observations(
         _market_staged(fx.fx_market_docs(spark, sf)), carry=("doc_seq",)))
     kw = dict(keys=MARKET_KEYS, arrival=["doc_seq", "pos"], not_null=MARKET_NOT_NULL,
               columns=["symbol", "price_timestamp", "open", "close"])
-    insert_or_ignore(obs, table, captured_at=STAMP, **kw)
+    repeated = obs.withColumn("doc_seq", F.col("doc_seq") + 1000).withColumn("close", F.col("close") / 2)
+    insert_or_ignore(repeated.unionByName(obs), table, captured_at=STAMP, **kw)
     insert_or_ignore(obs.withColumn("close", F.col("close") * 2), table, **kw)
     return read_table(spark, table).select("symbol", "price_timestamp", "close")
 
@@ -365,11 +381,26 @@ def event_json_q(spark, sf):
                      g("$.data.close").cast("double").alias("close"))
 
 
+def _published(topic: DataFrame) -> DataFrame:
+    g = lambda p: F.get_json_object("value", p)
+    return topic.select("topic", g("$.ts").alias("ts"), g("$.ss").alias("ss"), g("$.data.symbol").alias("symbol"),
+                        g("$.data.priceTimestamp").alias("price_timestamp"), g("$.data.close").cast("double").alias("close"))
+
+
 @query
 def topic_publish(spark, sf):
     path = scratch_path(spark, "topic")
     publish_topic(topic_messages(event_json(_events(spark, sf))), path)
-    return read_topic(spark, path, TOPIC).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+    return _published(read_topic(spark, path, TOPIC))
+
+
+@query
+def topic_replay(spark, sf):
+    """A replayed batch replaces its own messages in the file topic."""
+    path = scratch_path(spark, "topic")
+    for _ in range(2):
+        publish_topic(topic_messages(event_json(_events(spark, sf))), path, batch_id=3)
+    return _published(read_topic(spark, path, TOPIC))
 
 
 # ------------------------------------------------------------------ E ----
@@ -415,6 +446,35 @@ def batch_replay_idempotent(spark, sf):
                                                                      "l_extendedprice")
 
 
+@query
+def partitioned_insert_or_ignore(spark, sf):
+    """E3 on a table partitioned by a key column with very many values; the later batches do not name the layout."""
+    table = scratch_path(spark, "store-partitioned")
+    batches = fx.fx_store_batches(spark, sf).withColumn("part", F.col("l_orderkey") % 1500)
+    for c, by in ((0, ("part",)), (1, None), (2, None), (0, ("part",))):
+        insert_or_ignore(batches.filter(F.col("cycle") == c), table, keys=["part", *fx.STORE_KEYS], arrival=fx.STORE_ARRIVAL,
+                         columns=[*fx.STORE_COLUMNS, "part"], captured_at=STAMP, partition_by=by)
+    return read_table(spark, table).select("part", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query
+def climate_table_created(spark, sf):
+    """The declared table first, then the cycle's rows."""
+    table = scratch_path(spark, "climate_created")
+    create_table_if_absent(spark, table, CLIMATE_TABLE_SCHEMA)
+    run_climate_cycle(fx.fx_climate_docs(spark, sf), _dim(spark, sf), table, captured_at=STAMP)
+    return read_table(spark, table)
+
+
+@query
+def market_table_created(spark, sf):
+    """The same for the market table."""
+    table = scratch_path(spark, "market_created")
+    create_table_if_absent(spark, table, MARKET_TABLE_SCHEMA)
+    run_market_cycle(fx.fx_market_docs(spark, sf), None, table, max_weeks=N, captured_at=STAMP)
+    return read_table(spark, table)
+
+
 # ------------------------------------------------------------------ F ----
 
 @query
@@ -457,6 +517,44 @@ def climate_quarantine(spark, sf):
         "key", "detail_key", "reason")
 
 
+def _asked(spark, sf):
+    """Requested producers: every user with events and, landed or not, those of the dimension."""
+    return _dim(spark, sf).select("producer_id").union(fx.fx_climate_docs(spark, sf).select("producer_id")).distinct()
+
+
+@query
+def missing_documents_q(spark, sf):
+    """requested producers of which nothing landed."""
+    cyc = climate_cycle(fx.fx_climate_docs(spark, sf), _dim(spark, sf), _asked(spark, sf))
+    return cyc.quarantine.filter("reason = 'no_document'").select("key", "reason")
+
+
+@query
+def climate_report(spark, sf):
+    """F5 on the climate side: rows per requested producer, landed or not."""
+    cyc = climate_cycle(fx.fx_climate_docs(spark, sf), _dim(spark, sf), _asked(spark, sf))
+    return cyc.report.select("producer_id", "rows")
+
+
+def _replayed(spark, sf, output: str) -> DataFrame:
+    """A side output of one market batch that ran twice under its id."""
+    paths = {k: scratch_path(spark, f"replay-{k}") for k in ("topic", "quarantine", "report")}
+    for _ in range(2):
+        run_market_cycle(fx.fx_market_docs_faulty(spark, sf), paths["topic"], quarantine_path=paths["quarantine"],
+                         report_path=paths["report"], max_weeks=N, ts=STAMP, batch_id=7)
+    return spark.read.parquet(paths[output])
+
+
+@query
+def quarantine_replay(spark, sf):
+    return _replayed(spark, sf, "quarantine").select("key", "reason")
+
+
+@query
+def cycle_report_replay(spark, sf):
+    return _replayed(spark, sf, "report").select("symbol", "published")
+
+
 # Registered key -> function (keys are the operator names of the blueprint).
 KEYS: dict[str, Query] = {
     "producer_dimension": producer_dimension_scan,
@@ -511,4 +609,13 @@ KEYS: dict[str, Query] = {
     "not_null_gate": not_null_gate_q,
     "batch_replay_idempotent": batch_replay_idempotent,
     "two_cycle_table": two_cycle_table,
+    "climate_request_manifest": climate_request_manifest_q,
+    "partitioned_insert_or_ignore": partitioned_insert_or_ignore,
+    "climate_table_created": climate_table_created,
+    "market_table_created": market_table_created,
+    "topic_replay": topic_replay,
+    "missing_documents": missing_documents_q,
+    "climate_report": climate_report,
+    "quarantine_replay": quarantine_replay,
+    "cycle_report_replay": cycle_report_replay,
 }
