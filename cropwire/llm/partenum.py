@@ -10,9 +10,9 @@ set lists its partitions in one order that depends on their content alone
 elements in which the set can differ from a partner in that band. A set signs
 for its own band, and for the next one if a partner can lie there.
 
-Sets that share a signature are not paired with each other but with the least of
-them (in each task first, so a frequent signature sends one row per task), and
-checked on their exact sets. Where a signature's sets still lie in several
+Sets that share a signature are not paired with each other but with one of them,
+the one that shares most overall, and checked on their exact sets. (Each task
+settles its own groups first, so a frequent signature sends one row per task.) Where a signature's sets still lie in several
 components, all pairs across components are weighed in tiles by a bound that
 loses no link (sizes, and the distance of bucket histograms), and those within
 the bound are checked exactly as well. So no link between components is lost
@@ -155,7 +155,7 @@ def _groups(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 _BLOCK = "bucket long, sigs binary, keys binary, done boolean"
-_MEMBER = "sig long, key long, hub long"
+_MEMBER = "sig long, key long"
 
 
 def _block(bucket, sig, key, done):
@@ -165,7 +165,7 @@ def _block(bucket, sig, key, done):
 
 
 def shared_signatures(docs: DataFrame, shingles: int) -> DataFrame:
-    """(sig, key, hub): the sets that share a signature with another set, and the least set known for it."""
+    """(sig, key): the sets that share a signature with another set, at least once each."""
     buckets = max(1, ceil(shingles * 0.33 / HELD))
 
     def emit(batches):
@@ -178,7 +178,7 @@ def shared_signatures(docs: DataFrame, shingles: int) -> DataFrame:
             # Groups within the task are settled here; one row of each goes on to meet other tasks' rows.
             local = many > 1
             if local.any():
-                yield _block((turn * 7919 + int(sig[0] >> np.uint64(40))) % buckets, sig[local], np.column_stack([key[local], hub[local]]), True)
+                yield _block((turn * 7919 + int(sig[0] >> np.uint64(40))) % buckets, sig[local], key[local], True)
                 turn += 1
             sig, key = sig[key == hub], key[key == hub]
             bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -197,24 +197,36 @@ def shared_signatures(docs: DataFrame, shingles: int) -> DataFrame:
             yield from flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        out = [[], [], []]
+        out = [[], []]
         sig, key = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for s, k, done in zip(*(table[c].to_pylist() for c in ("sigs", "keys", "done"))):
             s, k = np.frombuffer(s, np.uint64), np.frombuffer(k, np.int64)
             if done:
-                for o, v in zip(out, (s, *k.reshape(-1, 2).T)):
+                for o, v in zip(out, (s, k)):
                     o.append(v)
             else:
                 sig.append(s)
                 key.append(k)
-        sig, key, hub, many = _groups(np.concatenate(sig), np.concatenate(key))
-        for o, v in zip(out, (sig[many > 1], key[many > 1], hub[many > 1])):
+        sig, key, _, many = _groups(np.concatenate(sig), np.concatenate(key))
+        for o, v in zip(out, (sig[many > 1], key[many > 1])):
             o.append(v)
-        return pa.table({n: pa.array(np.concatenate(o).view(np.int64), pa.int64()) for n, o in zip(("sig", "key", "hub"), out)})
+        return pa.table({n: pa.array(np.concatenate(o).view(np.int64), pa.int64()) for n, o in zip(("sig", "key"), out)})
 
     return docs.select("text").mapInArrow(emit, _BLOCK).groupBy("bucket").applyInArrow(meet, _MEMBER)
 
 
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): every set that shares a signature, with the signature's hub.
+
+    The hub is the set that shares most overall: among edited copies that is
+    the text they were made from, which is closer to each than they are to each other.
+    """
+    sizes = shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    weights = shared.join(sizes, "sig").groupBy("key").agg(F.sum("n").alias("weight"))
+    hubs = shared.join(weights, "key").groupBy("sig").agg(F.max(F.struct("weight", "key"))["key"].alias("hub"))
+    return shared.join(hubs, "sig").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, key, sketch) of every document; key and sketch are null for an empty set."""
     def measure(batches):
@@ -327,19 +339,25 @@ def _linked(x: bytes, y: bytes) -> bool:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc, component): the least id reachable, for every id in ``links`` (a, b); least labels with pointer jumping."""
-    edges = cut(links.union(links.select("b", "a")).filter("a <> b").distinct(), "edges")
-    labels = cut(edges.groupBy(F.col("a").alias("doc")).agg(F.least(F.min("b"), F.col("doc")).alias("component")), "labels")
+    """(doc, component): the least id reachable, for every id in ``links`` (a, b).
+
+    Edges point from the larger to the smaller id. In each round every id keeps
+    its least neighbour as parent, hands its other smaller neighbours on to that
+    parent, and all edges move to their target's parent, until every edge ends
+    at an id without a parent. Edges shrink to one per id.
+    """
+    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
-        heard = (edges.join(labels, F.col("b") == F.col("doc")).groupBy("a").agg(F.min("component").alias("heard")))
-        near = labels.join(heard, F.col("doc") == F.col("a")).select("doc", F.least("component", "heard").alias("next"), "component")
-        far = labels.select(F.col("doc").alias("of"), F.col("component").alias("beyond"))
-        step = cut(near.join(far, F.col("next") == F.col("of"), "left")
-                   .select("doc", F.least("next", F.coalesce("beyond", "next")).alias("next"), "component"), "labels")
-        changed = step.filter("next <> component").limit(1).count()
-        labels = step.select("doc", F.col("next").alias("component"))
-        if not changed:
-            return labels
+        parents = cut(edges.groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("parent")), "parents")
+        roots = parents.join(parents.select(F.col("doc").alias("of")), F.col("parent") == F.col("of"), "left_semi").limit(1).count() == 0
+        if roots and edges.count() == parents.count():
+            ends = parents.select("doc", F.col("parent").alias("component"))
+            return ends.union(ends.select("component", "component")).distinct()
+        handed = (edges.join(parents, F.col("a") == F.col("doc"))
+                  .select(F.when(F.col("b") == F.col("parent"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("parent").alias("b")).distinct())
+        moved = (handed.join(parents, F.col("b") == F.col("doc"), "left")
+                 .select("a", F.coalesce("parent", "b").alias("b")).distinct())
+        edges = cut(moved, "edges")
 
 
 def _unsettled(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -393,8 +411,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     shared = cut(shared_signatures(docs, total), "shared")
     named = classes.filter("doc IS NOT NULL")
-    stars = shared.filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
-    links = cut(verify(cut(_filter_pairs(stars, named).distinct(), "stars"), docs), "links")
+    links = cut(verify(cut(_filter_pairs(star_pairs(shared), named).distinct(), "stars"), docs), "links")
     labels = components(links)
     more = cut(_unsettled(shared, named, labels), "unsettled")
     if more.limit(1).count():
