@@ -51,9 +51,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix reads it."""
     mixed = mix_sources(docs)
     decisions = mixed.groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
-    of = decisions.select(F.col("doc_id").alias("of_"), F.col("source").alias("from_"), "copies")
-    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("of_")) & F.col("source").eqNullSafe(F.col("from_")))
-    return (again.withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(docs.columns))
+    of = decisions.select(F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
+    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")))
+    return again.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,9 +40,14 @@ def bits_for(rows: int, per_bucket: int) -> int:
     return max(0, math.ceil(math.log2(max(1, rows / per_bucket))))
 
 
-def top_bits(hash_col: Column, bits: int) -> Column:
-    """The ``bits`` highest bits of a 64-bit hash, as an unsigned number (0 when ``bits`` is 0)."""
-    return F.shiftrightunsigned(F.shiftrightunsigned(hash_col, 1), 63 - bits)
+def place_of(*cols: str) -> Column:
+    """A shuffled place that depends on the columns alone: a number of 63 bits."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 1)
+
+
+def top_bits(place: Column, bits: int) -> Column:
+    """The ``bits`` highest bits of a place: the number of its range."""
+    return F.shiftright(place, 63 - bits)
 
 
 def offsets(totals: DataFrame, keys: list[str], bucket: str, value: str, bits: int) -> DataFrame:

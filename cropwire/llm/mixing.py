@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cropwire.llm.common import WORD, bits_for, cut, offsets, top_bits
+from cropwire.llm.common import WORD, bits_for, cut, offsets, place_of, top_bits
 
 #: Documents of one bucket of the shuffled order.
 ROWS_PER_BUCKET = 512
@@ -65,7 +65,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     depends on the ids only, so a rerun gives the same mix.
     """
     word_count = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = cut(docs.select("doc_id", "source", word_count.alias("size"), F.xxhash64("doc_id").alias("place")), "mix-sizes")
+    sized = cut(docs.select("doc_id", "source", word_count.alias("size"), place_of("doc_id").alias("place")), "mix-sizes")
     stats = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     targets = cut(source_targets(stats, weights, share, epochs), "mix-targets")
     rows = targets.agg(F.sum("n").alias("n"), F.max("cut_time").alias("t"), F.max("budget").alias("b")).first()

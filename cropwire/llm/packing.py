@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cropwire.llm.common import bits_for, cut, offsets, read_table, top_bits
+from cropwire.llm.common import bits_for, cut, offsets, place_of, read_table, top_bits
 
 CAPACITY = 2048
 #: Lengths over such a share of the capacity are grouped and configured, shorter ones best-fit.
@@ -257,7 +257,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     intervals = sorted(plan(histogram, capacity).intervals)
     bits = bits_for(sum(histogram.values()), ROWS_PER_BUCKET)
     names = pieces.columns
-    rows = (pieces.withColumn("place_", F.xxhash64("doc_id", "piece", "ids_crc32"))
+    rows = (pieces.withColumn("place_", place_of("doc_id", "piece", "ids_crc32"))
             .withColumn("bucket_", top_bits(F.col("place_"), bits)))
     sums = rows.groupBy("length", "bucket_").agg(F.count(F.lit(1)).alias("n_"))
     before = offsets(sums, ["length"], "bucket_", "n_", bits).select(

@@ -19,12 +19,17 @@ def _add(t: pa.Table) -> pa.Table:
     return pa.table({"piece": t["piece"][:1], "salt": t["salt"][:1], "n": pa.array([total.tobytes()], pa.binary())})
 
 
-def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], size: int) -> np.ndarray:
-    """The sum of the arrays of ``size`` long numbers that ``fill`` makes of each task's batches.
+def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], size: int,
+               dtype: type = np.int64) -> np.ndarray:
+    """The sum of the arrays of ``size`` whole numbers that ``fill`` makes of each task's batches, as ``dtype``.
 
     Pieces are added up in two steps, so that no group holds a piece of every
     task, and only the sum, of fixed size, comes to the driver.
     """
+    def last(t: pa.Table) -> pa.Table:
+        total = np.frombuffer(_add(t)["n"][0].as_py(), np.int64).astype(dtype)
+        return pa.table({"piece": t["piece"][:1], "n": pa.array([total.tobytes()], pa.binary())})
+
     def pieces(batches):
         table = fill(batches)
         if table is not None:
@@ -34,8 +39,8 @@ def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.nd
                                                   pa.array([table[p:p + PIECE].astype(np.int64).tobytes()], pa.binary())], ["piece", "salt", "n"])
 
     parts = rows.mapInArrow(pieces, _KIND).groupBy("piece", "salt").applyInArrow(_add, _KIND)
-    out = np.zeros(size, np.int64)
-    for r in parts.groupBy("piece").applyInArrow(_add, _KIND).collect():
+    out = np.zeros(size, dtype)
+    for r in parts.groupBy("piece").applyInArrow(last, "piece long, n binary").collect():
         at = r["piece"] * PIECE
-        out[at:at + PIECE] = np.frombuffer(r["n"], np.int64)
+        out[at:at + PIECE] = np.frombuffer(r["n"], dtype)
     return out
