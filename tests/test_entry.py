@@ -1,0 +1,25 @@
+"""The entry module with and without the training-data subpackage."""
+
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+REPO = Path(__file__).resolve().parent.parent
+
+
+def test_entry_works_without_the_subpackage(tmp_path):
+    for name in ("cropwire", "__spark_entry__.py"):
+        source = REPO / name
+        if source.is_dir():
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        else:
+            shutil.copy(source, tmp_path / name)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'market_cycle' in q and not any(k.startswith('op') for k in q) and set(e.oracle_sql()) == set(q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_nothing_else_imports_the_subpackage():
+    for path in (REPO / "cropwire").rglob("*.py"):
+        if "llm" not in path.relative_to(REPO).parts:
+            assert "llm" not in path.read_text(), path
