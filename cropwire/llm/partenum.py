@@ -156,6 +156,7 @@ def _groups(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 _BLOCK = "bucket long, sigs binary, keys binary, done boolean"
 _MEMBER = "sig long, key long"
+_PAIR = "a long, b long, doc_a long, doc_b long"
 
 
 def _block(bucket, sig, key, done):
@@ -250,18 +251,18 @@ def within_bound(n_a, sketch_a: np.ndarray, n_b, sketch_b: np.ndarray) -> np.nda
 
 
 def _filter_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the bound lets pass, with the document that stands for either set."""
+    """The pairs (a, b) of set keys that the bound lets pass, with the document that stands for either set."""
     a = classes.select(F.col("key").alias("a"), F.col("doc").alias("doc_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     b = classes.select(F.col("key").alias("b"), F.col("doc").alias("doc_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
 
     def weigh(batches):
         for t in batches:
-            sk = [np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in (4, 5)]
-            ok = within_bound(t.column(2).to_numpy(), sk[0], t.column(3).to_numpy(), sk[1])
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in t.columns[:2]], ["doc_a", "doc_b"])
+            sk = [np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint8).reshape(-1, SKETCH) for i in (6, 7)]
+            ok = within_bound(t.column(4).to_numpy(), sk[0], t.column(5).to_numpy(), sk[1])
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in t.columns[:4]], ["a", "b", "doc_a", "doc_b"])
 
-    return (pairs.join(a, "a").join(b, "b").select("doc_a", "doc_b", "n_a", "n_b", "sketch_a", "sketch_b")
-            .mapInArrow(weigh, "doc_a long, doc_b long"))
+    return (pairs.join(a, "a").join(b, "b").select("a", "b", "doc_a", "doc_b", "n_a", "n_b", "sketch_a", "sketch_b")
+            .mapInArrow(weigh, _PAIR))
 
 
 def _wanted(ids: DataFrame) -> np.ndarray:
@@ -287,7 +288,7 @@ def _wanted(ids: DataFrame) -> np.ndarray:
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (doc_a, doc_b) whose exact sets are similar enough. ``pairs`` is read more than once."""
+    """The pairs whose exact sets are similar enough, as documents (a, b). ``pairs`` is read more than once."""
     wanted = docs.sparkSession.sparkContext.broadcast(np.packbits(_wanted(
         pairs.select(F.col("doc_a").alias("doc")).union(pairs.select("doc_b")))))
 
@@ -296,27 +297,27 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
         def needed():
             for b in batches:
-                yield b.filter(pa.array(flag[b.column(2).to_numpy()]))
+                yield b.filter(pa.array(flag[b.column(1).to_numpy()]))
 
-        for rows, raw, offsets in slices(needed(), 1):
+        for _, raw, offsets in slices(needed(), 0):
             grams, edges = shingle_sets(raw, offsets)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([_pack(grams[a:z]) for a, z in zip(edges, edges[1:])], pa.binary())], ["doc", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(set_keys(grams, edges), pa.int64()),
+                                              pa.array([_pack(grams[a:z]) for a, z in zip(edges, edges[1:])], pa.binary())], ["key", "grams"])
 
     texts = (docs.filter(F.col("doc_id").isNotNull())
-             .select("doc_id", "text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS)).alias("h")))
-    held = texts.mapInArrow(sets, "doc long, grams binary")
-    # A repeated id stands for one set only if its rows are equal; the set's key tells them apart further on.
-    ids = pairs.select(F.col("doc_a").alias("doc")).union(pairs.select("doc_b")).distinct()
-    held = cut(held.join(ids, "doc", "left_semi").dropDuplicates(["doc"]), "sets")
+             .select("text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS)).alias("h")))
+    # By the sets' keys, not their documents': rows that repeat an id may hold other texts.
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    held = cut(texts.mapInArrow(sets, "key long, grams binary").join(keys, "key", "left_semi").dropDuplicates(["key"]), "sets")
 
     def check(batches):
         for t in batches:
             ok = [_linked(x, y) for x, y in zip(t.column(2).to_pylist(), t.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in t.columns[:2]], ["a", "b"])
 
-    left = held.select(F.col("doc").alias("doc_a"), F.col("grams").alias("grams_a"))
-    right = held.select(F.col("doc").alias("doc_b"), F.col("grams").alias("grams_b"))
-    return (pairs.join(left, "doc_a").join(right, "doc_b").select("doc_a", "doc_b", "grams_a", "grams_b")
+    left = held.select(F.col("key").alias("a"), F.col("grams").alias("grams_a"))
+    right = held.select(F.col("key").alias("b"), F.col("grams").alias("grams_b"))
+    return (pairs.join(left, "a").join(right, "b").select("doc_a", "doc_b", "grams_a", "grams_b")
             .mapInArrow(check, "a long, b long"))
 
 
@@ -361,7 +362,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _unsettled(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (doc_a, doc_b) across components that share a signature and pass the bound."""
+    """Pairs of sets across components that share a signature and pass the bound."""
     of = (classes.join(labels, classes["doc"] == labels["doc"], "left")
           .select("key", classes["doc"], "n", "sketch", F.coalesce("component", classes["doc"]).alias("component")))
     members = shared.select("sig", "key").join(of.select("key", "component"), "key")
@@ -373,24 +374,26 @@ def _unsettled(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
     rows = (shared.select("sig", "key").distinct().join(groups.select("sig", tiles.alias("tiles")), "sig").join(of, "key")
             .withColumn("tile", F.pmod(F.xxhash64("key", "sig"), F.col("tiles")).cast("int"))
             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("sig", "doc", "n", "sketch", "component", "tile",
+            .select("sig", "key", "doc", "n", "sketch", "component", "tile",
                     F.least("tile", "with").alias("t1"), F.greatest("tile", "with").alias("t2")))
 
     def weigh(table: pa.Table) -> pa.Table:
-        doc, n, comp, tile = (table[c].to_numpy() for c in ("doc", "n", "component", "tile"))
+        key, doc, n, comp, tile = (table[c].to_numpy() for c in ("key", "doc", "n", "component", "tile"))
         sk = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
         t1, t2 = table["t1"][0].as_py(), table["t2"][0].as_py()
         right = np.flatnonzero(tile == t2)
         out = [[], []]
         for i in np.flatnonzero(tile == t1):
-            other = right[(comp[right] != comp[i]) & ((doc[right] > doc[i]) if t1 == t2 else True)]
+            other = right[(comp[right] != comp[i]) & ((key[right] > key[i]) if t1 == t2 else True)]
             other = other[within_bound(n[i], sk[i], n[other], sk[other])]
-            out[0].append(np.full(len(other), doc[i]))
-            out[1].append(doc[other])
+            out[0].append(np.full(len(other), i))
+            out[1].append(other)
         a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in out)
-        return pa.table({"doc_a": pa.array(np.minimum(a, b), pa.int64()), "doc_b": pa.array(np.maximum(a, b), pa.int64())})
+        a, b = np.where(key[a] < key[b], a, b), np.where(key[a] < key[b], b, a)
+        return pa.table({"a": pa.array(key[a], pa.int64()), "b": pa.array(key[b], pa.int64()),
+                         "doc_a": pa.array(doc[a], pa.int64()), "doc_b": pa.array(doc[b], pa.int64())})
 
-    return rows.groupBy("sig", "t1", "t2").applyInArrow(weigh, "doc_a long, doc_b long").distinct()
+    return rows.groupBy("sig", "t1", "t2").applyInArrow(weigh, _PAIR).distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -401,8 +404,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     has the empty set, is linked with nothing and is its own component.
     Documents with equal sets are one class; ``copies`` is the class's size.
     ``component_id`` is the least doc_id of the component; rows with a null
-    doc_id take their class's (null if it has none). Repeated rows are copies. An empty
-    table gives no rows; columns other than doc_id and text are ignored.
+    doc_id take their class's (null if it has none). Repeated rows are copies;
+    different texts under one id each keep their own links and share a
+    component. An empty table gives no rows; columns other than doc_id and text
+    are ignored.
     """
     sets = cut(document_sets(docs), "sets")
     classes = cut(sets.filter("key IS NOT NULL").groupBy("key")

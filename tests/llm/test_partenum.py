@@ -121,3 +121,10 @@ def test_components_of_chains_stars_and_random_links(spark):
     got = {r[0]: r[1] for r in partenum.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
     assert partenum.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_different_texts_under_one_id(docs):
+    a, b = "one two three four five six seven", " ".join(f"w{i}" for i in range(40))
+    rows = [(7, a), (7, b), (3, b.replace("w0 ", "x ")), (9, a + " eight"), (8, "nothing like it at all here")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in partenum.jaccard_components(docs(rows)).collect()}
+    assert got == {(7, 3): 3, (7, 36): 3, (3, 36): 3, (9, 4): 9, (8, 2): 8}
