@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropwire.llm.common import held_out, read_table
+from cropwire.llm.partenum import shingle_sets
 from cropwire.llm.samples import labelled_texts
+from cropwire.llm.words import slices
 
 #: Labelled documents learned from, per class.
 PER_CLASS = 6000
@@ -172,6 +174,25 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
     return Lexicon(weights, lexicon.exceptions, _logistic(rows["total"].to_numpy(), rows["dense"].to_numpy(), rows["label"].to_numpy()))
 
 
+def _one_of_copies(sample: DataFrame) -> DataFrame:
+    """The sample without most copies and near copies, which would speak for their every word.
+
+    Texts with the same least shingle hash count once (that with the least id);
+    two texts have it in common as likely as their sets are similar.
+    """
+    kind = sample.schema["doc_id"].dataType.simpleString()
+
+    def least(batches):
+        for rows, raw, offsets in slices(batches, 1):
+            grams, edges = shingle_sets(raw, offsets)
+            some = np.diff(edges) > 0
+            first = np.where(some, grams.view(np.int64)[np.minimum(edges[:-1], max(0, len(grams) - 1))] if len(grams) else 0, 0)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(first, pa.int64())], ["doc_id", "text", "label", "least"])
+
+    return (sample.select("doc_id", "text", "label").mapInArrow(least, f"doc_id {kind}, text string, label int, least long")
+            .groupBy("least").agg(F.min_by(F.struct("doc_id", "text", "label"), F.struct("doc_id", "text", "label")).alias("row")).select("row.*"))
+
+
 def _phrases(folded: str, weights: dict[str, float]) -> set[str]:
     """A lexicon word with the word before it or after it."""
     words = folded.split()
@@ -218,8 +239,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     without hits. Repeated documents get equal rows; without labels of both
     kinds the built-in terms are used alone; an empty table gives no rows.
     """
-    # Copies of a document would speak for its every word, so each text counts once.
-    lexicon = learn(labelled_texts(docs, labels, "toxic", 3, 1, per_class).dropDuplicates(["text"]))
+    lexicon = learn(_one_of_copies(labelled_texts(docs, labels, "toxic", 3, 1, per_class)))
 
     def scored(batches):
         for b in batches:
