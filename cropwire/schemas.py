@@ -71,10 +71,6 @@ DIMENSION_SCHEMA = T.StructType([
     T.StructField("longitude", T.DoubleType(), True),
 ])
 
-# Landed documents: one row per fetched document.
-CLIMATE_DOCS_SCHEMA = "producer_id STRING, doc_seq BIGINT, http_status INT, raw STRING"
-MARKET_DOCS_SCHEMA = "symbol STRING, doc_seq BIGINT, http_status INT, raw STRING"
-
 # Leaves are read as STRING and cast with try_cast afterwards: a JSON number
 # read straight into DOUBLE is fine, but a quoted number would become NULL.
 _SERIES = "MAP<STRING, STRING>"
@@ -97,10 +93,6 @@ CLIMATE_OBSERVATION_COLUMNS = [
     "producer_id", "producer_name", "commodity_type", "date",
     "precipitation", "root_zone_soil_wetness", "temperature_max", "temperature_min",
 ]
-MARKET_OBSERVATION_COLUMNS = [
-    "symbol", "price_timestamp", "open", "high", "low", "close",
-    "adjusted_close", "volume", "dividend_amount",
-]
 
 CLIMATE_TABLE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
@@ -132,7 +124,3 @@ MARKET_TABLE_SCHEMA = T.StructType([
 ])
 MARKET_KEYS = ["symbol", "price_timestamp"]
 MARKET_NOT_NULL = ["symbol", "price_timestamp"]
-
-QUARANTINE_SCHEMA = "feed STRING, key STRING, detail_key STRING, reason STRING, detail STRING"
-QUARANTINE_COLUMNS = ["feed", "key", "detail_key", "reason", "detail"]
-TOPIC_SCHEMA = "topic STRING, value STRING"
