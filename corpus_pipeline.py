@@ -39,12 +39,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one that names it. Rows that repeat its id are reduced to one."""
-    groups = jaccard_components(docs)
+    groups = cut(jaccard_components(docs), "groups")
     linked = groups.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     rest = docs.join(linked, docs["doc_id"].eqNullSafe(linked["doc_id"]), "left_anti")
-    named = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
-    repeated = rest.join(named, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return rest.join(named, "doc_id", "left_anti").select(docs.columns).unionByName(repeated)
+    repeated = cut(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if not repeated.limit(1).count():
+        return rest  # the texts are dealt out once
+    one = rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
