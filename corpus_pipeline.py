@@ -60,7 +60,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences and offsets."""
-    return pack_documents(docs)
+    return pack_documents(docs, added_tokens=True)
 
 
 STAGES = [("toxicity", toxicity), ("language", language), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]

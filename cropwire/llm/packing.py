@@ -15,6 +15,7 @@ never in one task.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -39,7 +40,14 @@ END_ID = 0
 #: Pre-tokenisation of the byte-level vocabulary (fixed value of its public format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White space as SPLIT has it; runs of ``LONG_RUN`` characters or more are encoded apart, as tiktoken's split fails on about a million.
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+LONG_RUN = 1 << 16
+#: A split that leaves a text in one piece.
+WHOLE = r"(?s:.+)"
+
 _encoders: dict = {}
+_id_functions: dict = {}
 
 
 def vocabulary_path() -> str:
@@ -47,14 +55,14 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str):
-    """The vocabulary file's byte-level BPE, loaded once per process.
+def encoder(path: str, split: str = SPLIT):
+    """The vocabulary file's byte-level BPE, loaded once per process and kind of split.
 
     The merges of this format are numbered in rank order, so the ids serve as
     ranks for a faster implementation that gives the same ids; a test holds the
     two against each other.
     """
-    if path not in _encoders:
+    if (path, split) not in _encoders:
         import tiktoken
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
@@ -64,14 +72,67 @@ def encoder(path: str):
         hidden = [b for b in range(256) if b not in set(shown)]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
         ranks = {bytes(byte[c] for c in token): i for token, i in model["model"]["vocab"].items() if i not in special}
-        _encoders[path] = tiktoken.Encoding("byte_bpe", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[path]
+        _encoders[path, split] = tiktoken.Encoding("byte_bpe", pat_str=split, mergeable_ranks=ranks, special_tokens={})
+    return _encoders[path, split]
+
 
+def id_function(path: str, added_tokens: bool = False):
+    """A function from a text to its ids, without the end id; made once per process.
 
-def pieces_of(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False) -> DataFrame:
+    With ``added_tokens`` the added tokens of the file are found in the text and
+    become their own ids, as ``tokenizers`` does by default; else they are plain text.
+    """
+    if (path, added_tokens) not in _id_functions:
+        plain = encoder(path)
+        space = re.compile(SPACE)
+
+        def ids_of(text: str) -> list[int]:
+            if len(text) < LONG_RUN:
+                return plain.encode_ordinary(text)
+            out, at = [], 0
+            for m in space.finditer(text):
+                if m.end() - m.start() < LONG_RUN:
+                    continue
+                # The split makes one piece of a run, less its last character if text follows; what precedes it ends a piece.
+                end = m.end() if m.end() == len(text) else m.end() - 1
+                out += plain.encode_ordinary(text[at:m.start()]) + encoder(path, WHOLE).encode_ordinary(text[m.start():end])
+                at = end
+            return out + plain.encode_ordinary(text[at:])
+
+        _id_functions[path, added_tokens] = _split_at_added(path, ids_of) if added_tokens else ids_of
+    return _id_functions[path, added_tokens]
+
+
+def _split_at_added(path: str, ids_of):
+    """``ids_of`` for the texts between the file's added tokens."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    added = {t["content"]: t for t in model.get("added_tokens", [])}
+    if not added:
+        return ids_of
+    # Leftmost, then longest.
+    found = re.compile("(" + "|".join(re.escape(c) for c in sorted(added, key=len, reverse=True)) + ")")
+    if model.get("normalizer") or any(t[k] for t in added.values() for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_file(path)
+        return lambda text: library.encode(text, add_special_tokens=False).ids if found.search(text) else ids_of(text)
+
+    def split(text: str) -> list[int]:
+        parts = found.split(text)
+        out = list(ids_of(parts[0]))
+        for token, rest in zip(parts[1::2], parts[2::2]):
+            out.append(added[token]["id"])
+            out += ids_of(rest)
+        return out
+
+    return split
+
+
+def pieces_of(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Tokenised pieces: doc_id, piece, start, length, ids_crc32 (and ids, as little-endian bytes).
 
     A document is its text's ids and the end id; a null text counts as empty.
+    With ``added_tokens`` the vocabulary's added tokens in a text have their own ids.
     Only documents longer than ``capacity`` are cut; the first piece is then
     the short one.
     """
@@ -79,7 +140,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def tokenise(batches):
-        encode = encoder(path).encode_ordinary
+        encode = id_function(path, added_tokens)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -284,15 +345,16 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(locate, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """Pack all documents into few sequences of at most ``capacity`` tokens; one row per piece.
 
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and
     ids with ``keep_ids``). A null or empty text is one end id. Repeated rows
     are packed as often as they come; an empty table gives no rows; columns
-    other than doc_id and text are ignored.
+    other than doc_id and text are ignored. ``added_tokens``: see ``pieces_of``;
+    the registered queries set it.
     """
-    return place_pieces(cut(pieces_of(docs, capacity, path, keep_ids), "pieces"), capacity)
+    return place_pieces(cut(pieces_of(docs, capacity, path, keep_ids, added_tokens), "pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -313,4 +375,4 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    return pack_documents(read_table(spark, sf_dir, "documents"))
+    return pack_documents(read_table(spark, sf_dir, "documents"), added_tokens=True)

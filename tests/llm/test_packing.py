@@ -118,3 +118,44 @@ def test_ids_are_those_of_the_tokenizers_library(text):
     t = test_ids_are_those_of_the_tokenizers_library.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
     t.encode_special_tokens = True
     assert packing.encoder(packing.vocabulary_path()).encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ADDED = "<|endoftext|>"
+
+
+def test_added_tokens_and_long_runs_have_the_ids_of_the_library(library):
+    ids = packing.id_function(packing.vocabulary_path(), True)
+    assert ids(f"Hello {ADDED} world") == [15496, 220, 50256, 995]
+    n = 1_000_000
+    long = [f"x{s * n}{end}" for s in (" ", "\n") for end in ("", "y", ADDED, "\u3000z")]
+    odd = [ADDED, ADDED * 3, f"a{ADDED}'s {ADDED} ", "<|endoftext|", "<|endoftext<|endoftext|>|>", "\x1c" * packing.LONG_RUN + " a",
+           "a " + "\u2003\x85 \r\n" * packing.LONG_RUN + " b  c", " " * packing.LONG_RUN + "\ta" + "\n" * packing.LONG_RUN]
+    for text in long + odd:
+        assert ids(text) == library.encode(text, add_special_tokens=False).ids, (text[:20], text[-20:])
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.sampled_from([ADDED, "<|", "endoftext", "|>", " ", "\n", "\u3000", "a", "'s", "1", "!"]), max_size=30))
+def test_ids_are_those_of_the_default_library(library, parts):
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "LONG_RUN", 3)  # bounds are looked up at each call
+        assert packing.id_function(packing.vocabulary_path(), True)(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_the_query_finds_added_tokens(spark, docs, library, tmp_path):
+    import corpus_pipeline
+    text = f"Hello {ADDED} world"
+    table = docs([(1, text)])
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    raw = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    for got in (packing.op5_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, table, str(tmp_path))):
+        (row,) = got.collect()
+        assert (row.length, row.ids_crc32) == (len(raw), zlib.crc32(raw.tobytes()))
