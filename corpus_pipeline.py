@@ -2,9 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all documents that the one
 before it kept, and returns a DataFrame; ``run`` writes it as Parquet and reads it
-again for the next. All but the last return the columns of ``documents``. Rows
-that repeat a doc_id are decided on alike; rows with a null doc_id pass the
-filters on their text. Empty input gives empty output.
+again for the next. All but the last return the columns of ``documents``. Every
+row is decided on by itself, also where doc_id is null or repeated. Empty input
+gives empty output.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropwire.llm.common import cut, read_table
+from cropwire.llm.common import cut, read_table, restored
 from cropwire.llm.language import identify_language
-from cropwire.llm.mixing import mix_sources
+from cropwire.llm.mixing import mix_sources, word_count
 from cropwire.llm.packing import pack_documents
 from cropwire.llm.partenum import jaccard_components
 from cropwire.llm.toxicity import score_toxicity
@@ -25,37 +25,42 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    bad = scored.filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"), whole_rows=True)
+    return restored(scored.filter("predicted = 0"), docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; ``und`` and very unsure ones go."""
-    found = identify_language(docs)
-    bad = found.filter((F.col("lang_pred") == "und") | (F.col("score") < LEAST_LANGUAGE_SCORE)).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    found = identify_language(docs, whole_rows=True)
+    return restored(found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one that names it. Rows that repeat its id are reduced to one."""
-    groups = cut(jaccard_components(docs), "groups")
-    linked = groups.filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rest = docs.join(linked, docs["doc_id"].eqNullSafe(linked["doc_id"]), "left_anti")
-    repeated = cut(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if not repeated.limit(1).count():
-        return rest  # the texts are dealt out once
-    one = rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return rest.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+    """One row of each component: the one with the least doc_id (null last). Texts without words are linked only to rows with their id and text.
+
+    Rows are compared under numbers of their own, so that neither a repeated nor a missing id links or parts texts.
+    """
+    rows = cut(docs.withColumn("row_", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_components(rows.select(F.col("row_").alias("doc_id"), "text")).select(F.col("doc_id").alias("of_"), "n_shingles", "component_id")
+    blank = F.col("n_shingles") == 0
+    # A null id is no id that two rows share.
+    group = [F.when(~blank, F.col("component_id")), F.when(blank, F.col("doc_id")),
+             F.when(blank & F.col("doc_id").isNull(), F.col("of_")), F.when(blank, F.col("hash_"))]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "hash_", "of_")
+    ids = rows.select("row_", "doc_id", F.xxhash64("text", F.col("text").isNull()).alias("hash_"))
+    first = (ids.join(groups, F.col("row_") == F.col("of_"))
+             .groupBy(*[g.alias(f"group_{i}_") for i, g in enumerate(group)]).agg(F.min(order)["of_"].alias("of_")))
+    return rows.join(first, F.col("row_") == F.col("of_"), "left_semi").select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix reads it."""
     mixed = mix_sources(docs)
-    decisions = mixed.groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
-    of = decisions.select(F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
-    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")))
-    return again.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(docs.columns)
+    # Rows of one id, source and size share one place in the mix, so they have equal copies.
+    decisions = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    of = decisions.select(*[F.col(c).alias(f"{c}_") for c in decisions.columns])
+    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (word_count("text") == F.col("size_")))
+    return again.withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("copies_")))).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

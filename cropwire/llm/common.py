@@ -29,6 +29,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame, others: bool) -> DataFrame:
+    """doc_id and text; with ``others`` the other columns behind them, under names that clash with none."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text")] if others else []
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"carried_{i}_") for i, c in enumerate(more)])
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` from those of ``carried``."""
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return rows.select(*[F.col(c) if c not in more else F.col(f"carried_{more.index(c)}_").alias(c) for c in docs.columns])
+
+
 def held_out(col: Column | str, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``, equals ``remainder``; a null id is never held out."""
     col = F.col(col) if isinstance(col, str) else col

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
-from cropwire.llm.common import held_out, read_table
+from cropwire.llm.common import carried, held_out, read_table
 from cropwire.llm.samples import sample_labels, training_labels
 from cropwire.llm.words import LOWER, slices
 
@@ -159,14 +160,15 @@ def learn(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = S
     return Discriminator(x[order], list(got["label"].to_numpy()[order]))
 
 
-def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = SAMPLE) -> DataFrame:
+def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = SAMPLE, whole_rows: bool = False) -> DataFrame:
     """Language of every whole text: doc_id, held_out, lang_pred, score (0 to 1).
 
     ``docs`` has doc_id, text and lang; only rows whose crc32(doc_id) modulo
     ``modulus`` is not ``remainder`` and whose lang is not null are learned
     from. A null or empty text, or one without a letter, is ``und`` with score
     0, as are all if there is nothing to learn from. Repeated rows get equal
-    results; an empty table gives no rows; other columns are ignored.
+    results; an empty table gives no rows; other columns are ignored, or come
+    along with ``whole_rows`` (see ``common.carried``).
     """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, modulus, remainder, sample))
 
@@ -177,12 +179,15 @@ def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sam
             label, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             if model.value is not None and some.any():
                 label[some], score[some] = model.value.predict(x[some])
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(label, pa.string()), pa.array(score, pa.float64())],
-                                             ["doc_id", "lang_pred", "score"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", "text").mapInArrow(predicted, f"doc_id {kind}, lang_pred string, score double")
-            .select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "lang_pred", "score"))
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), pa.array(label, pa.string()), pa.array(score, pa.float64())],
+                                             [*names, "lang_pred", "score"])
+
+    rows = carried(docs, whole_rows)
+    kept = [i for i, c in enumerate(rows.columns) if whole_rows or c != "text"]
+    names = [rows.columns[i] for i in kept]
+    schema = StructType([rows.schema[i] for i in kept]).add("lang_pred", StringType()).add("score", DoubleType())
+    return (rows.mapInArrow(predicted, schema)
+            .select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "lang_pred", "score", *names[1:]))
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ are the range buckets, and running sums are taken inside a bucket of about
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cropwire.llm.common import WORD, bits_for, cut, offsets, place_of, top_bits
@@ -25,6 +25,11 @@ ROWS_PER_BUCKET = 512
 WEIGHTS = (5, 2, 1)
 
 
+def word_count(text: str) -> Column:
+    """Words of a text column; none for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def source_targets(stats: DataFrame, weights: tuple[int, ...], share: float, epochs: int) -> DataFrame:
     """One row per source: n, source_size, weight, target, cut_time.
 
@@ -64,8 +69,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     they are taken or left together. An empty table gives no rows. The order
     depends on the ids only, so a rerun gives the same mix.
     """
-    word_count = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = cut(docs.select("doc_id", "source", word_count.alias("size"), place_of("doc_id").alias("place")), "mix-sizes")
+    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), place_of("doc_id").alias("place")), "mix-sizes")
     stats = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     targets = cut(source_targets(stats, weights, share, epochs), "mix-targets")
     rows = targets.agg(F.sum("n").alias("n"), F.max("cut_time").alias("t"), F.max("budget").alias("b")).first()

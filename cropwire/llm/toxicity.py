@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType
 
-from cropwire.llm.common import held_out, read_table
+from cropwire.llm.common import carried, held_out, read_table
 from cropwire.llm.partenum import shingle_sets
 from cropwire.llm.samples import labelled_texts
 from cropwire.llm.words import slices
@@ -230,7 +231,7 @@ def _logistic(total: np.ndarray, dense: np.ndarray, label: np.ndarray) -> tuple[
     return float(w[0]), float(max(0.0, w[1])), float(max(0.0, w[2]))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = THRESHOLD, whole_rows: bool = False) -> DataFrame:
     """Toxicity of every whole text: doc_id, held_out, score (0 to 1), predicted, hits.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and toxic (0 or 1); other
@@ -238,6 +239,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     is not 1. A null or empty text has no hits and gets the score of a text
     without hits. Repeated documents get equal rows; without labels of both
     kinds the built-in terms are used alone; an empty table gives no rows.
+    With ``whole_rows`` the other columns of ``docs`` come along (see ``common.carried``).
     """
     lexicon = learn(_one_of_copies(labelled_texts(docs, labels, "toxic", 3, 1, per_class)))
 
@@ -247,13 +249,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
                 part = b.slice(at, 512)
                 got = [lexicon.score(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64())],
-                    ["doc_id", "score", "hits"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, score double, hits long")
+                    [*(part.column(i) for i in kept), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64())],
+                    [*names, "score", "hits"])
+
+    rows = carried(docs, whole_rows)
+    kept = [i for i, c in enumerate(rows.columns) if whole_rows or c != "text"]
+    names = [rows.columns[i] for i in kept]
+    schema = StructType([rows.schema[i] for i in kept]).add("score", DoubleType()).add("hits", LongType())
+    return (rows.mapInArrow(scored, schema)
             .select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
-                    (F.col("score") >= threshold).cast("int").alias("predicted"), "hits"))
+                    (F.col("score") >= threshold).cast("int").alias("predicted"), "hits", *names[1:]))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

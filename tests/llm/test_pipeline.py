@@ -97,3 +97,43 @@ def test_clean_documents_stay(spark, tables):
     clean, bad = [d for d in label if label[d] == 0], [d for d in label if label[d] == 1]
     assert sum(d in kept for d in clean) >= 0.97 * len(clean)
     assert sum(d in kept for d in bad if zlib.crc32(str(d).encode()) % 3 != 1) <= 0.5 * len(bad)
+
+
+CLEAN = ["the thing and the other one of them was here in the end", "a letter from the old house on the hill came with the morning post",
+         "they walked along the river and spoke about the harvest of that year"]
+
+
+def test_rows_that_share_an_id_or_have_none_are_decided_on_alone(spark, docs, tables):
+    """A toxic, wordless or copied text does not take the clean texts under its id with it."""
+    toxic = max(tables("documents").join(tables("labels").filter("toxic = 1"), "doc_id").collect(), key=lambda r: len(r.text)).text
+    for bad, stage in ((toxic, cp.toxicity), ("123 456", cp.language)):
+        for doc in (None, 7):
+            rows = [(doc, bad), *((doc, t) for t in CLEAN)]
+            base = tables("documents").select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id <> 7")
+            out = stage(spark, base.unionByName(docs(rows)), SF)
+            got = [r.text for r in out.filter(out.doc_id.eqNullSafe(doc)).collect()]
+            assert Counter(got) == Counter(CLEAN)
+
+
+def test_near_copies_without_an_id_are_linked_and_texts_under_one_id_are_not(spark, docs):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words[:-1], "other"])]
+    got = cp.near_duplicates(spark, docs([(None, t) for t in near + CLEAN]), SF).collect()
+    assert len(got) == 4 and Counter(r.text for r in got if r.text not in near) == Counter(CLEAN)
+    # A numbered copy goes on, the row without an id goes; other rows without one stay.
+    got = cp.near_duplicates(spark, docs([(None, near[0]), (3, near[1]), *((None, t) for t in CLEAN)]), SF).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(3, near[1]), *((None, t) for t in CLEAN)])
+    # Different texts under one id both stay, equal rows once; wordless texts are copies of their own id only.
+    rows = [(1, CLEAN[0]), (1, CLEAN[1]), (1, CLEAN[0]), (2, ""), (2, ""), (3, ""), (None, None), (None, None)]
+    got = cp.near_duplicates(spark, docs(rows), SF).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, CLEAN[0]), (1, CLEAN[1]), (2, ""), (3, ""), (None, None), (None, None)])
+
+
+def test_mixing_reads_texts_of_one_id_as_often_as_their_own_row_says(spark, docs):
+    rows = [(d, " ".join(["w"] * n), "en", s) for s in "ab" for d in (None, 1, 2, 3, 4, 5) for n in (1, 7, 40)]
+    table = docs(rows)
+    want = Counter()
+    for r in mixing.mix_sources(table).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in cp.mixing(spark, table, SF).collect())
+    assert got == +want
