@@ -26,7 +26,6 @@ QUERIES = {
 
 #: SQL for the operators that SQL can express; the others have brute-force tests.
 ORACLES = {
-    "op1_lm_scoring": op1_lm_scoring,
     "op2_exact_top_k": OP2_SQL,
     "op3_preference_formatting": OP3_SQL,
 }

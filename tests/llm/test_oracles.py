@@ -21,3 +21,8 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_ten_operators_are_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+
+
+def test_every_oracle_is_sql():
+    import __spark_entry__ as entry
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
