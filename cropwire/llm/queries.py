@@ -3,6 +3,7 @@
 from cropwire.llm.ann import op9_nearest_neighbours
 from cropwire.llm.language import op7_language_id
 from cropwire.llm.mixing import op10_mix_sources
+from cropwire.llm.negatives import OP12_SQL, op12_hard_negatives
 from cropwire.llm.packing import op5_best_fit_packing
 from cropwire.llm.toxicity import op8_toxicity
 from cropwire.llm.partenum import op4_ngram_jaccard_join
@@ -22,10 +23,12 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 #: SQL for the operators that SQL can express; the others have brute-force tests.
 ORACLES = {
     "op2_exact_top_k": OP2_SQL,
     "op3_preference_formatting": OP3_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
