@@ -11,6 +11,7 @@ from cropwire.llm.preference import OP3_SQL, op3_preference_formatting
 from cropwire.llm.quality import op6_quality
 from cropwire.llm.scoring import op1_lm_scoring
 from cropwire.llm.topk import OP2_SQL, op2_exact_top_k
+from cropwire.llm.trie import OP13_SQL, op13_prefix_trie
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: SQL for the operators that SQL can express; the others have brute-force tests.
@@ -31,4 +33,5 @@ ORACLES = {
     "op2_exact_top_k": OP2_SQL,
     "op3_preference_formatting": OP3_SQL,
     "op12_hard_negatives": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
