@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators, and their DuckDB SQL."""
 
 from cropwire.llm.ann import op9_nearest_neighbours
+from cropwire.llm.licenses import op11_license_scan
 from cropwire.llm.language import op7_language_id
 from cropwire.llm.mixing import op10_mix_sources
 from cropwire.llm.negatives import OP12_SQL, op12_hard_negatives
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_mix_sources": op10_mix_sources,
+    "op11_license_scan": op11_license_scan,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_prefix_trie": op13_prefix_trie,
 }
