@@ -166,6 +166,8 @@ _ORACLES = {
     "event_json": P_M + _EVENTS,
     "topic_publish": P_M + _TOPIC,
     "topic_replay": P_M + _TOPIC,
+    "topic_order": P_M + ("SELECT symbol, CAST(rn - 1 AS INT) AS place, CAST(wk AS VARCHAR) || 'T00:00:00Z' AS price_timestamp "
+                          "FROM mk WHERE rn <= 10 AND sn % 7 <> 0 AND sn % 5 = 4 AND sn <> 24"),
     "market_cycle": P_M + ("SELECT symbol, CAST(wk AS VARCHAR) || 'T00:00:00Z' AS price_timestamp, open, high, low, close, volume "
                            "FROM mk WHERE rn <= 10 AND sn % 7 <> 0 AND sn % 5 = 4 AND sn <> 24"),
     "cycle_report": P_M + ("SELECT sy.symbol, count(mk.wk) AS published FROM sy LEFT JOIN mk ON sy.symbol = mk.symbol AND rn <= 10 "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import utc_now_iso
@@ -32,34 +32,66 @@ def event_json(events: DataFrame) -> DataFrame:
     return events.withColumn("value", F.to_json(F.col("event"), JSON_OPTIONS))
 
 
+#: The order of a symbol's messages: its documents as they came, then the place in the document.
+ARRIVAL = ["doc_seq", "pos"]
+
+
 def topic_messages(events: DataFrame, topic: str = TOPIC) -> DataFrame:
-    """D4 rows ``(topic, value)``: one text message per event, no de-duplication."""
+    """D4 rows ``(topic, key, doc_seq, pos, value)``: one text message per event, no de-duplication.
+
+    ``key`` is the event's symbol; ``doc_seq`` and ``pos`` (0 where ``events`` has none) say in which order its messages go out.
+    """
     if "value" not in events.columns:
         events = event_json(events)
-    return events.select(F.lit(topic).alias("topic"), F.col("value"))
+    order = [(F.col(c) if c in events.columns else F.lit(0)).cast(t).alias(c) for c, t in zip(ARRIVAL, ("bigint", "int"))]
+    return events.select(F.lit(topic).alias("topic"), F.col("event.data.symbol").alias("key"), *order, F.col("value"))
 
 
-def publish_topic(messages: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None,
-                  batch_id: str | int | None = None) -> None:
-    """Append messages to a topic sink.
+def broker_rows(messages: DataFrame, batch_id: str | int | None = None) -> DataFrame:
+    """Rows for the Kafka writer: ``topic, key, value`` and, with ``batch_id``, ``headers``.
 
-    Default: files partitioned by ``topic`` (one row per message). With
-    ``batch_id`` the files of a batch lie in a folder of their own, which a
-    replay of the batch replaces. ``fmt='kafka'`` writes to a broker when the Kafka connector is on the
-    classpath (``options`` carries ``kafka.bootstrap.servers``); the batch id is
-    then the message's key, as a broker keeps what a replay sends again.
+    A broker keeps the order of one key and deals keys to its partitions. So
+    all messages of a symbol are written by one task in arrival order, and the
+    symbols spread evenly over tasks and broker partitions. A broker keeps what
+    a replay sends again; the batch id in the headers lets a consumer drop it.
     """
+    rows = messages.repartition("topic", "key").sortWithinPartitions("topic", "key", *ARRIVAL)
+    columns = ["topic", "key", "value"]
+    if batch_id is not None:
+        header = F.struct(F.lit("batch_id").alias("key"), F.encode(F.lit(str(batch_id)), "UTF-8").alias("value"))
+        rows = rows.withColumn("headers", F.array(header))
+        columns.append("headers")
+    return rows.select(*columns)
+
+
+def publish_topic(messages: DataFrame, target: str | None, fmt: str = "parquet", options: dict | None = None,
+                  batch_id: str | int | None = None, observation: Observation | None = None) -> None:
+    """Append messages to a topic sink, in order; ``observation`` gets their number as ``n``.
+
+    Default: files partitioned by ``topic`` (one row per message). Files in the
+    order of their names, and rows in them, are in the order of a run: documents as
+    they came, then places. The sort deals ranges of that order to tasks, so a
+    symbol with most of the messages is split too. With ``batch_id`` the files of a batch lie in a
+    folder of their own, which a replay of the batch replaces. ``fmt='kafka'``
+    writes ``broker_rows`` when the Kafka connector is on the
+    classpath (``options`` carries ``kafka.bootstrap.servers``).
+    """
+    folders = {"topic": None} if batch_id is None else {"topic": None, "batch_id": F.lit(str(batch_id))}
+    if fmt == "kafka":
+        rows = broker_rows(messages, batch_id)
+    else:
+        rows = messages.withColumns({k: v for k, v in folders.items() if v is not None})
+        rows = rows.orderBy(ARRIVAL[0], "key", *ARRIVAL[1:])
+    if observation is not None:  # behind the sort, whose sampling reads its input once more
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("n"))
     if fmt == "kafka":
         # The Kafka writer takes the destination from the ``topic`` column.
-        if batch_id is not None:
-            messages = messages.withColumn("key", F.lit(str(batch_id)))
-        messages.write.format("kafka").options(**(options or {})).save()
-        return
-    if batch_id is not None:
-        (messages.withColumn("batch_id", F.lit(str(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "batch_id").format(fmt).save(target))
-        return
-    messages.write.mode("append").partitionBy("topic").format(fmt).save(target)
+        rows.write.format("kafka").options(**(options or {})).save()
+    elif batch_id is None:
+        rows.write.mode("append").partitionBy("topic").format(fmt).save(target)
+    else:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("topic", "batch_id").format(fmt).save(target))
 
 
 def read_topic(spark, target: str, topic: str = TOPIC, fmt: str = "parquet") -> DataFrame:

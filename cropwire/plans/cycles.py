@@ -232,14 +232,15 @@ def run_market_cycle(docs: DataFrame, topic_path: str | None, table: str | None
     """publish every event of the cycle; optionally also store rows (E4),
     the quarantine (F4) and the per-document report (F5). With ``batch_id`` a
     replayed batch replaces what it wrote to files before; a broker's messages
-    carry the id as a header-like key instead, so that a consumer can drop repeats."""
+    carry the id as a header instead, so that a consumer can drop repeats."""
     cyc = market_cycle(docs, max_weeks, ts, topic, requested)
     cyc.staged.persist()
     try:
         published = None
         if topic_path is not None or topic_format == "kafka":
-            published = _write_observed(cyc.messages, "published", lambda d: publish_topic(
-                d, topic_path, topic_format, topic_options, batch_id))
+            count = Observation("published")
+            publish_topic(cyc.messages, topic_path, topic_format, topic_options, batch_id, count)
+            published = int(count.get["n"])
         sink = None
         if table is not None:
             sink = insert_or_ignore(

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cropwire import fixtures as fx
@@ -403,6 +403,17 @@ def topic_replay(spark, sf):
     return _published(read_topic(spark, path, TOPIC))
 
 
+@query
+def topic_order(spark, sf):
+    """Each symbol's messages by their place in the topic's files."""
+    path = scratch_path(spark, "topic")
+    run_market_cycle(fx.fx_market_docs_faulty(spark, sf), path, max_weeks=N, ts=STAMP, batch_id=1)
+    read = read_topic(spark, path, TOPIC).select("key", "value", "_metadata.file_name", "_metadata.row_index")
+    place = F.row_number().over(Window.partitionBy("key").orderBy("file_name", "row_index")) - 1
+    return read.select(F.col("key").alias("symbol"), place.cast("int").alias("place"),
+                       F.get_json_object("value", "$.data.priceTimestamp").alias("price_timestamp"))
+
+
 # ------------------------------------------------------------------ E ----
 
 def _store(spark, sf, cycles, captured=None) -> str:
@@ -614,6 +625,7 @@ KEYS: dict[str, Query] = {
     "climate_table_created": climate_table_created,
     "market_table_created": market_table_created,
     "topic_replay": topic_replay,
+    "topic_order": topic_order,
     "missing_documents": missing_documents_q,
     "climate_report": climate_report,
     "quarantine_replay": quarantine_replay,

@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cropwire.functions.dates import iso_instant
-from cropwire.operators.events import event_json, market_events, publish_topic, read_topic, topic_messages
+from cropwire.operators.events import broker_rows, event_json, market_events, publish_topic, read_topic, topic_messages
 from cropwire.session import scratch_path
 from cropwire.sources import (
     climate_request_manifest, land_documents, lookup_producers, market_request_manifest,
@@ -93,6 +94,47 @@ def test_topic_sink_appends(spark):
     assert read_topic(spark, path).count() == 2
 
 
+def _messages(spark, n=300):
+    """Messages of 7 symbols, one of them with two thirds of all, dealt out in a wrong order."""
+    rows = [("HOT" if i % 3 else f"S{i % 7}", i % 5, i, f"{i % 5}-{i:04d}") for i in range(n)]
+    return (spark.createDataFrame(rows, "key string, doc_seq bigint, pos int, value string").withColumn("topic", F.lit("T"))
+            .orderBy(F.desc("value")).repartition(5))
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """As many tasks as there are shuffle partitions, however small the data."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_broker_rows_keep_a_symbols_order_in_one_task(spark, uncoalesced):
+    rows = broker_rows(_messages(spark), batch_id=42)
+    assert rows.dtypes == [("topic", "string"), ("key", "string"), ("value", "string"), ("headers", "array<struct<key:string,value:binary>>")]
+    assert [(h.key, bytes(h.value)) for h in rows.first().headers] == [("batch_id", b"42")]
+    assert broker_rows(_messages(spark)).columns == ["topic", "key", "value"]
+    sent = rows.select("key", "value", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    tasks, values = {}, {}
+    for r in sent:
+        tasks.setdefault(r.key, set()).add(r.task)
+        values.setdefault(r.key, []).append(r.value)
+    assert len(sent) == 300 and all(len(t) == 1 for t in tasks.values()) and len(set.union(*tasks.values())) > 1
+    assert all(v == sorted(v) for v in values.values())
+
+
+def test_files_keep_the_order_of_a_run(spark, uncoalesced):
+    path = scratch_path(spark, "t-order")
+    for batch in (1, 1, 2):
+        publish_topic(_messages(spark), path, batch_id=batch)
+    for batch in (1, 2):
+        rows = (read_topic(spark, path, "T").filter(F.col("batch_id") == batch)
+                .select("doc_seq", "key", "pos", "_metadata.file_name", "_metadata.row_index").orderBy("file_name", "row_index").collect())
+        assert len(rows) == 300 and len({r.file_name for r in rows}) > 1
+        assert [r[:3] for r in rows] == sorted(r[:3] for r in rows)
+        assert len({r.file_name for r in rows if r.key == "HOT"}) > 1  # a hot symbol is split
+
+
 def test_iso_instant_zone_free(spark):
     df = spark.createDataFrame([(1709251200123456,), (-1,)], "m bigint").select(iso_instant(F.timestamp_micros("m")))
     assert [r[0] for r in df.collect()] == ["2024-03-01T00:00:00.123456Z", "1969-12-31T23:59:59.999999Z"]
