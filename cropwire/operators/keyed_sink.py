@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -21,6 +21,12 @@ from cropwire.functions.numbers import nan_to_null
 
 # Commit markers above which they are folded into one.
 MARKERS = 64
+# Partitions whose starts are summed together.
+BLOCK_BITS = 7
+# Rows of a batch whose key values are pushed into the scan of the stored table one by one.
+FEW_KEYS = 1000
+# Values that a row group's Bloom filter is sized for at most (about a megabyte).
+BLOOM_VALUES = 1 << 20
 
 
 @dataclass
@@ -93,43 +99,62 @@ def first_writer(batch: DataFrame, keys: list[str], arrival: list[str]) -> DataF
     return batch.groupBy(*keys).agg(F.min_by(payload, order).alias("_w")).select("_w.*")
 
 
+def _starts(counts: DataFrame, start: int) -> DataFrame:
+    """``(_pid, _start)``: ``start`` and the rows of all earlier partitions, from ``(_pid, _n)``.
+
+    Two levels: sums within blocks of partitions, and sums of whole blocks, so
+    that no window holds more rows than about the square root of the partitions.
+    """
+    block = F.shiftright("_pid", BLOCK_BITS)
+    inside = Window.partitionBy("_block").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (counts.groupBy(block.alias("_block")).agg(F.sum("_n").alias("_sum"))
+              .select("_block", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_ahead")))
+    return (counts.withColumn("_block", block).withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+            .join(blocks, "_block").select("_pid", (F.col("_inside") + F.col("_ahead") + F.lit(start)).alias("_start")))
+
+
+def _sequenced(df: DataFrame, order: list[str], start: int, id_col: str) -> tuple[DataFrame, int, list[DataFrame]]:
+    """``sequence_ids`` and the persisted frames to release once the rows are written."""
+    tagged = (df.orderBy(*order)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .persist())
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).persist()
+    total = int(counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"])
+    # One row of 16 bytes for each partition, however many rows there are.
+    starts = F.broadcast(_starts(counts, start))
+    in_part = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    ids = (F.col("_start") + in_part + 1).cast("bigint")
+    return tagged.join(starts, "_pid").withColumn(id_col, ids).drop("_pid", "_mid", "_start"), total, [tagged, counts]
+
+
 def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id") -> tuple[DataFrame, int]:
     """``start + 1, start + 2, ...`` in ``order``; returns ``(rows, count)``.
 
     ``order`` must be a total order (the caller appends the key). Distributed:
     a range-partitioned sort; each row's position inside its partition comes
-    from ``monotonically_increasing_id``; per-partition row counts (one row per
-    partition, so bounded by the partition count, not the data) become offsets.
+    from ``monotonically_increasing_id``; per-partition row counts become the
+    partitions' starts, which are data: a join looks them up, so neither the plan nor the work
+    per row grows with the number of partitions.
     The sorted rows are persisted between the count and the write; a lost
     block is recomputed identically because the order is total and the range
-    bounds are fixed in the plan. Call ``unpersist()`` on the result when done.
+    bounds are fixed in the plan.
     """
-    tagged = (df.orderBy(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .persist())
-    counts = sorted((r["_pid"], r["_n"]) for r in
-                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, total = {}, 0
-    for pid, n in counts:
-        offsets[pid] = total
-        total += n
-    if not offsets:
-        return tagged.drop("_pid", "_mid").withColumn(id_col, F.lit(None).cast("bigint")), 0
-    off_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
-    in_part = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    ids = F.lit(start).cast("bigint") + off_map[F.col("_pid")] + in_part + F.lit(1)
-    return tagged.withColumn(id_col, ids.cast("bigint")).drop("_pid", "_mid"), total
+    rows, total, _ = _sequenced(df, order, start, id_col)
+    return rows, total
 
 
 def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.StructType, keys: list[str],
-                ranges: dict[str, tuple]) -> DataFrame:
+                ranges: dict[str, tuple], few: dict[str, list] | None = None) -> DataFrame:
     """Candidates whose key is not in the stored table (E3 anti join, planned for a large table).
 
     The batch's range of every key column is pushed into the scan of the
     stored keys, which skips files and row groups outside it; where a key
     column is a partition column, the join with the batch's keys prunes the folders
-    to the batch's own values as well. Spark sizes the persisted batch in bytes and
+    to the batch's own values as well. A batch of few keys also pushes each column's values
+    (``few``): the table's files are sorted by key and carry Bloom filters of the key columns, so
+    row groups that hold none of them are skipped although they lie within the range. Spark sizes the persisted batch in bytes and
     broadcasts its keys where they are small, so the large table is then
     scanned once and never shuffled.
     """
@@ -139,10 +164,29 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
             stored = stored.filter(F.col(c).between(F.lit(low), F.lit(high)))
             # Says no more than the range, but marks the probe as selective.
             probe = probe.filter(F.col(c) >= F.lit(low))
+    for c, values in (few or {}).items():
+        stored = stored.filter(F.col(c).isin(values))
     hits = stored.join(probe, keys, "left_semi")
     return cand.join(hits, keys, "left_anti")
 
 
+def _few_keys(cand: DataFrame, keys: list[str], offered: int) -> dict[str, list]:
+    """The values of every key column of a batch of at most ``FEW_KEYS`` rows; nothing for a larger one."""
+    if offered > FEW_KEYS:
+        return {}
+    rows = cand.select(*keys).collect()
+    return {k: sorted({r[k] for r in rows if r[k] is not None}) for k in keys}
+
+
+def _bloom_options(keys: list[str], rows: int) -> dict[str, str]:
+    """Writer options for Bloom filters of the key columns, sized by the rows of the append."""
+    options = {}
+    for k in keys:
+        options[f"parquet.bloom.filter.enabled#{k}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{k}"] = str(max(1, min(rows, BLOOM_VALUES)))
+    return options
+
+
 def _commits(target: str) -> str:
     return f"{target.rstrip('/')}/_commits"
 
@@ -234,9 +278,10 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
             offered = int(st["n"])
             if offered == 0:  # E9: an empty batch is a no-op
                 return SinkResult(0, 0, rejected)
-            fresh = _not_stored(spark, cand, target, schema, keys, {k: (st[f"lo_{k}"], st[f"hi_{k}"]) for k in keys})
+            fresh = _not_stored(spark, cand, target, schema, keys, {k: (st[f"lo_{k}"], st[f"hi_{k}"]) for k in keys},
+                                _few_keys(cand, keys, offered))
             base = high_water_mark(spark, target, schema, id_col)
-        ranked, inserted = sequence_ids(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
+        ranked, inserted, held = _sequenced(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 
         def stored_value(c: str) -> Column:
             if isinstance(fields[c], (T.DoubleType, T.FloatType)):
@@ -249,10 +294,14 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
                                     F.lit(stamp).alias("captured_at")).select(*store_cols)
                 if own:  # few files per folder; Spark splits a large folder
                     out = out.hint("rebalance", *[F.col(c) for c in own])
-                out.write.mode("append").partitionBy(*own).parquet(target)
+                # Sorted by key, a row group holds a narrow range of keys.
+                inside = [k for k in keys if k not in own]
+                out = out.sortWithinPartitions(*own, *inside)
+                out.write.mode("append").options(**_bloom_options(inside, inserted)).partitionBy(*own).parquet(target)
                 _record_commit(spark, target, int(base) + inserted)
         finally:
-            ranked.unpersist()
+            for frame in held:
+                frame.unpersist()
         return SinkResult(inserted if offered is None else offered, inserted, rejected)
     finally:
         cand.unpersist()

@@ -155,3 +155,76 @@ def test_markers_are_folded(spark):
         ks.MARKERS = before
     assert len(spark.read.parquet(f"{t}/_commits").inputFiles()) <= 3
     assert ks.high_water_mark(spark, t, schema) == 5
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_of_many_partitions_come_from_a_join(spark):
+    settings = {"spark.sql.shuffle.partitions": "2000", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out, n = sequence_ids(spark.range(0, 30_000).select((F.col("id") * 7919 % 30_000).alias("x")), ["x"], 5)
+        parts = out.withColumn("p", F.spark_partition_id()).groupBy().agg(F.count_distinct("p").alias("p"), F.count(F.lit(1)).alias("n"), F.sum((F.col("id") != F.col("x") + 6).cast("int")).alias("wrong")).first()
+        assert (n, parts.n, parts.wrong) == (30_000, 30_000, 0) and parts.p > 1000
+        assert "BroadcastHashJoin" in _plan(out) and "map(" not in _plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _rows_scanned(df, column):
+    """Rows that the scan with ``column`` of the executed plan gave: those of the row groups that it did not skip."""
+    def scans(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            yield from scans(node.executedPlan())
+        elif "QueryStage" in name:
+            yield from scans(node.plan())
+        elif name.startswith("Scan parquet"):
+            yield node
+        children = node.children()
+        for i in range(children.size()):
+            yield from scans(children.apply(i))
+    df.collect()
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans(df._jdf.queryExecution().executedPlan()) if column in s.toString())
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "d"]])
+def test_scattered_keys_skip_row_groups(spark, keys):
+    from cropwire.operators import keyed_sink as ks
+    t = scratch_path(spark, "t-bloom")
+    rows = spark.range(0, 200_000).selectExpr("concat('k', lpad(CAST(id * 7919 % 200000 AS STRING), 7, '0')) AS k", "CAST(id % 50 AS STRING) AS d",
+                                              "1.0D AS v", "CAST(id AS INT) AS seq")
+    kw = dict(keys=keys, arrival=["seq"], columns=["k", "d", "v"], captured_at="c")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.row.count.limit", "200")  # many row groups
+    try:
+        insert_or_ignore(rows.filter("seq % 2 = 0"), t, **kw)
+    finally:
+        hadoop.unset("parquet.block.row.count.limit")
+    # Keys all over the table's range; every other one is stored.
+    batch = spark.range(0, 100).selectExpr("concat('k', lpad(CAST((id * 1999 + id % 2) * 7919 % 200000 AS STRING), 7, '0')) AS k",
+                                           "CAST((id * 1999 + id % 2) % 50 AS STRING) AS d", "2.0D AS v", "CAST(id AS INT) AS seq").persist()
+    schema = read_table(spark, t).schema
+    ends = {k: tuple(batch.agg(F.min(k), F.max(k)).first()) for k in keys}
+    ranged = ks._not_stored(spark, batch, t, schema, keys, ends)
+    sought = ks._not_stored(spark, batch, t, schema, keys, ends, ks._few_keys(batch, keys, 100))
+    want = sorted(r.k for r in ranged.collect())
+    assert sorted(r.k for r in sought.collect()) == want
+    all_rows, some = _rows_scanned(ranged, "k"), _rows_scanned(sought, "k")
+    assert some < 0.5 * all_rows, (some, all_rows)
+    assert insert_or_ignore(batch, t, **kw).inserted == len(want)
+    assert ks._few_keys(batch, keys, ks.FEW_KEYS + 1) == {}
+
+
+def test_persisted_frames_are_released(spark):
+    from cropwire.operators import keyed_sink as ks
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    t = scratch_path(spark, "t-held")
+    for v in (1.0, 2.0):
+        ks.insert_or_ignore(batch(spark, [("a", str(v), v, 1)]), t, captured_at="c", **KW)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
