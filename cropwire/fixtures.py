@@ -58,12 +58,12 @@ def fx_market_docs_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand documents with faults by brand number: error, note, no series, bad third entry, 503, text behind the object."""
     return fx_market_docs(spark, sf_dir).selectExpr(
         "symbol", "sn", "doc_seq", "CASE WHEN sn % 7 = 0 THEN 503 ELSE 200 END AS http_status",
-        """CASE WHEN sn = 24 THEN raw || ' xx' ELSE CASE sn % 5 WHEN 0 THEN '{"Error Message":"bad symbol"}' WHEN 1 THEN '{"Note":"rate limit"}'
+        """CASE WHEN sn = 24 THEN raw || ' xx' ELSE CASE sn % 5 WHEN 0 THEN '{"Error Message":"bad symbol"}' WHEN 1 THEN IF(sn % 2 = 0, '{Note:"rate limit"}', '{"Note":"rate limit"}')
              WHEN 2 THEN '{"Information":"x"}'
              WHEN 3 THEN to_json(named_struct('Weekly Adjusted Time Series', map_from_entries(transform(
                map_entries(from_json(raw, '`Weekly Adjusted Time Series` MAP<STRING,MAP<STRING,STRING>>').`Weekly Adjusted Time Series`),
                (e, i) -> struct(e.key, IF(i = 2, map('1. open', 'x'), e.value))))))
-             ELSE raw END END AS raw""")
+             ELSE IF(sn = 34, '/* weekly */ ' || raw || ' // end', raw) END END AS raw""")
 
 
 def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     m = x.groupBy("user_id").agg(series("view").alias("a"), series("click").alias("b"),
                                  series("purchase").alias("c"), series("signup").alias("f"))
-    return m.selectExpr(
+    docs = m.selectExpr(
         "concat('P', user_id) AS producer_id", "user_id", "CAST(user_id AS BIGINT) AS doc_seq",
         "200 AS http_status",
         """to_json(named_struct(
@@ -92,7 +92,13 @@ def fx_climate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
              'properties', CASE WHEN user_id % 11 = 5 THEN NULL
                WHEN user_id % 11 = 8 THEN named_struct('parameter', NULL)
                ELSE named_struct('parameter', named_struct('PRECTOTCORR', a, 'GWETROOT', b, 'T2M_MAX', c,
-                 'T2M_MIN', IF(user_id % 11 = 3, NULL, f))) END)) || IF(user_id % 22 = 16, ' {}', '') AS raw""")
+                 'T2M_MIN', IF(user_id % 11 = 3, NULL, f))) END)) AS raw""")
+    # Two kinds of text behind the object, and documents with bare names and comments.
+    return docs.withColumn("raw", F.expr(r"""CASE
+        WHEN user_id % 44 = 16 THEN concat(raw, ',{"__end":"1"}] {}')
+        WHEN user_id % 22 = 16 THEN concat(raw, ' {}')
+        WHEN user_id % 11 = 1 THEN concat('/* daily */ ', regexp_replace(raw, r'"(header|messages|properties|parameter|fill_value)":', '$1:'), ' // end')
+        ELSE raw END"""))
 
 
 def fx_producers(spark: SparkSession, sf_dir: str) -> DataFrame:

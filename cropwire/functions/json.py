@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -53,19 +54,25 @@ def last_wins_map(m: Column) -> Column:
 
 _END = "__end"
 
+#: The lenient JSON that the feeds' documents may use: bare names, comments, raw line breaks in strings, any escaped character, leading zeros.
+LENIENT = {"allowUnquotedFieldNames": "true", "allowComments": "true", "allowUnquotedControlChars": "true",
+           "allowBackslashEscapingAnyCharacter": "true", "allowNumericLeadingZeros": "true"}
+
 
 def parse_whole(raw: Column, schema: str) -> Column:
     """``from_json`` of the whole text: NULL unless ``raw`` is one JSON object and nothing else.
 
     The plain parser stops behind the first value and accepts any text after
     it. Here the text stands in an array before a closing mark, which is only
-    reached if the text is exactly one value; one parse does both.
+    reached if the text is exactly one value; one parse does both. The mark is
+    the text's own digest, so that no text can bring it along. A line break before it ends a line comment.
     """
-    wrapped = F.concat(F.lit("["), raw, F.lit(f',{{"{_END}":"1"}}]'))
+    mark = F.sha2(raw, 256)
+    wrapped = F.concat(F.lit("["), raw, F.lit(f'\n,{{"{_END}":"'), mark, F.lit('"}]'))
     fields = T.StructType.fromDDL(schema).fields
-    parsed = F.from_json(wrapped, T.ArrayType(T.StructType([*fields, T.StructField(_END, T.StringType())])))
-    return let(parsed, lambda a: F.when(
-        (F.size(a) == 2) & (F.try_element_at(a, F.lit(2))[_END] == "1"), F.try_element_at(a, F.lit(1))))
+    parsed = F.from_json(wrapped, T.ArrayType(T.StructType([*fields, T.StructField(_END, T.StringType())])), LENIENT)
+    return let(F.struct(parsed.alias("a"), mark.alias("m")), lambda b: F.when(
+        (F.size(b["a"]) == 2) & (F.try_element_at(b["a"], F.lit(2))[_END] == b["m"]), F.try_element_at(b["a"], F.lit(1))))
 
 
 def has_top_key(raw: Column, parsed_value: Column, key: str) -> Column:
@@ -76,7 +83,9 @@ def has_top_key(raw: Column, parsed_value: Column, key: str) -> Column:
     escape) occurs in the document, and only then are the keys listed.
     """
     maybe = (F.instr(raw, key) > 0) | (F.instr(raw, "\\u") > 0)
-    listed = F.coalesce(F.array_contains(F.json_object_keys(raw), F.lit(key)), F.lit(False))
+    # Keys of lenient texts cannot be listed; a member that the parse gave no value can only be a null one.
+    named_null = raw.rlike(rf"""(["']?)\b{re.escape(key)}\1\s*:\s*null\b""")
+    listed = F.coalesce(F.array_contains(F.json_object_keys(raw), F.lit(key)), named_null, F.lit(False))
     return (
         F.when(parsed_value.isNotNull(), F.lit(True))
         .when(raw.isNull() | ~maybe, F.lit(False))

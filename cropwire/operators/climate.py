@@ -135,6 +135,18 @@ def _stage_expressions(raw: str, has_prior: bool) -> dict[str, Column]:
     }
 
 
+def _gated(docs: DataFrame, raw: str) -> tuple[DataFrame, dict[str, Column]]:
+    has_prior = "fault" in docs.columns
+    e = cached_expressions(("stage_climate", raw, has_prior), lambda: _stage_expressions(raw, has_prior))
+    parsed = materialize(docs, fault=e["prior"], doc=e["doc"])
+    return materialize(parsed, fault=e["fault"], fill_value=e["fill_value"], messages=e["messages"]), e
+
+
+def gate_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
+    """Parse and gate every document, without its days: adds ``fault``, ``fill_value`` and ``messages``."""
+    return _gated(docs, raw)[0].drop("doc")
+
+
 def stage_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Parse and gate every document; one row per document.
 
@@ -143,12 +155,8 @@ def stage_climate(docs: DataFrame, raw: str = "raw") -> DataFrame:
     by earlier gates, e.g. unknown producer or HTTP status) takes precedence
     and skips the parse. The document is parsed once.
     """
-    has_prior = "fault" in docs.columns
-    e = cached_expressions(("stage_climate", raw, has_prior), lambda: _stage_expressions(raw, has_prior))
-    parsed = materialize(docs, fault=e["prior"], doc=e["doc"])
-    gated = materialize(parsed, fault=e["fault"], fill_value=e["fill_value"], messages=e["messages"])
-    staged = materialize(gated, days=e["days"])
-    return staged.drop("doc")
+    gated, e = _gated(docs, raw)
+    return materialize(gated, days=e["days"]).drop("doc")
 
 
 def climate_messages(staged: DataFrame, key: str = "producer_id") -> DataFrame:

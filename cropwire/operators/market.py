@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cropwire.functions.dates import strict_iso_date, utc_midnight
 from cropwire.functions.frames import cached_expressions, materialize
-from cropwire.functions.json import has_top_key, last_wins_entries, let, parse_whole
+from cropwire.functions.json import LENIENT, has_top_key, last_wins_entries, let, parse_whole
 from cropwire.functions.numbers import is_finite, read_double, read_long
 from cropwire.schemas import (
     MARKET_ENTRY_SCHEMA, MARKET_ERROR_KEY, MARKET_FIELDS, MARKET_JSON_SCHEMA, MARKET_MAX_WEEKS,
@@ -47,9 +47,9 @@ def unquoted_volumes(raw: Column, entries: Column, max_weeks: int | Column | Non
     """
     odd = F.exists(entries, lambda e: e["value"][_VOLUME].isNotNull() & read_long(e["value"][_VOLUME]).isNull()
                    & e["value"][_VOLUME].try_cast("double").isNotNull())
-    numbers = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA)[MARKET_SERIES_KEY], lambda m: F.transform(
+    numbers = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA, LENIENT)[MARKET_SERIES_KEY], lambda m: F.transform(
         _first_n(max_weeks)(last_wins_entries(m)),
-        lambda e: F.from_json(e["value"], f"`{_VOLUME}` DOUBLE")[_VOLUME].isNotNull()))
+        lambda e: F.from_json(e["value"], f"`{_VOLUME}` DOUBLE", LENIENT)[_VOLUME].isNotNull()))
     return F.when(odd, numbers)
 
 
@@ -69,9 +69,9 @@ def market_entries(raw: Column, doc: Column, max_weeks: int | Column | None = MA
     first_n = _first_n(max_weeks)
     typed = doc[MARKET_SERIES_KEY]
     fast = first_n(last_wins_entries(typed))
-    slow = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA)[MARKET_SERIES_KEY], lambda m: F.transform(
+    slow = let(F.from_json(raw, MARKET_SERIES_TEXT_SCHEMA, LENIENT)[MARKET_SERIES_KEY], lambda m: F.transform(
         first_n(last_wins_entries(m)),
-        lambda e: F.struct(e["key"].alias("key"), F.from_json(e["value"], MARKET_ENTRY_SCHEMA).alias("value"))))
+        lambda e: F.struct(e["key"].alias("key"), F.from_json(e["value"], MARKET_ENTRY_SCHEMA, LENIENT).alias("value"))))
     return F.when(typed.isNotNull(), fast).otherwise(slow)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cropwire import fixtures as fx
 from cropwire.functions.dates import date_window, epoch_seconds, iso_instant
-from cropwire.functions.json import last_wins_entries
+from cropwire.functions.json import LENIENT, last_wins_entries
 from cropwire.functions.numbers import nan_to_null
 from cropwire.operators import climate as cl
 from cropwire.operators import market as mk
@@ -127,8 +127,8 @@ def climate_raw_scan(spark, sf):
     path = scratch_path(spark, "landing-climate")
     land_documents(fx.fx_climate_docs(spark, sf).drop("user_id"), path, fmt="json")
     docs = scan_documents(spark, path, "producer_id", fmt="json")
-    series = F.from_json(F.get_json_object("raw", "$.properties.parameter.PRECTOTCORR"), "MAP<STRING, STRING>")
-    values = F.map_values(series)
+    body = F.from_json("raw", "properties STRUCT<parameter: STRUCT<PRECTOTCORR: MAP<STRING, STRING>>>", LENIENT)
+    values = F.map_values(body["properties"]["parameter"]["PRECTOTCORR"])
     return docs.select("producer_id", "doc_seq", "http_status", F.coalesce(F.size(values), F.lit(-1)).cast("bigint").alias("days"),
                        F.aggregate(values, F.lit(0.0), lambda a, v: a + F.coalesce(v.try_cast("double"), F.lit(0.0))).alias("total"))
 
@@ -154,6 +154,10 @@ def _climate_staged(spark, sf):
     return cl.stage_climate(fx.fx_climate_docs(spark, sf))
 
 
+def _climate_gated(spark, sf):
+    return cl.gate_climate(fx.fx_climate_docs(spark, sf))
+
+
 @query
 def climate_parse(spark, sf):
     parsed = cl.parse_climate(fx.fx_climate_docs(spark, sf))
@@ -165,23 +169,23 @@ def climate_parse(spark, sf):
 
 @query
 def climate_structure_gate(spark, sf):
-    return (_climate_staged(spark, sf).select("producer_id", F.col("fault").alias("reason"))
+    return (_climate_gated(spark, sf).select("producer_id", F.col("fault").alias("reason"))
             .filter(F.col("reason").isin("unparsable", "missing_properties", "missing_parameter")))
 
 
 @query
 def climate_required_series(spark, sf):
-    return _climate_staged(spark, sf).filter(F.col("fault").isNull()).select("producer_id")
+    return _climate_gated(spark, sf).filter(F.col("fault").isNull()).select("producer_id")
 
 
 @query
 def climate_messages(spark, sf):
-    return cl.climate_messages(_climate_staged(spark, sf))
+    return cl.climate_messages(_climate_gated(spark, sf))
 
 
 @query
 def climate_fill_value(spark, sf):
-    return _climate_staged(spark, sf).select("producer_id", "fill_value")
+    return _climate_gated(spark, sf).select("producer_id", "fill_value")
 
 
 @query

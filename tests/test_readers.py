@@ -19,6 +19,8 @@ DOCS = "symbol string, doc_seq bigint, http_status int, raw string"
 
 @pytest.mark.parametrize("raw, whole", [
     ('{"a":"1"}', True), (' {"a":"1"} \n', True), ('{}', True), ('{"a":"1"} xx', False), ('{"a":"1"}{}', False),
+    ('{a:"1"}', True), ('/* c */ {"a":/* d */"1"} // e', True), ('{"a":"1"} // e\n', True), ('{"a":"1"} /* open', False), ("{'a':'1'}", True), ('{"a":"x\ny"}', True),
+    ('{"a":"1"},{"__end":"1"}] rest', False), ('{"a":"1"}\n,{"__end":"' + "0" * 64 + '"}]', False), ('{"a":"1"} // e\n{}', False),
     ('{"a":"1"},{}', False), ('{"a":"1"}] x', False), ('{"a":"1"}}', False), ('{"a":"1"', False), ("[1]", False), ("12", False), ("", False), (None, False)])
 def test_only_one_whole_object_parses(spark, raw, whole):
     got = spark.createDataFrame([(raw,)], "raw string").select(parse_whole(F.col("raw"), "a STRING").isNotNull()).first()[0]
@@ -94,3 +96,23 @@ def test_a_feed_creates_its_table_before_anything_lands(spark):
     stream_climate(spark, landing, producer_dimension(spark), table, ckpt, partition_by=("commodity_type",))
     got = read_table(spark, table)
     assert got.count() == 0 and set(got.columns) == {f.name for f in CLIMATE_TABLE_SCHEMA.fields}
+
+
+def test_lenient_documents_read_like_strict_ones(spark):
+    s = {"20240101": 1.0, "20240102": "2"}
+    strict = json.dumps({"header": {"fill_value": -999.0}, "messages": ["m"], "properties": {"parameter": {k: s for k in ("PRECTOTCORR", "GWETROOT", "T2M_MAX", "T2M_MIN")}}})
+    bare = "/* daily\n*/ " + strict.replace('"properties":', "properties:").replace('"20240101":', "20240101 /* day */ :") + " // end"
+    docs = spark.createDataFrame([("A", strict), ("B", bare)], "producer_id string, raw string")
+    a, b = (r.days for r in stage_climate(docs).orderBy("producer_id").collect())
+    assert a == b and len(a) == 2
+    note = spark.createDataFrame([("A", 1, 200, "{Note: null}"), ("B", 1, 200, '// n\n{"Error Message": "x"}'), ("C", 1, 200, "/**/" + market(d1="5") + "//")], DOCS)
+    assert [r.fault for r in stage_market(note, 10).orderBy("symbol").collect()] == ["provider_note", "provider_error", None]
+
+
+def test_gate_queries_do_not_align_days(spark):
+    from cropwire.plans.queries import KEYS
+    sf = "/root/testdata/sf0.001"
+    for name in ("climate_fill_value", "climate_messages", "climate_structure_gate", "climate_required_series"):
+        plan = KEYS[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "sort_array" not in plan and plan.count("from_json") == 1, name
+    assert "sort_array" in KEYS["climate_complete_days"](spark, sf)._jdf.queryExecution().executedPlan().toString()
