@@ -186,6 +186,15 @@ _ORACLES = {
     "missing_documents": P_C + ("SELECT producer_id AS key, 'no_document' AS reason FROM dim WHERE producer_id NOT IN (SELECT producer_id FROM u)"),
     "climate_report": P_C + ("SELECT a.producer_id, count(g.date) AS rows FROM (SELECT producer_id FROM dim UNION SELECT producer_id FROM u) a "
                              "LEFT JOIN g ON g.producer_id = a.producer_id AND complete AND NOT bad AND a.producer_id IN (SELECT producer_id FROM dim) GROUP BY 1"),
+    "stream_missing": P_C + ("SELECT CAST(r.run + 1 AS INT) AS cycle, a.producer_id AS key, 'no_document' AS reason FROM (SELECT unnest([0, 1]) AS run) r, "
+                             "(SELECT producer_id FROM dim UNION SELECT producer_id FROM u) a "
+                             "WHERE a.producer_id NOT IN (SELECT producer_id FROM u WHERE user_id % 2 = r.run)"),
+    "cycle_log": P_C + ("""SELECT CAST(r.run AS BIGINT) AS epoch, (SELECT count(*) FROM u WHERE user_id % 2 = r.run) AS documents,
+        (SELECT count(*) FROM g JOIN dim USING (producer_id) WHERE user_id % 2 = r.run AND complete AND NOT bad) AS rows,
+        (SELECT count(*) FROM g JOIN dim USING (producer_id) WHERE user_id % 2 = r.run AND complete AND NOT bad) AS inserted,
+        (SELECT count(*) FROM u WHERE user_id % 2 = r.run AND (user_id % 11 IN (3, 5, 8) OR producer_id NOT IN (SELECT producer_id FROM dim)))
+        + (SELECT count(*) FROM g JOIN dim USING (producer_id) WHERE user_id % 2 = r.run AND complete AND bad) AS quarantined
+        FROM (SELECT unnest([0, 1]) AS run) r"""),
     "two_cycle_table": P_S + "SELECT cycle, count(*) AS n FROM r WHERE rn = 1 GROUP BY 1",
 }
 

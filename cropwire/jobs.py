@@ -8,8 +8,9 @@
 
 Batch mode runs one cycle over everything landed under ``--landing``. With
 ``--stream`` the landing folder is read as a stream: ``--interval-hours 0``
-drains what is new and stops (one scheduled run); a positive interval keeps
-running with that trigger. The session comes from the cluster (spark-submit);
+drains what is new and stops (one scheduled run); a positive interval runs
+again that long after the end of each run. In both modes a file or line that cannot be
+read is quarantined and the others go on. The session comes from the cluster (spark-submit);
 scratch and checkpoints belong under its ``spark.checkpoint.dir``.
 """
 
@@ -22,9 +23,9 @@ from pyspark.sql import SparkSession
 from cropwire.plans.cycles import run_climate_cycle, run_market_cycle
 from cropwire.schemas import CLIMATE_DAYS, MARKET_MAX_WEEKS, TOPIC
 from cropwire.sources import (
-    climate_request_manifest, market_request_manifest, producer_dimension, producer_ids, scan_documents, symbol_list,
+    climate_request_manifest, market_request_manifest, producer_dimension, producer_ids, scan_landed, symbol_list,
 )
-from cropwire.streaming.landing import stream_climate, stream_market
+from cropwire.streaming.landing import repeat_runs, stream_climate, stream_market
 
 
 def _dimension(spark: SparkSession, path: str | None):
@@ -32,15 +33,13 @@ def _dimension(spark: SparkSession, path: str | None):
 
 
 def _run(spark: SparkSession, a: argparse.Namespace, key: str, cycle, stream_cycle) -> None:
-    """One batch cycle over the landing folder, or the stream over it; both with the same outputs."""
+    """One batch cycle over the landing folder, or runs of the stream over it; both with the same outputs."""
     kw = dict(partition_by=tuple(a.partition_by) if a.partition_by else None, report_path=a.report)
     if not a.stream:
-        cycle(scan_documents(spark, a.landing, key, a.format), dict(kw, batch_id=a.batch_id))
+        cycle(scan_landed(spark, a.landing, key, a.format), dict(kw, batch_id=a.batch_id))
         return
-    q = stream_cycle(dict(kw, fmt=a.format, max_files=a.max_files,
-                          processing_time=f"{a.interval_hours} hours" if a.interval_hours > 0 else None))
-    if a.interval_hours > 0:
-        q.awaitTermination()
+    run = lambda: stream_cycle(dict(kw, fmt=a.format, max_files=a.max_files, log_path=a.log, archive=a.archive))
+    repeat_runs(run, a.interval_hours * 3600, None if a.interval_hours > 0 else 1)
 
 
 def climate(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -48,14 +47,14 @@ def climate(spark: SparkSession, a: argparse.Namespace) -> None:
     more = dict(messages_path=a.messages, requested=producer_ids(dim) if a.requested else None)
     _run(spark, a, "producer_id",
          lambda docs, kw: run_climate_cycle(docs, dim, a.table, a.quarantine, **more, **kw),
-         lambda kw: stream_climate(spark, a.landing, dim, a.table, a.checkpoint, a.quarantine, messages_path=a.messages, **kw))
+         lambda kw: stream_climate(spark, a.landing, dim, a.table, a.checkpoint, a.quarantine, **more, **kw))
 
 
 def market(spark: SparkSession, a: argparse.Namespace) -> None:
-    more = dict(table=a.table, quarantine_path=a.quarantine, max_weeks=a.max_weeks, topic=a.topic)
     asked = symbol_list(spark, a.symbols) if a.symbols else None
+    more = dict(table=a.table, quarantine_path=a.quarantine, max_weeks=a.max_weeks, topic=a.topic, requested=asked)
     _run(spark, a, "symbol",
-         lambda docs, kw: run_market_cycle(docs, a.topic_path, requested=asked, **more, **kw),
+         lambda docs, kw: run_market_cycle(docs, a.topic_path, **more, **kw),
          lambda kw: stream_market(spark, a.landing, a.topic_path, a.checkpoint, **more, **kw))
 
 
@@ -79,17 +78,19 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--checkpoint")
         s.add_argument("--interval-hours", type=int, default=0)
         s.add_argument("--max-files", type=int, help="files of one micro-batch")
+        s.add_argument("--log", help="stream: folder of the log, a row of counts for each batch")
+        s.add_argument("--archive", help="stream: folder outside --landing that files move to when they are done")
         s.add_argument("--batch-id", help="batch mode: a repeated run with this id replaces its side outputs")
         s.add_argument("--report", help="folder of the per-document report")
         s.add_argument("--partition-by", nargs="*")
         if name == "climate":
             s.add_argument("--dimension", help="parquet producer table; default: built-in 25 producers")
             s.add_argument("--messages", help="folder of the provider's messages")
-            s.add_argument("--requested", action="store_true", help="report every producer, landed or not (batch mode)")
+            s.add_argument("--requested", action="store_true", help="report every producer, landed or not (a stream: at the end of each run; needs --report)")
         else:
             s.add_argument("--topic-path")
             s.add_argument("--topic", default=TOPIC)
-            s.add_argument("--symbols", help="requested symbols, comma list: order of arrival and missing documents (batch mode)")
+            s.add_argument("--symbols", help="requested symbols, comma list: missing documents (a stream needs --report) and, in batch mode, order of arrival")
             s.add_argument("--max-weeks", type=int, default=MARKET_MAX_WEEKS)
     s = sub.add_parser("manifest")
     s.add_argument("--out", required=True)

@@ -195,11 +195,11 @@ def _record_commit(spark: SparkSession, target: str, last_id: int) -> None:
     """After an append: one tiny marker row with the batch's last id."""
     marker = spark.createDataFrame([(last_id,)], "last_id bigint").coalesce(1)
     # The newest marker has the largest id, so the older ones can go now and then.
-    full = len(spark.read.schema("last_id bigint").parquet(_commits(target)).inputFiles()) >= MARKERS if _has(spark, _commits(target)) else False
+    full = len(spark.read.schema("last_id bigint").parquet(_commits(target)).inputFiles()) >= MARKERS if path_exists(spark, _commits(target)) else False
     marker.write.mode("overwrite" if full else "append").parquet(_commits(target))
 
 
-def _has(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 

@@ -38,7 +38,7 @@ from cropwire.sources import (
     climate_request_manifest, land_documents, lookup_producers, market_request_manifest, producer_dimension, producer_ids,
     producers_exist, scan_documents, status_gate, symbol_list, unknown_producers,
 )
-from cropwire.streaming import stream_keyed
+from cropwire.streaming import stream_climate, stream_keyed
 
 N = 10
 AS_OF = "2024-03-01"
@@ -551,6 +551,35 @@ def climate_report(spark, sf):
     return cyc.report.select("producer_id", "rows")
 
 
+def _two_runs(spark, sf, *outputs: str) -> list[str]:
+    """Two runs of the climate stream: producers of even users land before the first, of odd users before the second."""
+    landing, table, ckpt, q, rep, log = (scratch_path(spark, f"runs-{n}") for n in ("landing", "table", "ckpt", "quarantine", "report", "log"))
+    asked, docs = _asked(spark, sf), fx.fx_climate_docs(spark, sf).repartition(4, "producer_id").persist()
+    try:
+        for run in (0, 1):
+            land_documents(docs.filter(F.col("user_id") % 2 == run).drop("user_id"), landing)
+            stream_climate(spark, landing, _dim(spark, sf), table, ckpt, q, requested=asked, report_path=rep, log_path=log, captured_at=STAMP)
+    finally:
+        docs.unpersist()
+    paths = {"quarantine": q, "report": rep, "log": log}
+    return [paths[o] for o in outputs]
+
+
+@query
+def stream_missing(spark, sf):
+    """F5 in a stream: each run reports the requested producers that did not land since the run before."""
+    quarantine, = _two_runs(spark, sf, "quarantine")
+    rows = spark.read.parquet(quarantine).filter("reason = 'no_document'")
+    return rows.select(F.element_at(F.split("batch_id", "-"), -1).cast("int").alias("cycle"), "key", "reason")
+
+
+@query
+def cycle_log(spark, sf):
+    """F5 in a stream: what each batch wrote, from its log."""
+    log, = _two_runs(spark, sf, "log")
+    return spark.read.parquet(log).select("epoch", "documents", "rows", "inserted", "quarantined")
+
+
 def _replayed(spark, sf, output: str) -> DataFrame:
     """A side output of one market batch that ran twice under its id."""
     paths = {k: scratch_path(spark, f"replay-{k}") for k in ("topic", "quarantine", "report")}
@@ -630,6 +659,8 @@ KEYS: dict[str, Query] = {
     "market_table_created": market_table_created,
     "topic_replay": topic_replay,
     "topic_order": topic_order,
+    "stream_missing": stream_missing,
+    "cycle_log": cycle_log,
     "missing_documents": missing_documents_q,
     "climate_report": climate_report,
     "quarantine_replay": quarantine_replay,

@@ -4,11 +4,14 @@ from cropwire.sources.dimension import (
     lookup_producers, producer_dimension, producer_ids,
     producers_exist, unknown_producers,
 )
-from cropwire.sources.documents import land_documents, scan_documents, status_fault, status_gate
+from cropwire.sources.documents import (
+    Landed, exact_path, land_documents, landed_files, scan_documents, scan_landed, status_fault, status_gate,
+)
 from cropwire.sources.requests import climate_request_manifest, market_request_manifest, symbol_list
 
 __all__ = [
     "lookup_producers", "producer_dimension", "producer_ids",
-    "producers_exist", "unknown_producers", "land_documents", "scan_documents", "status_fault",
+    "producers_exist", "unknown_producers", "Landed", "exact_path", "land_documents",
+    "landed_files", "scan_documents", "scan_landed", "status_fault",
     "status_gate", "climate_request_manifest", "market_request_manifest", "symbol_list",
 ]

@@ -59,3 +59,15 @@ def test_partitioned_climate_table_cycle(spark):
     assert got[("WHEAT_1", "20240102")][1:] == (1.0, "WHEAT")
     assert sorted(r.id for r in rows) == [1, 2, 3, 4, 5, 6]
     assert {r.commodity_type for r in rows} == {"WHEAT", "CORN", "COFFEE"}
+
+
+def test_stream_job_reports_missing_symbols_and_logs(spark):
+    land, topic, ckpt, q, rep, log, archive = (scratch_path(spark, f"js-{n}") for n in ("land", "topic", "c", "q", "rep", "log", "arch"))
+    m = json.dumps({"Weekly Adjusted Time Series": {"2024-03-01": {
+        "1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1", "5. adjusted close": "1", "6. volume": "1", "7. dividend amount": "0"}}})
+    spark.createDataFrame([("WEAT", 1, 200, m)], "symbol string, doc_seq bigint, http_status int, raw string").write.parquet(land)
+    jobs.main(["market", "--landing", land, "--topic-path", topic, "--stream", "--checkpoint", ckpt, "--symbols", "WEAT,CORN", "--quarantine", q,
+               "--report", rep, "--log", log, "--archive", archive])
+    assert [(r.key, r.reason, r.batch_id) for r in spark.read.parquet(q).collect()] == [("CORN", "no_document", "cycle-1")]
+    assert {(r.symbol, r.published) for r in spark.read.parquet(rep).collect()} == {("WEAT", 1), ("CORN", 0)}
+    assert [(r.documents, r.published) for r in spark.read.parquet(log).collect()] == [(1, 1)]
