@@ -17,14 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from cropwire.llm.common import carried, held_out, read_table
-from cropwire.llm.samples import sample_labels, training_labels
+from cropwire.llm.samples import sample_labels
 from cropwire.llm.words import LOWER, slices
 
 #: Labelled documents learned from, over all languages; at least ``LEAST_PER_CLASS`` of each where there are as many.
 SAMPLE = 4000
 LEAST_PER_CLASS = 40
-#: Languages learned at most (the most frequent).
-MOST_CLASSES = 200
 DIMENSIONS = 4096
 #: Texts of one dense block.
 BLOCK = 128
@@ -140,18 +138,21 @@ class Discriminator:
 
 def learn(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = SAMPLE) -> Discriminator | None:
     """Fit on a bounded sample of the training rows with a language; none if there are none."""
-    rows = training_labels(docs, "lang", modulus, remainder)
-    known = min(rows.select("label").distinct().limit(MOST_CLASSES).count(), MOST_CLASSES)
+    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id", modulus, remainder)).select(F.col("lang").alias("label"), "doc_id", "text")
+    ids = rows.select("label", "doc_id").distinct()
+    known = ids.select("label").distinct().count()
     if not known:
         return None
-    picked = sample_labels(rows, max(LEAST_PER_CLASS, sample // known), MOST_CLASSES).dropDuplicates(["doc_id"])
+    # Every language is learned: the sample has SAMPLE rows in all, or LEAST_PER_CLASS for each language if that is more.
+    picked = sample_labels(ids, max(LEAST_PER_CLASS, sample // known))
 
     def measured(batches):
         for part, x in blocks(batches, 1):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())], ["label", "x"])
 
-    # Bounded by the sample, like the ids of the broadcast.
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id").select("label", "text")
+    # Text and language are of one row, also where an id repeats; one text for an id and language, so the sample bounds the rows too.
+    texts = (rows.filter(F.col("text").isNotNull()).join(F.broadcast(picked), ["label", "doc_id"])
+             .groupBy("label", "doc_id").agg(F.min("text").alias("text")).select("label", "text"))
     got = texts.mapInArrow(measured, "label string, x binary").toPandas()
     if not len(got):
         return None
@@ -161,7 +162,7 @@ def learn(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = S
 
 
 def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = SAMPLE, whole_rows: bool = False) -> DataFrame:
-    """Language of every whole text: doc_id, held_out, lang_pred, score (0 to 1).
+    """Language of every whole text: doc_id, held_out, lang_pred, score (0 to 1), languages (how many were learned).
 
     ``docs`` has doc_id, text and lang; only rows whose crc32(doc_id) modulo
     ``modulus`` is not ``remainder`` and whose lang is not null are learned
@@ -170,7 +171,8 @@ def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sam
     results; an empty table gives no rows; other columns are ignored, or come
     along with ``whole_rows`` (see ``common.carried``).
     """
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs, modulus, remainder, sample))
+    learned = learn(docs, modulus, remainder, sample)
+    model = docs.sparkSession.sparkContext.broadcast(learned)
 
     def predicted(batches):
         for part, x in blocks(batches, 1):
@@ -187,7 +189,8 @@ def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sam
     names = [rows.columns[i] for i in kept]
     schema = StructType([rows.schema[i] for i in kept]).add("lang_pred", StringType()).add("score", DoubleType())
     return (rows.mapInArrow(predicted, schema)
-            .select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "lang_pred", "score", *names[1:]))
+            .select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "lang_pred", "score",
+                    F.lit(len(learned.languages) if learned else 0).alias("languages"), *names[1:]))
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every document of a source, in a shuffled order that depends only on its id,
+Every document of a source, in a shuffled order that depends on its id and text alone,
 gets a virtual finish time: the source's words up to and including it, divided
 by the source's weight; its second reading comes one source size later. All
 readings of all sources, ranged by finish time, are taken until the budget is
@@ -21,6 +21,8 @@ from cropwire.llm.common import WORD, bits_for, cut, offsets, place_of, top_bits
 
 #: Documents of one bucket of the shuffled order.
 ROWS_PER_BUCKET = 512
+#: Equal rows that are numbered by one step.
+COPIES_AT_ONCE = 1024
 #: Weights, dealt to the sources in code point order (null last), repeating.
 WEIGHTS = (5, 2, 1)
 
@@ -30,6 +32,24 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def content_hash(text: str) -> Column:
+    """Hash of a text column, a null text told from an empty one."""
+    return F.xxhash64(text, F.col(text).isNull())
+
+
+def _numbered(sized: DataFrame) -> DataFrame:
+    """One row per input row with ``copy``, the number of a row among those equal to it, from 0.
+
+    Equal rows are counted, not gathered, and numbered again in steps that
+    Spark deals out, so that many of them are no one task's work.
+    """
+    keys = sized.columns
+    steps = (sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_AT_ONCE}")))).hint("rebalance"))
+    first = F.col("step") * COPIES_AT_ONCE
+    return steps.select(*keys, F.explode(F.sequence(first, F.least(F.col("n"), first + COPIES_AT_ONCE) - 1)).alias("copy"))
+
+
 def source_targets(stats: DataFrame, weights: tuple[int, ...], share: float, epochs: int) -> DataFrame:
     """One row per source: n, source_size, weight, target, cut_time.
 
@@ -61,15 +81,16 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     ``docs`` has doc_id, text and source; other columns are ignored. One row
     per input row: doc_id, source, size (words), source_size, weight, target,
     finish (virtual finish time of its first reading), copies (0 to
-    ``epochs``), taken (size x copies).
+    ``epochs``), taken (size x copies), content (a hash of the text).
 
     A null source is a source of its own, last in order. A null or empty text
     has size 0, takes nothing of the budget and is read with the document before
-    it. Rows of one source with equal id and size share one place in the order:
-    they are taken or left together. An empty table gives no rows. The order
-    depends on the ids only, so a rerun gives the same mix.
+    it. Rows that repeat an id, null ids included, have places of their own, and so have
+    equal rows, by their number. An empty table gives no rows. The order
+    depends on ids, texts and these numbers only, so a rerun gives the same mix.
     """
-    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), place_of("doc_id").alias("place")), "mix-sizes")
+    sized = _numbered(docs.select("doc_id", "source", word_count("text").alias("size"), content_hash("text").alias("content")))
+    sized = cut(sized.withColumn("place", place_of("doc_id", "content", "copy")), "mix-sizes")
     stats = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
     targets = cut(source_targets(stats, weights, share, epochs), "mix-targets")
     rows = targets.agg(F.sum("n").alias("n"), F.max("cut_time").alias("t"), F.max("budget").alias("b")).first()
@@ -78,10 +99,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     bits = bits_for(n, ROWS_PER_BUCKET)
     sized = sized.withColumn("bucket", top_bits(F.col("place"), bits))
     before = offsets(sized.groupBy("source", "bucket").agg(F.sum("size").alias("size")), ["source"], "bucket", "size", bits)
-    peers = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size")
+    peers = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "content", "copy")
     timed = (sized.withColumn("inside", F.sum("size").over(peers)).alias("d")
              .join(before.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.bucket") == F.col("o.bucket")))
-             .select("d.doc_id", "d.source", "d.size", (F.col("inside") + F.col("before")).alias("words")))
+             .select("d.doc_id", "d.source", "d.size", "d.content", (F.col("inside") + F.col("before")).alias("words")))
     timed = (timed.alias("d").join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
              .select("d.*", "source_size", "weight", "target", (F.col("words") / F.col("weight")).alias("finish")))
     timed = cut(timed, "mix-times")

@@ -403,12 +403,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of fewer than five words is one shingle; a null text, or one without words,
     has the empty set, is linked with nothing and is its own component.
     Documents with equal sets are one class; ``copies`` is the class's size.
-    ``component_id`` is the least doc_id of the component; rows with a null
-    doc_id take their class's (null if it has none). Repeated rows are copies;
+    ``component_id`` is the least doc_id of the component (null if none of its
+    rows has one); rows with a null doc_id link others like all rows. Repeated rows are copies;
     different texts under one id each keep their own links and share a
     component. An empty table gives no rows; columns other than doc_id and text
     are ignored.
     """
+    if docs.filter(F.col("doc_id").isNull()).limit(1).count():
+        return _with_null_ids(docs)
     sets = cut(document_sets(docs), "sets")
     classes = cut(sets.filter("key IS NOT NULL").groupBy("key")
                   .agg(F.min("doc_id").cast("long").alias("doc"), F.max("n_shingles").alias("n"), F.min("sketch").alias("sketch"),
@@ -428,5 +430,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                     F.coalesce("copies", F.lit(1)).alias("copies")))
 
 
+def _with_null_ids(docs: DataFrame) -> DataFrame:
+    """``jaccard_components`` where rows have no doc_id: all rows are compared under numbers of their own.
+
+    Rows of one id share one number, the least of theirs, and so a component.
+    """
+    rows = cut(docs.select("doc_id", "text").withColumn("number", F.monotonically_increasing_id()), "numbered")
+    least = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("number").alias("of"))
+    known = cut(rows.join(least, "doc_id", "left").select("doc_id", F.coalesce("of", "number").alias("number"), "text"), "known")
+    found = cut(jaccard_components(known.select(F.col("number").alias("doc_id"), "text")), "found")
+    ids = known.select("number", "doc_id").filter("doc_id IS NOT NULL").distinct()
+    mine = found.join(ids.withColumnRenamed("doc_id", "real"), found["doc_id"] == ids["number"], "left")
+    names = mine.groupBy(F.col("component_id").alias("component")).agg(F.min("real").alias("least"))
+    return (mine.join(names, F.col("component_id") == F.col("component"))
+            .select(F.col("real").alias("doc_id"), "n_shingles", F.col("least").cast("long").alias("component_id"), "copies"))
+
+
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"))

@@ -17,13 +17,13 @@ def training_labels(labels: DataFrame, label: str, modulus: int, remainder: int)
             .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out("doc_id", modulus, remainder)))
 
 
-def sample_labels(rows: DataFrame, per_class: int, classes: int = 1000) -> DataFrame:
-    """About ``per_class`` rows of each of the ``classes`` most frequent labels, by a hash of the id.
+def sample_labels(rows: DataFrame, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each label, by a hash of the id.
 
-    ``rows`` has doc_id and label. The result has at most about
-    ``per_class * classes`` rows (all of a class that has fewer).
+    ``rows`` has doc_id and label. The result has about
+    ``per_class`` rows of every label at most (all of a label that has fewer).
     """
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(classes).collect()
+    counts = rows.groupBy("label").count().collect()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(STEPS))
     keep = F.lit(False)
     whole = [r["label"] for r in counts if r["count"] <= per_class]
@@ -37,7 +37,8 @@ def sample_labels(rows: DataFrame, per_class: int, classes: int = 1000) -> DataF
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, per_class: int) -> DataFrame:
     """(doc_id, text, label) of a bounded sample of the training rows; of repeated labels the largest holds."""
-    picked = (sample_labels(training_labels(labels, label, modulus, remainder), per_class, 2)
+    picked = (sample_labels(training_labels(labels, label, modulus, remainder).dropDuplicates(), per_class)
               .groupBy("doc_id").agg(F.max("label").cast("int").alias("label")))
-    # At most twice per_class ids, so the broadcast is bounded.
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # About twice per_class ids, so the broadcast is bounded. Many rows may repeat one of them: each gives one text.
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))

@@ -38,8 +38,6 @@ LEAST_WEIGHT = 1.8
 STEM = (5, 6, 7, 8)
 #: A word beginning replaces the words that begin with it if it covers so many times more documents.
 STEM_GAIN = 1.25
-#: Terms at most; a bound of the model's size.
-MOST_TERMS = 2000
 #: Weight of a term that no label speaks about.
 SEED_WEIGHT = 3.0
 THRESHOLD = 0.7
@@ -144,8 +142,8 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
         return Lexicon(dict.fromkeys(seeds, SEED_WEIGHT), exceptions, (-4.0, 3.0, 0.0))
     counts = (_count(sample, terms_of).filter(F.col("toxic") >= LEAST_DOCS)
               .withColumn("weight", F.log(((F.col("toxic") + 0.5) / toxic) / ((F.col("clean") + 0.5) / clean))))
-    found = (counts.filter(F.col("weight") >= LEAST_WEIGHT)
-             .orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(MOST_TERMS).collect())
+    # No more than the sample's own words and their beginnings, so the sample bounds them.
+    found = counts.filter(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").collect()
     docs = {r["term"]: r["toxic"] for r in found}
     # A word beginning is a term if it covers clearly more documents than any longer term that begins with it.
     longest: dict[str, int] = {}
@@ -162,7 +160,7 @@ def learn(sample: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexico
             weights[t] = SEED_WEIGHT
     phrases = [r["term"] for r in _count(sample, lambda t: _phrases(t, weights))
                .filter((F.col("clean") >= LEAST_DOCS) & (F.col("clean") / clean > F.col("toxic") / toxic))
-               .orderBy(F.desc("clean"), "term").limit(MOST_TERMS).collect()]
+               .orderBy(F.desc("clean"), "term").collect()]
     lexicon = Lexicon(weights, [*exceptions, *phrases], (0.0, 0.0, 0.0))
 
     def measured(batches):

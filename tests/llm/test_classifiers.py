@@ -86,6 +86,30 @@ def test_toxicity_edges(spark, docs, clashing):
     assert toxicity.score_toxicity(docs([]), odd).collect() == []
 
 
+def test_many_rows_of_one_id_stay_a_bounded_sample(spark, docs):
+    from cropwire.llm.samples import labelled_texts
+    rows = [(1, f"text {i}") for i in range(3000)] + [(i, "other") for i in range(2, 60)]
+    labels = spark.createDataFrame([(1, 1, 1)] * 2000 + [(i, i % 2, 0) for i in range(2, 60)], LABELS)
+    got = labelled_texts(docs(rows), labels, "quality", 5, 0, 10).collect()
+    assert len(got) == len({r.doc_id for r in got}) <= 40
+
+
+def test_a_rich_lexicon_is_learned_whole(spark, docs):
+    rng = random.Random(9)
+    vocab = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrt"]
+    bad = [f"{a}{b}{c}x{d}" for a in "pqstvwz" for b in "aeiou" for c in "bcdfghjk" for d in "aeou"]  # 1,120 words
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 2
+        words = [rng.choice(vocab) for _ in range(20)] + (rng.sample(bad, 20) if toxic else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, toxic))
+    lexicon = toxicity.learn(toxicity._one_of_copies(toxicity.labelled_texts(docs(rows), spark.createDataFrame(labels, LABELS), "toxic", 3, 1, 6000)))
+    found = sum(lexicon.score(" ".join(rng.choices(vocab, k=12) + [w, w]))[1] > 0 for w in bad)
+    assert found >= 0.97 * len(bad), found
+
+
 # -------------------------------------------------------------- language --
 
 SOUNDS = {"en": "th er ing wh the and of", "de": "sch ung der und keit zu auf", "fr": "eau oi le et qu ez des", "es": "ción llo que los rr y ñ", "xx": "kj zvu qo bwe"}
@@ -125,6 +149,30 @@ def test_family_first_then_pairs():
     assert (label == np.array(labels)).mean() > 0.99 and (score <= 1).all()
 
 
+def test_every_language_is_learned(docs, monkeypatch):
+    monkeypatch.setattr(language, "LEAST_PER_CLASS", 4)
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    sounds = {f"l{k:03d}": ["".join(rng.choice(letters) for _ in range(4)) for _ in range(4)] for k in range(205)}
+    rows = [(4 * k + i, " ".join(rng.choice(s) for _ in range(40)), lang, "s") for k, (lang, s) in enumerate(sounds.items()) for i in range(4)]
+    got = language.identify_language(docs(rows), sample=820).collect()
+    truth = {r[0]: r[2] for r in rows}
+    learned = {r[2] for r in rows if crc(r[0], 4) != 2}
+    assert {r.languages for r in got} == {len(learned)} and len(learned) > 200
+    assert {r.lang_pred for r in got} >= learned
+    assert sum(r.lang_pred == truth[r.doc_id] for r in got) >= 0.98 * sum(t in learned for t in truth.values())
+
+
+def test_text_and_language_are_of_one_row(docs):
+    rng = random.Random(5)
+    ids = [i for i in range(400) if crc(i, 4) != 2]
+    rows = [(i, speech(rng, "en", 30), "en", "s") for i in ids[:60]] + [(i, speech(rng, "fr", 30), "fr", "s") for i in ids[60:120]]
+    # Every id again with a text of the other language, once without a language and many times over.
+    mixed = rows + [(i, speech(rng, "fr" if lang == "en" else "en", 30), None, "s") for i, _, lang, _ in rows] + [(ids[0], speech(rng, "en", 5), "en", "s") for _ in range(500)]
+    got = language.identify_language(docs(mixed)).select("doc_id", "lang_pred", "score").collect()
+    assert sum(r.lang_pred == "en" for r in got) == 60 + 60 + 500
+
+
 def test_language_edges(docs, clashing):
     rng = random.Random(3)
     rows = [(i, speech(rng, lang, 20), lang, "s") for i, lang in enumerate(["en", "fr"] * 30)]

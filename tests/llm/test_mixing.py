@@ -53,3 +53,38 @@ def test_edges(docs, clashing):
     assert got[3, "y"].size == 50000
     assert rows(mixing.mix_sources(docs([]))) == []
     assert [r.taken for r in rows(mixing.mix_sources(docs([(1, None), (2, " \n")])))] == [0, 0]
+
+
+@pytest.mark.parametrize("steps", [1024, 7])
+def test_rows_without_an_id_come_near_their_targets(docs, monkeypatch, steps):
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", steps)
+    many = [(None, "w " * 10, "en", s) for s in ("a", "b") for _ in range(1500)] + [(None, f"x{i} " * 10, "en", "c") for i in range(1500)] + [(7, "y " * 10, "en", "c")] * 300
+    got = rows(mixing.mix_sources(docs(many)))
+    assert len(got) == len(many)
+    sizes = {r.source: r.source_size for r in got}
+    for s, target in fluid(sizes).items():
+        assert sum(r.taken for r in got if r.source == s) == pytest.approx(target, abs=30), s
+    again = rows(mixing.mix_sources(docs(many[::-1]).repartition(5)))
+    assert sorted(str((r.doc_id, r.source, r.content, r.taken)) for r in got) == sorted(str((r.doc_id, r.source, r.content, r.taken)) for r in again)
+
+
+def test_copies_equal_a_plain_queue(docs):
+    """Every reading in order of virtual finish time, taken while the budget lasts, from the same shuffled order."""
+    many = [(i, f"t{i} " + "w " * (i * 13 % 23), "en", "abc"[i % 7 % 3]) for i in range(400)]
+    got = rows(mixing.mix_sources(docs(many)))
+    weight = dict(zip("abc", (5, 2, 1)))
+    queue = []
+    for s in "abc":
+        mine = sorted((r for r in got if r.source == s), key=lambda r: r.finish)
+        upto = 0
+        for r in mine:
+            upto += r.size
+            assert r.finish == pytest.approx(upto / weight[s])
+            queue += [((upto + e * r.source_size) / weight[s], r.doc_id, r.size) for e in (0, 1)]
+    budget, taken, copies = 1.5 * sum(r.size for r in got), 0, {}
+    for _, doc, size in sorted(queue):
+        if taken + size > budget:
+            break
+        taken += size
+        copies[doc] = copies.get(doc, 0) + 1
+    assert {r.doc_id: r.copies for r in got if r.copies} == copies

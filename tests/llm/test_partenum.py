@@ -128,3 +128,15 @@ def test_different_texts_under_one_id(docs):
     rows = [(7, a), (7, b), (3, b.replace("w0 ", "x ")), (9, a + " eight"), (8, "nothing like it at all here")]
     got = {(r.doc_id, r.n_shingles): r.component_id for r in partenum.jaccard_components(docs(rows)).collect()}
     assert got == {(7, 3): 3, (7, 36): 3, (3, 36): 3, (9, 4): 9, (8, 2): 8}
+
+
+def test_rows_without_an_id_link_others(docs):
+    base = [f"w{i}" for i in range(60)]
+    a, b = base[:-5] + ["x1", "x2"], ["y1", "y2"] + base[5:]
+    near = " ".join(base[:-1])
+    rows = [(None, " ".join(base)), (1, " ".join(a)), (2, " ".join(b)), (None, "no one is like this text here"), (9, "x y"), (9, near), (None, None), (4, None)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in partenum.jaccard_components(docs(rows)).collect()), key=str)
+    numbered = sorted(((None if r.doc_id in (100, 101, 102) else r.doc_id, r.n_shingles, None if r.component_id in (101, 102) else r.component_id) for r in
+                       partenum.jaccard_components(docs([(100 + i if r[0] is None else r[0], r[1]) for r, i in zip(rows, (0, 0, 0, 1, 0, 0, 2, 0))])).collect()), key=str)
+    assert got == numbered
+    assert {c for d, n, c in got if n > 40} == {1}
