@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from cropwire.llm.common import cut, read_table, restored
 from cropwire.llm.language import identify_language
-from cropwire.llm.mixing import mix_sources, word_count
+from cropwire.llm.mixing import content_hash, mix_sources
 from cropwire.llm.packing import pack_documents
 from cropwire.llm.partenum import jaccard_components
 from cropwire.llm.toxicity import score_toxicity
 
-#: A language found with less certainty than this is no language that was learned.
+#: A language found with less certainty than this is no language that was learned, where up to four were;
+#: it falls as more are, since they share the certainty.
 LEAST_LANGUAGE_SCORE = 0.2
 
 
@@ -32,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; ``und`` and very unsure ones go."""
     found = identify_language(docs, whole_rows=True)
-    return restored(found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)), docs)
+    return restored(found.filter((F.col("lang_pred") != "und") & (F.col("score") * F.greatest("languages", F.lit(4)) >= 4 * LEAST_LANGUAGE_SCORE)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,11 +57,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix reads it."""
     mixed = mix_sources(docs)
-    # Rows of one id, source and size share one place in the mix, so they have equal copies.
-    decisions = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).filter("copies > 0")
-    of = decisions.select(*[F.col(c).alias(f"{c}_") for c in decisions.columns])
-    again = docs.join(of, F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (word_count("text") == F.col("size_")))
-    return again.withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("copies_")))).select(docs.columns)
+    # Rows of one id, source and text, of which the stage before leaves one, are read equally often.
+    decisions = mixed.groupBy("doc_id", "source", "content").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", content_hash("text").alias("content")).alias("d")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("doc_id", "source", "content")]
+    again = rows.join(decisions.alias("m"), same[0] & same[1] & same[2])
+    return again.select("d.row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
