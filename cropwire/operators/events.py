@@ -10,6 +10,9 @@ from cropwire.schemas import EVENT_SOURCE, TOPIC
 
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX", "timeZone": "UTC"}
 
+#: Characters that the encoder escapes besides those that JSON asks for.
+HTML_UNSAFE = "<>&='\u2028\u2029"
+
 
 def market_events(observations: DataFrame, ts: str | None = None, source: str = EVENT_SOURCE) -> DataFrame:
     """One envelope per observation: ``ts``, ``ss`` and ``data`` (camelCase).
@@ -28,8 +31,15 @@ def market_events(observations: DataFrame, ts: str | None = None, source: str =
 
 
 def event_json(events: DataFrame) -> DataFrame:
-    """D3: the envelope as JSON text; instants as ISO UTC text without fraction."""
-    return events.withColumn("value", F.to_json(F.col("event"), JSON_OPTIONS))
+    """D3: the envelope as JSON text; instants as ISO UTC text without fraction.
+
+    Characters that mean something in HTML are written as escapes (``ZC=F`` as
+    ``ZC\\u003dF``); they only occur inside strings, so any JSON reader gives them back.
+    """
+    value = F.to_json(F.col("event"), JSON_OPTIONS)
+    for c in HTML_UNSAFE:
+        value = F.replace(value, F.lit(c), F.lit(f"\\u{ord(c):04x}"))
+    return events.withColumn("value", value)
 
 
 #: The order of a symbol's messages: its documents as they came, then the place in the document.

@@ -86,6 +86,13 @@ def test_event_json_shape(spark):
     assert list(json.loads(js)) == ["ts", "ss", "data"]
 
 
+def test_event_json_is_safe_in_html(spark):
+    obs = _obs(spark).withColumn("symbol", F.lit("ZC=F <a&b> 'x' \u2028\\"))
+    js = event_json(market_events(obs, ts="t")).first()["value"]
+    assert '"symbol":"ZC\\u003dF \\u003ca\\u0026b\\u003e \\u0027x\\u0027 \\u2028\\\\"' in js
+    assert json.loads(js)["data"]["symbol"] == "ZC=F <a&b> 'x' \u2028\\"
+
+
 def test_topic_sink_appends(spark):
     path = scratch_path(spark, "t-topic")
     msgs = topic_messages(event_json(market_events(_obs(spark), ts="x")))
