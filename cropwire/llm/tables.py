@@ -14,9 +14,21 @@ PIECE = 1 << 15
 _KIND = "piece long, salt long, n binary"
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, lowest first, so that the high bytes compress; behind their number."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
 def _add(t: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int64) for x in t["n"].to_pylist())
-    return pa.table({"piece": t["piece"][:1], "salt": t["salt"][:1], "n": pa.array([total.tobytes()], pa.binary())})
+    total = sum(unpacked(x, np.int64) for x in t["n"].to_pylist())
+    return pa.table({"piece": t["piece"][:1], "salt": t["salt"][:1], "n": pa.array([packed(total)], pa.binary())})
 
 
 def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray | None], size: int,
@@ -27,7 +39,7 @@ def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.nd
     task, and only the sum, of fixed size, comes to the driver.
     """
     def last(t: pa.Table) -> pa.Table:
-        total = np.frombuffer(_add(t)["n"][0].as_py(), np.int64).astype(dtype)
+        total = unpacked(_add(t)["n"][0].as_py(), np.int64).astype(dtype)
         return pa.table({"piece": t["piece"][:1], "n": pa.array([total.tobytes()], pa.binary())})
 
     def pieces(batches):
@@ -36,7 +48,7 @@ def sum_tables(rows: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.nd
             salt = TaskContext.get().partitionId() % 64
             for p in range(0, size, PIECE):
                 yield pa.RecordBatch.from_arrays([pa.array([p // PIECE], pa.int64()), pa.array([salt], pa.int64()),
-                                                  pa.array([table[p:p + PIECE].astype(np.int64).tobytes()], pa.binary())], ["piece", "salt", "n"])
+                                                  pa.array([packed(table[p:p + PIECE].astype(np.int64))], pa.binary())], ["piece", "salt", "n"])
 
     parts = rows.mapInArrow(pieces, _KIND).groupBy("piece", "salt").applyInArrow(_add, _KIND)
     out = np.zeros(size, dtype)
