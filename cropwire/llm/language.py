@@ -70,9 +70,35 @@ def blocks(batches, column: int):
             yield rows.slice(at, to - at), features(raw[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
 
 
+class Sample:
+    """Rows of features, kept as what is not 0; dense blocks of them are made one at a time, so the driver holds no copies."""
+
+    def __init__(self, slots: list[np.ndarray], values: list[np.ndarray], dimensions: int = DIMENSIONS):
+        self.slots, self.values, self.dimensions = slots, values, dimensions
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> "Sample":
+        slots = [np.flatnonzero(v) for v in x]
+        return cls(slots, [v[s] for v, s in zip(x, slots)], x.shape[1])
+
+    def __len__(self) -> int:
+        return len(self.slots)
+
+    def take(self, at: np.ndarray) -> "Sample":
+        return Sample([self.slots[i] for i in at], [self.values[i] for i in at], self.dimensions)
+
+    def dense(self, bias: bool = True, dtype: type = np.float32) -> np.ndarray:
+        """All rows, with ``bias`` a last column of ones."""
+        x = np.zeros((len(self), self.dimensions + bias), dtype)
+        for row, slots, values in zip(x, self.slots, self.values):
+            row[slots] = values
+        if bias:
+            x[:, -1] = 1
+        return x
+
+
 def svm(x: np.ndarray, positive: np.ndarray, c: float = 10.0, steps: int = 150) -> np.ndarray:
-    """A linear support vector machine (squared hinge, balanced) by accelerated gradient; the last weight is the bias."""
-    x = np.column_stack([x, np.ones(len(x), np.float32)])
+    """A linear support vector machine (squared hinge, balanced) by accelerated gradient; the last column of ``x`` is 1, its weight the bias."""
     y = np.where(positive, 1.0, -1.0).astype(np.float32)
     weight = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum())).astype(np.float32) * len(x) * c
     rate = 1.0 / (1.0 + 4.0 * weight.sum())
@@ -94,18 +120,23 @@ def svm(x: np.ndarray, positive: np.ndarray, c: float = 10.0, steps: int = 150)
 class Discriminator:
     """Family machines, then pair machines; ``predict`` gives labels and scores."""
 
-    def __init__(self, x: np.ndarray, labels: list[str]):
+    def __init__(self, x: np.ndarray | Sample, labels: list[str]):
+        rows = x if isinstance(x, Sample) else Sample.of(x)
         self.languages = sorted(set(labels))
         of = np.array([FAMILY_OF.get(v.lower(), f"other:{v}") for v in labels])
         label = np.array(labels)
         self.families = sorted(set(of))
         self.members = {f: sorted(set(label[of == f])) for f in self.families}
-        self.family = np.array([svm(x, of == f) for f in self.families]) if len(self.families) > 1 else None
+        self.family = None
+        if len(self.families) > 1:
+            dense = rows.dense()
+            self.family = np.array([svm(dense, of == f) for f in self.families])
+            del dense
         self.pairs = {}
         for f in self.families:
             for a, b in combinations(self.members[f], 2):
                 at = np.flatnonzero((label == a) | (label == b))
-                self.pairs[a, b] = svm(x[at], label[at] == a)
+                self.pairs[a, b] = svm(rows.take(at).dense(), label[at] == a)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = np.column_stack([x, np.ones(len(x), np.float32)])
@@ -148,17 +179,28 @@ def learn(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = S
 
     def measured(batches):
         for part, x in blocks(batches, 1):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())], ["label", "x"])
+            x = x.astype(np.float16)
+            slots = [np.flatnonzero(v).astype(np.uint16) for v in x]
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([v.tobytes() for v in c], pa.binary())
+                                                                for c in (slots, [v[s] for v, s in zip(x, slots)]))], ["label", "slots", "x"])
 
     # Text and language are of one row, also where an id repeats; one text for an id and language, so the sample bounds the rows too.
     texts = (rows.filter(F.col("text").isNotNull()).join(F.broadcast(picked), ["label", "doc_id"])
              .groupBy("label", "doc_id").agg(F.min("text").alias("text")).select("label", "text"))
-    got = texts.mapInArrow(measured, "label string, x binary").toPandas()
+    got = texts.mapInArrow(measured, "label string, slots binary, x binary").toArrow()
     if not len(got):
         return None
-    x = np.frombuffer(b"".join(got["x"]), np.float16).reshape(len(got), -1).astype(np.float32)
-    order = np.lexsort((got["x"], got["label"]))
-    return Discriminator(x[order], list(got["label"].to_numpy()[order]))
+    label = np.array(got["label"].to_pylist(), object)
+    rows = Sample(*([np.frombuffer(v, t) for v in got[c].to_pylist()] for c, t in (("slots", np.uint16), ("x", np.float16))))
+    # By label, then by the bytes of the whole row: one order, however the rows came.
+    order = [at[i] for k in sorted(set(label)) for at in [np.flatnonzero(label == k)] for i in _order(rows.take(at))]
+    return Discriminator(rows.take(order), list(label[order]))
+
+
+def _order(rows: Sample) -> list[int]:
+    """Places of the rows by the bytes of their dense form."""
+    keys = [v.tobytes() for v in rows.dense(bias=False, dtype=np.float16)]
+    return sorted(range(len(keys)), key=keys.__getitem__)
 
 
 def identify_language(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample: int = SAMPLE, whole_rows: bool = False) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -149,6 +150,34 @@ def test_family_first_then_pairs():
     assert (label == np.array(labels)).mean() > 0.99 and (score <= 1).all()
 
 
+def test_learning_holds_one_dense_copy_of_its_sample(docs):
+    """The driver keeps the sample sparse: at its peak it holds one dense block of it, and the machines are those of dense rows."""
+    rng = random.Random(11)
+    sounds = {lang: ["".join(rng.choice("abcdefghijklmnop") for _ in range(3)) for _ in range(60)] for lang in ("en", "de", "fr", "es")}
+    table = docs([(i, " ".join(rng.choice(s) for _ in range(30)), lang, "s") for i in range(1200) for lang, s in [[*sounds.items()][i % 4]]])
+    learned = sum(crc(i, 4) != 2 for i in range(1200))
+    language.learn(table)
+    tracemalloc.start()
+    try:
+        got = language.learn(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * 4 * learned * language.DIMENSIONS
+    assert set(got.pairs) == {("de", "en"), ("es", "fr")} and got.family.shape == (2, language.DIMENSIONS + 1)
+
+
+def test_sparse_samples_equal_dense_ones():
+    rng = np.random.default_rng(5)
+    x = (rng.integers(0, 2, (60, 32)) * rng.random((60, 32))).astype(np.float16)
+    rows = language.Sample.of(x)
+    assert (rows.dense(bias=False) == x).all() and (rows.dense()[:, -1] == 1).all() and (rows.take([3, 1]).dense(bias=False) == x[[3, 1]]).all()
+    assert [x[i].tobytes() for i in language._order(rows)] == sorted(v.tobytes() for v in x)
+    labels = [["en", "de", "fr"][i % 3] for i in range(60)]
+    a, b = language.Discriminator(rows, labels), language.Discriminator(x.astype(np.float32), labels)
+    assert (a.family == b.family).all() and all((a.pairs[k] == b.pairs[k]).all() for k in b.pairs)
+
+
 def test_every_language_is_learned(docs, monkeypatch):
     monkeypatch.setattr(language, "LEAST_PER_CLASS", 4)
     rng = random.Random(4)
