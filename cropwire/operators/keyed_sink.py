@@ -25,6 +25,8 @@ MARKERS = 64
 BLOCK_BITS = 7
 # Rows of a batch whose key values are pushed into the scan of the stored table one by one.
 FEW_KEYS = 1000
+# Rows of a batch whose keys are too many to be sent to every executor.
+MANY_KEYS = 1 << 20
 # Values that a row group's Bloom filter is sized for at most (about a megabyte).
 BLOOM_VALUES = 1 << 20
 
@@ -90,13 +92,19 @@ def not_null_gate(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFra
 def first_writer(batch: DataFrame, keys: list[str], arrival: list[str]) -> DataFrame:
     """One row per key: the earliest by ``arrival``, ties broken by the row's content.
 
-    A ``min_by`` aggregate, not a window: it combines map-side, so a key
-    holding a third of all rows still sends one row per map task.
+    A ``min`` aggregate, not a window: it combines map-side, so a key
+    holding a third of all rows still sends one row per map task. The order
+    holds the whole row, which is sorted and shuffled once; only maps, which
+    have no order, go beside it.
     """
-    payload = F.struct(*[F.col(c) for c in batch.columns])
-    rest = [f.name for f in batch.schema.fields if f.name not in arrival and not isinstance(f.dataType, T.MapType)]
-    order = F.struct(*[F.col(c) for c in [*arrival, *rest]])
-    return batch.groupBy(*keys).agg(F.min_by(payload, order).alias("_w")).select("_w.*")
+    maps = [f.name for f in batch.schema.fields if isinstance(f.dataType, T.MapType)]
+    names = list(dict.fromkeys([*arrival, *[c for c in batch.columns if c not in maps]]))
+    order = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)])
+    first = [F.min(order).alias("_w")]
+    if maps:
+        first.append(F.min_by(F.struct(*maps), order).alias("_m"))
+    found = batch.groupBy(*keys).agg(*first)
+    return found.select(*[found["_m"][c].alias(c) if c in maps else found["_w"][f"_{names.index(c)}"].alias(c) for c in batch.columns])
 
 
 def _starts(counts: DataFrame, start: int) -> DataFrame:
@@ -146,7 +154,7 @@ def sequence_ids(df: DataFrame, order: list[str], start: int, id_col: str = "id"
 
 
 def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.StructType, keys: list[str],
-                ranges: dict[str, tuple], few: dict[str, list] | None = None) -> DataFrame:
+                ranges: dict[str, tuple], few: dict[str, list] | None = None, many: bool = False) -> DataFrame:
     """Candidates whose key is not in the stored table (E3 anti join, planned for a large table).
 
     The batch's range of every key column is pushed into the scan of the
@@ -156,7 +164,8 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
     (``few``): the table's files are sorted by key and carry Bloom filters of the key columns, so
     row groups that hold none of them are skipped although they lie within the range. Spark sizes the persisted batch in bytes and
     broadcasts its keys where they are small, so the large table is then
-    scanned once and never shuffled.
+    scanned once and never shuffled. With ``many`` keys the stored ones are shuffled
+    anyhow, and one join does what else takes two.
     """
     stored, probe = spark.read.schema(schema).parquet(target).select(*keys), cand.select(*keys)
     for c, (low, high) in ranges.items():
@@ -166,6 +175,8 @@ def _not_stored(spark: SparkSession, cand: DataFrame, target: str, schema: T.Str
             probe = probe.filter(F.col(c) >= F.lit(low))
     for c, values in (few or {}).items():
         stored = stored.filter(F.col(c).isin(values))
+    if many:
+        return cand.join(stored, keys, "left_anti")
     hits = stored.join(probe, keys, "left_semi")
     return cand.join(hits, keys, "left_anti")
 
@@ -279,7 +290,7 @@ def insert_or_ignore(batch: DataFrame, target: str, *, keys: list[str], arrival:
             if offered == 0:  # E9: an empty batch is a no-op
                 return SinkResult(0, 0, rejected)
             fresh = _not_stored(spark, cand, target, schema, keys, {k: (st[f"lo_{k}"], st[f"hi_{k}"]) for k in keys},
-                                _few_keys(cand, keys, offered))
+                                _few_keys(cand, keys, offered), many=offered > MANY_KEYS and not own)
             base = high_water_mark(spark, target, schema, id_col)
         ranked, inserted, held = _sequenced(fresh, arrival + [k for k in keys if k not in arrival], int(base), id_col)
 

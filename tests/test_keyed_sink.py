@@ -5,7 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from cropwire.operators.keyed_sink import insert_or_ignore, read_table, sequence_ids
+from cropwire.operators import keyed_sink
+from cropwire.operators.keyed_sink import first_writer, insert_or_ignore, read_table, sequence_ids
 from cropwire.session import scratch_path
 
 SCHEMA = "k string, d string, v double, seq int"
@@ -228,3 +229,33 @@ def test_persisted_frames_are_released(spark):
     for v in (1.0, 2.0):
         ks.insert_or_ignore(batch(spark, [("a", str(v), v, 1)]), t, captured_at="c", **KW)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
+
+
+def test_first_writer_carries_the_row_once(spark):
+    """The order holds the whole row, so no second copy of it is sorted and shuffled; maps go beside it."""
+    rows = [("a", "1", float("nan"), 2), ("a", "1", None, 2), ("a", "1", 3.0, None), ("b", None, 0.5, 1), (None, None, 1.0, 4), (None, None, 1.0, 3)]
+    df = batch(spark, rows)
+    got = first_writer(df, ["k", "d"], ["seq"])
+    assert "min_by" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == df.columns
+    assert {tuple(r) for r in got.collect()} == {("a", "1", 3.0, None), ("b", None, 0.5, 1), (None, None, 1.0, 3)}
+    maps = df.withColumn("m", F.create_map(F.lit("seq"), "seq"))
+    assert {(r.k, r.seq, r.m["seq"]) for r in first_writer(maps, ["k", "d"], ["seq"]).collect()} == {("a", None, None), ("b", 1, 1), (None, 3, 3)}
+
+
+def test_many_keys_meet_the_stored_ones_in_one_join(spark, monkeypatch):
+    """A batch of many keys: the same rows as with two joins, keys outside the range and null ones too."""
+    kw = dict(keys=["k", "d"], arrival=["seq"], columns=["k", "d", "v"], captured_at="c", not_null=["k"])
+    one = [(f"k{i}", "1", float(i), i) for i in range(40)] + [("n", None, 1.0, 99)]
+    two = [(f"k{i}", "1", -1.0, i) for i in range(20, 60)] + [("n", None, 2.0, 98)]
+    tables = []
+    for many in (0, 1 << 20):
+        monkeypatch.setattr(keyed_sink, "MANY_KEYS", many)
+        tables.append(scratch_path(spark, "t-many"))
+        insert_or_ignore(batch(spark, one), tables[-1], **kw)
+        assert insert_or_ignore(batch(spark, two), tables[-1], **kw).inserted == 21
+    a, b = (sorted((r.id, r.k, r.d or "", r.v) for r in read_table(spark, t).collect()) for t in tables)
+    assert a == b and len(a) == 62
+    cand = batch(spark, two)
+    plan = keyed_sink._not_stored(spark, cand, tables[0], read_table(spark, tables[0]).schema, ["k", "d"], {}, many=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and "LeftSemi" not in plan
