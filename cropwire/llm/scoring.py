@@ -1,26 +1,32 @@
 """Language-model scoring by online logistic context mixing.
 
-Words are predicted bit by bit. Each predictor looks up, by a hash of its
+Texts are predicted token by token and bit by bit along their running words
+(``running.py``): predictors in hashed contexts, counted over the texts learned
+from, are added in the logistic domain with gated weights that are learned
+online along those texts and go on being learned along each text scored. A bit
+is a place on the way to a word in a tree of the most frequent words; all other
+words share one escape and divide its probability by how they are spelled and counted.
+
+Spelling is mixed in the same way. Each predictor looks up, by a hash of its
 context (the last one to four bytes, or the whole word so far) and of the bits
 already known of the byte, how many of the corpus's distinct words went on with
-a 0 and with a 1 there. The predictions are added in the logistic domain with
-weights that a gate picks (how much is known in the longest contexts); the
-weights are learned online, word by word, with each word's own part taken out
-of the counts. That gives every word, known or not, a number of bits.
-
-A word's probability is its discounted count in the corpus, plus the mass that
-the discounts free, spread by those bits. A hashed context of the two words
-before it adds the counts of all three-word runs of the corpus.
-Within a document this is refined adaptively: for several weights of that
-context and of the document's own words so far, the document's likelihoods are
-kept side by side and add up by Bayes' rule, so the weights that suit the
-document prevail.
+a 0 and with a 1 there; the weights are learned online, word by word, with each
+word's own part taken out of the counts. A word's static probability is its
+discounted count in the corpus, plus the mass that the discounts free, spread by
+those bits.
+
+A hashed context of the two words before a token then adds the counts of all
+three-word runs of the corpus. Within a document this is refined adaptively: for
+several weights of that context and of the document's own words so far, the
+document's likelihoods are kept side by side and add up by Bayes' rule, so the
+weights that suit the document prevail.
 
 Distribution: words are 64-bit hashes in blocks, one block per bucket of hashes.
 The most frequent words (a bounded number) are broadcast; all others meet the
 documents that hold them bucket by bucket. Texts are worked on in stored
 chunks: a chunk sends the distinct hashes of its runs and contexts, with its own
 counts, to buckets of hashes, and each bucket sends the corpus's counts back.
+The bits' counts are summed piece by piece in tables of bounded size.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cropwire.llm import running
 from cropwire.llm.common import bits_for, cut, held_out, read_table
 from cropwire.llm.tables import packed, sum_tables, unpacked
 from cropwire.llm.words import LOWER, mix, slices, span_hashes, spans
@@ -112,8 +119,8 @@ def ragged(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return raw[np.arange(total) + np.repeat(begin - (ends - size), size)]
 
 
-def runs_of(h: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the two tokens before each word, then of those before each of ``m`` texts' ends; and of all three tokens."""
+def _before(h: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The token before each word, then that before each of ``m`` texts' ends; and the tokens before those."""
     words = np.bincount(owner, minlength=m)
     first = np.cumsum(words) - words
     place = np.arange(len(h)) - first[owner]
@@ -122,7 +129,15 @@ def runs_of(h: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.nd
     two = np.where(place >= 2, padded[:-2], START)
     last = first + words
     one = np.concatenate([one, np.where(words >= 1, padded[last + 1], START)])
-    two = np.concatenate([two, np.where(words >= 2, padded[last], START)])
+    return one, np.concatenate([two, np.where(words >= 2, padded[last], START)])
+
+
+def runs_of(h: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the two tokens before each word, then of those before each of ``m`` texts' ends; and of all three tokens."""
+    return _runs(h, m, *_before(h, owner, m))
+
+
+def _runs(h: np.ndarray, m: int, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     context = mix(one * np.uint64(0x9E3779B97F4A7C15) + two * np.uint64(0xC2B2AE3D27D4EB4F))
     return context, mix(context ^ (np.concatenate([h, np.full(m, END)]) * np.uint64(0x165667B19E3779F9)))
 
@@ -384,10 +399,18 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2, frequent:
     scored = cut(_scored(vocab, table, weight, n, v), "scored-words")
     top = spark.sparkContext.broadcast(_frequent(scored, frequent))
     chunks = cut(_chunks_of(own), "chunks")
+    plain, others = code_of(_frequent(scored, running.CODED), n)
+    code, bits = spark.sparkContext.broadcast(plain), running.slot_bits(n)
+    counts = count_bits(chunks, code, bits)
+    left_out = spark.sparkContext.broadcast(running.Mixer(plain, counts, bits, True))
+    begin = learn_running_weights(chunks, left_out)
+    left_out.unpersist()
+    code.unpersist()
+    mixer = spark.sparkContext.broadcast(running.Mixer(plain, counts, bits, False))
     key_bits = _key_bits(chunks)
-    partial = cut(_documents(chunks, _packed_counts(chunks, key_bits), top, own.schema["doc_id"].dataType.simpleString(), key_bits), "scored-texts", "zstd")
-    rest = _rare(partial, scored, table, weight, buckets, n, v)
-    joined = (partial.drop("h", "seen", "size", "raw", "after", "with").alias("p").join(rest.alias("r"), "ref", "left")
+    partial = cut(_documents(chunks, _packed_counts(chunks, key_bits), top, mixer, begin, others, own.schema["doc_id"].dataType.simpleString(), key_bits), "scored-texts", "zstd")
+    rest = _rare(partial, scored, table, weight, buckets, n, v, others)
+    joined = (partial.drop("h", "seen", "size", "raw", "after", "with", "path").alias("p").join(rest.alias("r"), "ref", "left")
               .select("doc_id", "held_out", "n_tokens", "n_bytes",
                       *[(F.col(f"p.{c}") + F.coalesce(F.col(f"r.{c}"), F.lit(0))).alias(c) for c in ("n_known", "base", *SUMS)]))
     best = F.greatest(*SUMS)
@@ -481,20 +504,125 @@ def _chunks_of(own: DataFrame) -> DataFrame:
     return own.select("doc_id", "text", "held_out").mapInArrow(emit, "chunk long, bytes long, rows binary")
 
 
-def _runs_of_chunk(rows: bytes, key_bits: int = 64):
-    """Of a chunk: its batches, the sorted distinct hashes (of ``key_bits``) of its contexts and runs, each token's place there, and whether it is learned from."""
-    batches = pa.ipc.open_stream(rows).read_all().to_batches()
-    keys, train = [], []
-    for part, raw, offsets in slices(batches, 1):
-        low, m = LOWER[raw], part.num_rows
-        starts, ends, owner = spans(low, offsets)
-        keys.append(runs_of(span_hashes(low, starts, ends) if len(starts) else np.empty(0, np.uint64), owner, m))
-        train.append(~part.column(2).to_numpy(zero_copy_only=False).astype(bool)[np.concatenate([owner, np.arange(m)])])
-    both, train = np.concatenate([k for pair in zip(*keys) for k in pair]), np.concatenate(train)
+class Part:
+    """Some texts of a chunk: rows, lower-cased bytes, and start, end, text and hash of each word."""
+
+    def __init__(self, rows: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray):
+        self.rows, self.m, self.low = rows, rows.num_rows, LOWER[raw]
+        self.starts, self.ends, self.owner = spans(self.low, offsets)
+        self.h = span_hashes(self.low, self.starts, self.ends) if len(self.starts) else np.empty(0, np.uint64)
+
+    def held_out(self) -> np.ndarray:
+        return self.rows.column(2).to_numpy(zero_copy_only=False).astype(bool)
+
+    def places(self) -> np.ndarray:
+        """Of all words, then of each text's end, the place where the texts run on one after the other."""
+        return np.concatenate([np.arange(len(self.h)) + self.owner, np.cumsum(np.bincount(self.owner, minlength=self.m)) + np.arange(self.m)])
+
+
+def _batches(rows: bytes) -> list[pa.RecordBatch]:
+    return pa.ipc.open_stream(rows).read_all().to_batches()
+
+
+def _parts(rows: bytes) -> list[Part]:
+    return [Part(*x) for x in slices(_batches(rows), 1)]
+
+
+def _distinct(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct numbers (of ``bits``), and where each one is among them."""
+    low = max(1, len(x).bit_length())
+    if bits + low > 64 or not len(x):
+        return np.unique(x, return_inverse=True)
+    # Number and place in one, since sorting numbers is much faster than sorting places.
+    both = np.sort(x << np.uint64(low) | np.arange(len(x), dtype=np.uint64))
+    at = (both & np.uint64((1 << low) - 1)).astype(np.int64)
+    both >>= np.uint64(low)
+    new = np.concatenate([[True], both[1:] != both[:-1]])
+    back = np.empty(len(x), np.int64)
+    back[at] = np.cumsum(new) - 1
+    return both[new], back
+
+
+def _runs_of_parts(parts: list[Part], key_bits: int):
+    """Of a chunk: the sorted distinct hashes (of ``key_bits``) of its contexts and runs, each token's place there, and whether it is learned from."""
+    keys = [runs_of(p.h, p.owner, p.m) for p in parts]
+    train = np.concatenate([~p.held_out()[np.concatenate([p.owner, np.arange(p.m)])] for p in parts])
+    both = np.concatenate([k for pair in zip(*keys) for k in pair])
     del keys
     both >>= np.uint64(64 - key_bits)
-    some, back = np.unique(both, return_inverse=True)
-    return batches, some, back[:len(train)], back[len(train):], train
+    some, back = _distinct(both, key_bits)
+    return some, back[:len(train)], back[len(train):], train
+
+
+def _runs_of_chunk(rows: bytes, key_bits: int = 64):
+    """The chunk's batches, and ``_runs_of_parts``."""
+    return _batches(rows), *_runs_of_parts(_parts(rows), key_bits)
+
+
+def _stream(parts: list[Part], code: running.Code) -> running.Stream:
+    """The texts of a chunk as they run."""
+    got, begin = [], [np.zeros(1, np.int64)]
+    for p in parts:
+        h, at = np.concatenate([p.h, np.full(p.m, END)]), p.places()
+        one, two = _before(p.h, p.owner, p.m)
+        run = [np.empty_like(h) for _ in range(3)]
+        for to, x in zip(run, (h, one, _runs(p.h, p.m, one, two)[0])):
+            to[at] = x
+        got.append(run)
+        begin.append(begin[-1][-1] + np.cumsum(np.bincount(p.owner, minlength=p.m) + 1))
+    return running.Stream.of(code, *(np.concatenate(x) for x in zip(*got)), np.concatenate(begin))
+
+
+def code_of(words: list[np.ndarray], n: int) -> tuple[running.Code, float]:
+    """The code of the most frequent words, and log10 of what the static probabilities of all others add up to.
+
+    A word seen once is one of those others, like one not seen.
+    """
+    often = words[1] > 1
+    h, count, score = (x[often] for x in words)
+    rest = max(1.0 - float((10.0 ** score.astype(np.float64)).sum()), 1e-6)
+    return running.Code(h, count, n - int(count.sum())), float(np.log10(rest))
+
+
+def _streams(batches, code: running.Code):
+    """The texts of chunks as they run, and which are learned from."""
+    for b in batches:
+        for rows in b.column(0).to_pylist():
+            parts = _parts(rows)
+            yield _stream(parts, code), ~np.concatenate([p.held_out() for p in parts])
+
+
+def count_bits(chunks: DataFrame, code, bits: int) -> np.ndarray:
+    """How the tokens of all texts learned from go on in each context; see ``running.count``."""
+    size = running.table_size(code.value, bits)
+
+    def fill(batches):
+        table = None
+        for s, learned in _streams(batches, code.value):
+            table = np.zeros(size, np.int64) if table is None else table
+            running.count(code.value, s, np.flatnonzero(np.repeat(learned, np.diff(s.begin))), bits, table)
+        return table
+
+    return sum_tables(chunks.select("rows"), fill, size, np.float32)
+
+
+def learn_running_weights(chunks: DataFrame, mixer) -> np.ndarray:
+    """Weights (gate, input) that texts begin with: learned online along every text learned from, each token's own part
+    taken out of the counts, then averaged by how often the texts used them."""
+    k = running.INPUTS
+
+    def learn(batches):
+        total, many = np.zeros((running.GATES, k)), np.zeros(running.GATES, np.int64)
+        for s, learned in _streams(batches, mixer.value.code):
+            _, w, used = mixer.value.run(s, running.first_weights(), np.flatnonzero(learned))
+            total, many = total + w, many + used
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel()), pa.array(np.repeat(many, k))], ["at", "w", "n"])
+
+    out = running.first_weights().ravel()
+    for r in chunks.select("rows").mapInArrow(learn, "at long, w double, n long").groupBy("at").agg(F.sum("w").alias("w"), F.sum("n").alias("n")).collect():
+        if r["n"]:
+            out[r["at"]] = r["w"] / r["n"]
+    return out.reshape(running.GATES, k)
 
 
 def _key_bits(chunks: DataFrame) -> int:
@@ -520,7 +648,7 @@ def _packed_counts(chunks: DataFrame, key_bits: int) -> DataFrame:
     def ask(batches):
         for b in batches:
             for chunk, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                _, some, context, run, train = _runs_of_chunk(rows, key_bits)
+                some, context, run, train = _runs_of_parts(_parts(rows), key_bits)
                 count = np.bincount(context[train], minlength=len(some)) + np.bincount(run[train], minlength=len(some))
                 bucket = (some >> np.uint64(key_bits - bits)).astype(np.int64) if bits else np.zeros(len(some), np.int64)
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(some)]])
@@ -553,25 +681,34 @@ def _with_experts(score: np.ndarray, seen: np.ndarray, n: np.ndarray, c: np.ndar
     return out
 
 
-def _documents(chunks: DataFrame, counts: DataFrame, top, kind: str, key_bits: int) -> DataFrame:
+def _of_path(path: np.ndarray, score: np.ndarray, others: float) -> np.ndarray:
+    """log10 probability of tokens: that of a word of the code (given with the other sign), or of the escape and of the word among all that it stands for."""
+    return np.where(path > 0, -path, path + np.minimum(score - others, 0))
+
+
+def _documents(chunks: DataFrame, counts: DataFrame, top, mixer, weight: np.ndarray, others: float, kind: str, key_bits: int) -> DataFrame:
     """Per text what its frequent words give, and its other words with how often the text has used them before."""
     def emit(chunk: pa.Table, found: pa.Table):
         freq_h, freq_c, freq_s = top.value
         # A chunk has few enough texts.
         ref = chunk["chunk"][0].as_py() << 24
-        batches, some, context, run, _ = _runs_of_chunk(chunk["rows"][0].as_py(), key_bits)
+        parts = _parts(chunk["rows"][0].as_py())
+        some, context, run, _ = _runs_of_parts(parts, key_bits)
         total = np.concatenate([np.empty(0, np.float32), *(unpacked(c, np.int64).astype(np.float32) for c in found.sort_by("bucket")["counts"].to_pylist())])
         if len(total) != len(some):
             raise ValueError(f"chunk {ref >> 24}: {len(total)} counts for {len(some)} hashes")
+        s = _stream(parts, mixer.value.code)
+        running_log, _, _ = mixer.value.run(s, weight)
+        coded = s.symbol > 0
+        running_log[coded] = np.maximum(-running_log[coded], np.float32(1e-12))
+        del s, coded
         done = 0
-        for rows, raw, offsets in slices(batches, 1):
-            m = rows.num_rows
-            low = LOWER[raw]
-            starts, ends, owner = spans(low, offsets)
+        for part in parts:
+            rows, m, low, starts, ends, owner, h = part.rows, part.m, part.low, part.starts, part.ends, part.owner, part.h
             words = np.bincount(owner, minlength=m)
             first = np.cumsum(words) - words
             place = np.arange(len(starts)) - first[owner]
-            h = span_hashes(low, starts, ends) if len(starts) else np.empty(0, np.uint64)
+            along_text = running_log[done:done + len(h) + m][part.places()]
             # How often the text has used the word before.
             here = mix(h + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             order = np.argsort(here, kind="stable")
@@ -599,11 +736,11 @@ def _documents(chunks: DataFrame, counts: DataFrame, top, kind: str, key_bits: i
             else:
                 hit, count, score = np.zeros(len(h), bool), np.empty(0, np.int64), np.empty(0)
             mine = owner[hit]
-            sums = [np.bincount(mine, x, minlength=m) for x in (np.log10(count + 1.0), *_with_experts(score, seen[hit], after[hit], along[hit]))]
+            sums = [np.bincount(mine, x, minlength=m) for x in (np.log10(count + 1.0), *_with_experts(_of_path(along_text[hit], score, others), seen[hit], after[hit], along[hit]))]
             rare = np.flatnonzero(~hit)
             rare = rare[np.argsort(owner[rare], kind="stable")]
             cuts = np.concatenate([[0], np.cumsum(np.bincount(owner[rare], minlength=m))])
-            lists = [h[rare], seen[rare].astype(np.float32), after[rare], along[rare], size[rare].astype(np.int32)]
+            lists = [h[rare], seen[rare].astype(np.float32), after[rare], along[rare], along_text[rare], size[rare].astype(np.int32)]
             letters = ragged(low, starts[rare], size[rare])
             letter_cuts = np.concatenate([[0], np.cumsum(size[rare])])[cuts]
             binary = [pa.array([x[a:z].tobytes() for a, z in zip(cuts, cuts[1:])], pa.binary()) for x in lists]
@@ -612,7 +749,7 @@ def _documents(chunks: DataFrame, counts: DataFrame, top, kind: str, key_bits: i
                 [pa.array(ref + np.arange(m)), rows.column(0), rows.column(2), pa.array(words + 1), pa.array(np.bincount(mine, minlength=m)),
                  # Bytes as scored: each word and a space, and one for the end.
                  pa.array(np.bincount(owner, size + 1.0, minlength=m).astype(np.int64)), *(pa.array(t, pa.float64()) for t in sums), *binary],
-                ["ref", "doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base", *SUMS, "h", "seen", "after", "with", "size", "raw"])
+                ["ref", "doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base", *SUMS, "h", "seen", "after", "with", "path", "size", "raw"])
             ref += m
 
     def whole(chunk: pa.Table, found: pa.Table) -> pa.Table:
@@ -620,12 +757,12 @@ def _documents(chunks: DataFrame, counts: DataFrame, top, kind: str, key_bits: i
 
     return chunks.select("chunk", "rows").groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInArrow(
         whole, f"ref long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, n_bytes long, base double, "
-              + ", ".join(f"{s} double" for s in SUMS) + ", h binary, seen binary, after binary, with binary, size binary, raw binary")
+              + ", ".join(f"{s} double" for s in SUMS) + ", h binary, seen binary, after binary, with binary, path binary, size binary, raw binary")
 
 
-def _rare(partial: DataFrame, scored: DataFrame, table, weight: np.ndarray, buckets: int, n: int, v: int) -> DataFrame:
+def _rare(partial: DataFrame, scored: DataFrame, table, weight: np.ndarray, buckets: int, n: int, v: int, others: float) -> DataFrame:
     """Per text (ref) what its other words give."""
-    extra = [("seen", np.float32), ("after", np.float32), ("with", np.float32)]
+    extra = [("seen", np.float32), ("after", np.float32), ("with", np.float32), ("path", np.float32)]
     columns = ["bucket", "h", "count", "size", "raw", *(c for c, _ in extra)]
 
     def deal(batches):
@@ -652,7 +789,7 @@ def _rare(partial: DataFrame, scored: DataFrame, table, weight: np.ndarray, buck
         if not tokens.num_rows:
             return pa.table({c: pa.array([], pa.int64() if c in names[:2] else pa.float64()) for c in names})
         w = Words.join([Words.read(*r) for r in zip(*(tokens[c].to_pylist() for c in ("h", "count", "size", "raw")))])
-        more = [np.concatenate([np.frombuffer(x, t) for x in tokens[c].to_pylist()]) for c, t in extra]
+        *more, path = [np.concatenate([np.frombuffer(x, t) for x in tokens[c].to_pylist()]) for c, t in extra]
         empty = [np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.float32)]
         blocks_of = [_read_scored(*r) for r in zip(*(words[name].to_pylist() for name in ("h", "count", "score")))]
         h, c, s = (np.concatenate(x) for x in zip(empty, *blocks_of))
@@ -665,7 +802,7 @@ def _rare(partial: DataFrame, scored: DataFrame, table, weight: np.ndarray, buck
         if len(new):
             score[new] = _known(np.zeros(len(new)), _model(table, weight).log10(w.take(first[new])), n, v)
         refs, of = np.unique(w.count, return_inverse=True)
-        parts = [np.log10(count[back] + 1.0), *_with_experts(score[back], *more)]
+        parts = [np.log10(count[back] + 1.0), *_with_experts(_of_path(path, score[back], others), *more)]
         out = [refs, np.bincount(of, known[back]).astype(np.int64), *(np.bincount(of, p) for p in parts)]
         return pa.table({name: pa.array(o) for name, o in zip(names, out)})
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from cropwire.llm import scoring
+from cropwire.llm import running, scoring
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -175,3 +175,107 @@ def test_slots_grow_with_the_corpus_and_packed_numbers_return(spark):
     assert sizes == [32, 32, 38, 55]
     for x in (np.array([], np.int64), np.array([3, -1, 2**62], np.int64), np.arange(70000, dtype=np.uint32), np.arange(255, dtype=np.uint8)):
         assert (scoring.unpacked(scoring.packed(x), x.dtype) == x).all()
+
+
+def code_and_texts(rng, texts=60):
+    names = rng.integers(1, 1 << 63, 40).astype(np.uint64)
+    names.sort()
+    size = rng.integers(1, 40, texts)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    h = rng.choice(np.concatenate([names, rng.integers(1, 1 << 63, 20).astype(np.uint64)]), begin[-1], p=np.r_[np.full(40, 0.02), np.full(20, 0.01)])
+    code = running.Code(names, rng.integers(2, 90, 40), 30)
+    one = np.concatenate([[np.uint64(7)], h[:-1]])
+    return code, running.Stream.of(code, h, one, running.mix(one * np.uint64(3)), begin)
+
+
+def plain_mix(code, s, table, bits, left_out, weight):
+    """One text after the other, one bit after the other."""
+    symbols = len(code.size)
+    nodes = np.zeros((code.nodes, 2))
+    paths = [[(int(n), int(b)) for n, b in zip(code.node[c:c + z], code.bit[c:c + z])] for c, z in zip(code.cut, code.size)]
+    for path, c in zip(paths, table[:symbols]):
+        for node, bit in path:
+            nodes[node, bit] += c
+    both = [x.reshape(-1, 2) for x in (table[symbols:symbols + (2 << bits)], table[symbols + (2 << bits):])]
+
+    def slot(context, node):
+        return ((int(context) ^ ((node + 1) * 0x9E3779B1 & 0xFFFFFFFF)) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - bits)
+
+    def odds(counts, bit):
+        n = [float(x) for x in counts]
+        if left_out:
+            n[bit] = max(0, n[bit] - 1)
+        return max(-127, min(127, round(math.log((n[1] + running.PRIOR) / (n[0] + running.PRIOR)) * 8))) / 8
+
+    out = []
+    for a, z in zip(s.begin, s.begin[1:]):
+        w, own, own_bits = [list(x) for x in weight], Counter(), min(running.OWN_BITS, max(3, math.ceil(math.log2(z - a)) + 1))
+        for t in range(a, z):
+            level = [sum(x[slot(c[t], code.nodes - 1)].sum() - left_out >= e for e in edges)
+                     for x, c, edges in zip(both, (s.one, s.two), (running.LEVELS_ONE, running.LEVELS_TWO))]
+            gate, total, move, seen = level[0] * 5 + level[1], 0.0, [0.0] * 5, {}
+            for node, bit in paths[s.symbol[t]]:
+                place = ((node + 1) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - own_bits)
+                x = [odds(nodes[node], bit), odds(both[0][slot(s.one[t], node)], bit), odds(both[1][slot(s.two[t], node)], bit),
+                     math.log((own[place, 1] + running.PRIOR) / (own[place, 0] + running.PRIOR)), 1.0]
+                p = 1 / (1 + math.exp(-sum(i * j for i, j in zip(x, w[gate]))))
+                total += math.log10(p if bit else 1 - p)
+                move = [m + (bit - p) * i for m, i in zip(move, x)]
+                seen[place] = bit
+            w[gate] = [i + running.RATE * m for i, m in zip(w[gate], move)]
+            for place, bit in seen.items():
+                own[place, bit] += 1
+            out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("left_out", [False, True])
+def test_mixing_along_texts_equals_a_plain_loop(left_out, monkeypatch):
+    monkeypatch.setattr(running, "AT_ONCE", 50)
+    monkeypatch.setattr(running, "OWN_SLOTS", 700)
+    code, s = code_and_texts(np.random.default_rng(5))
+    bits = 10
+    table = np.zeros(running.table_size(code, bits), np.int64)
+    running.count(code, s, np.arange(len(s.symbol)), bits, table)
+    weight = np.random.default_rng(1).normal(0.3, 0.1, (running.GATES, running.INPUTS))
+    got, learned, used = running.Mixer(code, table.astype(np.float32), bits, left_out).run(s, weight)
+    assert got == pytest.approx(plain_mix(code, s, table, bits, left_out, weight), rel=2e-3, abs=2e-4)
+    assert used.sum() == len(s.symbol) and np.abs(learned / np.maximum(used, 1)[:, None] - weight)[used > 9].max() > 1e-3
+
+
+def test_symbols_after_a_context_add_up_to_one():
+    code, s = code_and_texts(np.random.default_rng(9))
+    table = np.zeros(running.table_size(code, 10), np.int64)
+    running.count(code, s, np.arange(len(s.symbol)), 10, table)
+    a, z = next((a, z) for a, z in zip(s.begin, s.begin[1:]) if z - a > 20)
+    total = 0.0
+    for symbol in range(len(code.size)):
+        one = running.Stream(np.r_[s.symbol[a:z - 1], symbol], s.one[a:z], s.two[a:z], np.array([0, z - a]))
+        total += 10.0 ** float(running.Mixer(code, table, 10, False).run(one, running.first_weights())[0][-1])
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_weights_go_on_along_long_texts_in_groups():
+    """Every token of a text with more than ``STEADY`` tokens is scored once, and what it repeats gets likelier."""
+    code, s = code_and_texts(np.random.default_rng(3), texts=400)
+    n = len(s.symbol)
+    symbol, one = np.resize(s.symbol[:5], n), np.zeros(n, np.uint32)
+    long = running.Stream(symbol, one, one, np.array([0, n]))
+    table = np.zeros(running.table_size(code, 10), np.int64)
+    got = running.Mixer(code, table, 10, False).run(long, running.first_weights())[0]
+    seen = code.size[symbol] > 0
+    assert n > 4 * running.STEADY and (got[seen] < 0).all() and got[-200:].mean() > 0.8 * got[:5].mean()
+
+
+def test_a_word_is_likelier_after_the_word_that_it_follows_in_the_corpus(docs):
+    """The two-word contexts of the scored texts are new, so only mixing along running text can tell."""
+    rng = random.Random(2)
+    pairs = [(f"a{i}", f"b{i}") for i in range(12)]
+    text = lambda: " ".join(x for _ in range(30) for x in (f"n{rng.randrange(10**9)}", *rng.choice(pairs)))
+    train = [d for d in range(200) if not is_held_out(d)]
+    good, bad = [d for d in range(1000, 1100) if is_held_out(d)][:2]
+    fresh = [f"z{i}" for i in range(12)]
+    rows = [*((d, text()) for d in train), (good, " ".join(x for z, (a, b) in zip(fresh, pairs) for x in (z, a, b))),
+            (bad, " ".join(x for i, (z, (a, _)) in enumerate(zip(fresh, pairs)) for x in (z, a, pairs[(i + 5) % 12][1])))]
+    got = {r.doc_id: r.score for r in scoring.score_texts(docs(rows)).collect()}
+    assert got[good] > got[bad] + 3
