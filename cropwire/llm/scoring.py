@@ -230,9 +230,14 @@ class Bits:
         spread = node * np.uint32(0x85EBCA6B)
         out = []
         for c, b, base in zip(self.context, TABLE_BITS, BASES):
-            x = (c ^ spread) * np.uint32(0xC2B2AE35)
+            x = c ^ spread
+            x *= np.uint32(0xC2B2AE35)
             x ^= x >> np.uint32(15)
-            out.append(((x * np.uint32(0x27D4EB2F)) >> np.uint32(32 - b)).astype(np.int64) + base)
+            x *= np.uint32(0x27D4EB2F)
+            x >>= np.uint32(32 - b)
+            x = x.astype(np.int64)
+            x += base
+            out.append(x)
         return out, (self.byte >> np.uint8(7 - j)) & 1
 
 
@@ -258,14 +263,16 @@ def tables(vocab: DataFrame) -> np.ndarray:
     def count(batches):
         table = None
         for _, words in blocks(batches):
-            table = np.zeros((slots, 2), np.int64) if table is None else table
+            table = np.zeros(slots * 2, np.int64) if table is None else table
             for w in _byte_chunks(words, COUNTED_AT_ONCE):
                 bits = Bits(w)
                 for j in range(8):
                     at, bit = bits.slots(j)
-                    for x, b, base in zip(at, TABLE_BITS, BASES):
-                        table[base:base + (1 << b)] += np.bincount((x - base) * 2 + bit, minlength=2 << b).reshape(-1, 2)
-        return None if table is None else table.ravel()
+                    for x in at:
+                        x <<= 1
+                        x += bit
+                        np.add.at(table, x, 1)
+        return table
 
     # Slot by slot, so the counts of 0 and 1 are views of one array.
     return sum_tables(vocab, count, slots * 2, np.float32).reshape(slots, 2).T
@@ -319,12 +326,16 @@ def learn_weights(vocab: DataFrame, shared) -> np.ndarray:
                 for j in range(8):
                     at, bit = bits.slots(j)
                     # Its own part is taken out, as if the word had not been seen.
-                    x = np.stack([left.stretch[a * 2 + bit] for a in at])
-                    gate = left.level[at[4]] + left.level[at[3]]
-                    p = 1 / (1 + np.exp(-np.clip((x * weight[gate].T).sum(axis=0), -20, 20)))
-                    error = bit - p
+                    gate = (left.level.take(at[4]) + left.level.take(at[3])).astype(np.int64)
+                    x, z = [], np.zeros(len(gate), np.float32)
+                    for a, w_of in zip(at, weight.T.astype(np.float32)):
+                        a <<= 1
+                        a += bit
+                        x.append(left.stretch.take(a, mode="clip"))
+                        z += x[-1] * w_of.take(gate, mode="clip")
+                    error = bit - 1 / (1 + np.exp(-np.minimum(np.maximum(z, -20), 20)))
                     many = np.maximum(1, np.bincount(gate, minlength=GATES))
-                    step = np.stack([np.bincount(gate, error * x[i], minlength=GATES) for i in range(k)], axis=1)
+                    step = np.stack([np.bincount(gate, error * i, minlength=GATES) for i in x], axis=1)
                     # The mean step of a gate, less where few predictions speak for it.
                     weight += RATE * step / many[:, None] * np.minimum(1, many / 32)[:, None]
             n = len(words)
@@ -355,9 +366,12 @@ class Model:
             total = np.zeros(len(bits.byte), np.float32)
             for j in range(8):
                 at, bit = bits.slots(j)
-                weight = self.weight[self.level[at[4]] + self.level[at[3]]]
-                x = np.where(bit, np.float32(-1), np.float32(1)) * sum(self.stretch[a] * weight[:, i] for i, a in enumerate(at))
-                total += np.maximum(x, 0) + np.log1p(np.exp(-np.abs(x)))
+                gate = (self.level.take(at[4]) + self.level.take(at[3])).astype(np.int64)
+                x = np.zeros(len(gate), np.float32)
+                for a, w_of in zip(at, self.weight.T):
+                    x += self.stretch.take(a, mode="clip") * w_of.take(gate, mode="clip")
+                x *= np.float32(1) - np.float32(2) * bit
+                total += np.maximum(x, 0) + np.log(1 + np.exp(-np.abs(x)))
             out.append(-np.bincount(bits.word, total, minlength=len(w)) / np.log(10))
         return np.concatenate(out)
 
@@ -614,7 +628,7 @@ def learn_running_weights(chunks: DataFrame, mixer) -> np.ndarray:
     def learn(batches):
         total, many = np.zeros((running.GATES, k)), np.zeros(running.GATES, np.int64)
         for s, learned in _streams(batches, mixer.value.code):
-            _, w, used = mixer.value.run(s, running.first_weights(), np.flatnonzero(learned))
+            _, w, used = mixer.value.run(s, running.first_weights(), np.flatnonzero(learned), scored=False)
             total, many = total + w, many + used
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel()), pa.array(np.repeat(many, k))], ["at", "w", "n"])
 

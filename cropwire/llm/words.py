@@ -51,25 +51,31 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of every word."""
-    word = ~SPACE[raw]
     n = len(raw)
     if not n:
         none = np.empty(0, np.int64)
         return none, none, none
-    edge = np.zeros(n + 1, bool)
-    edge[offsets[:-1][offsets[:-1] < n]] = True
-    before = np.empty(n, bool)
-    before[0], before[1:] = False, word[:-1]
-    starts = np.flatnonzero(word & (~before | edge[:n]))
-    after = np.empty(n, bool)
-    after[-1], after[:-1] = False, word[1:]
-    ends = np.flatnonzero(word & (~after | (edge[1:] & (np.arange(1, n + 1) < n)))) + 1
-    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+    space = SPACE.take(raw)
+    first = ~space
+    last = first.copy()
+    first[1:] &= space[:-1]
+    last[:-1] &= space[1:]
+    # A text's border cuts a word that runs over it.
+    edge = offsets[(offsets > 0) & (offsets < n)]
+    first[edge[~space[edge]]] = True
+    last[edge[~space[edge - 1]] - 1] = True
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of every span, the same wherever it stands."""
     up, down = _power(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+    total = np.empty(len(raw) + 1, np.uint64)
+    total[0] = 0
+    term = total[1:]
+    term[:] = raw
+    term += np.uint64(1)
+    term *= up[:len(raw)]
+    np.cumsum(term, out=term)
     return mix((total[ends] - total[starts]) * down[starts])
