@@ -243,6 +243,34 @@ def test_mixing_along_texts_equals_a_plain_loop(left_out, monkeypatch):
     assert used.sum() == len(s.symbol) and np.abs(learned / np.maximum(used, 1)[:, None] - weight)[used > 9].max() > 1e-3
 
 
+def test_learning_alone_leaves_scores_out_and_paths_are_filled_up_to_few_lengths():
+    """Learning needs no scores, and the bits of a length are worked on together: neither may change weights or paths."""
+    names = np.sort(np.random.default_rng(4).integers(1, 1 << 63, 60).astype(np.uint64))
+    code = running.Code(names, np.arange(1, 61) ** 3, 500)
+    assert len(np.unique(code.size)) > running.LENGTHS >= len(code.lengths) and (code.wide >= code.size).all()
+    for c, z, wide in zip(code.cut, code.size, code.wide):
+        assert (code.kind[c:c + z] == code.bit[c:c + z]).all() and (code.kind[c + z:c + wide] == 2).all()
+    _, s = code_and_texts(np.random.default_rng(6))
+    s = running.Stream(np.random.default_rng(7).integers(0, 61, len(s.symbol)), s.one, s.two, s.begin)
+    table = np.zeros(running.table_size(code, 10), np.int64)
+    running.count(code, s, np.arange(len(s.symbol)), 10, table)
+    assert table[len(code.size):].sum() == 2 * code.size[s.symbol].sum()
+    mixer = running.Mixer(code, table, 10, True)
+    (scored, *both), (none, *alone) = mixer.run(s, running.first_weights()), mixer.run(s, running.first_weights(), scored=False)
+    assert (scored < 0).all() and not none.any() and all((a == b).all() for a, b in zip(both, alone))
+
+
+def test_spans_and_their_hashes_equal_a_plain_split():
+    rng = random.Random(12)
+    texts = [bytes(rng.choice(b"ab \n") for _ in range(rng.randrange(9))) for _ in range(400)]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    starts, ends, owner = scoring.spans(raw, offsets)
+    got = [(int(o), raw[a:z].tobytes()) for a, z, o in zip(starts, ends, owner, strict=True)]
+    assert got == [(i, w) for i, t in enumerate(texts) for w in t.split()]
+    h = scoring.span_hashes(raw, starts, ends)
+    assert len(set(h.tolist())) == len({w for _, w in got}) == len(set(zip(h.tolist(), (w for _, w in got))))
+
+
 def test_symbols_after_a_context_add_up_to_one():
     code, s = code_and_texts(np.random.default_rng(9))
     table = np.zeros(running.table_size(code, 10), np.int64)
